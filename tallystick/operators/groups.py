@@ -119,28 +119,31 @@ def _moments(history: DataFrame) -> DataFrame:
     )
 
 
-def purchase_gaps(history: DataFrame) -> DataFrame:
-    """Every distinct purchase moment of a pair with the days since the one before.
+def _slotted_moments(history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Purchase moments with the one before in the same hour, and the hours of each pair.
 
-    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
-    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps. Two levels, as in ``ordering``: neighbours
-    inside an hour, then the last moment of the hour before.
+    The hours know the last moment of the hour before and the frequency of the pair. A
+    pair has at most one row per hour there, however many purchases it holds.
     """
-    moments = _moments(history)
     at = F.col("transaction_datetime")
     in_slot = Window.partitionBy(*PAIR, "slot").orderBy(at)
     over_slots = Window.partitionBy(*PAIR).orderBy("slot")
     whole_pair = Window.partitionBy(*PAIR)
+    moments = _moments(history).withColumn("previous", F.lag(at).over(in_slot))
     slots = (
         moments.groupBy(*PAIR, "slot")
         .agg(
-            F.min(at).alias("opening"),
+            F.min(F.when(F.col("previous").isNull(), at)).alias("opening"),
             F.max(at).alias("closing"),
+            F.count(at).alias("moments"),
             F.sum("purchases").alias("in_slot"),
         )
         .select(
             *PAIR,
             "slot",
+            "opening",
+            "moments",
+            "in_slot",
             F.lag("closing").over(over_slots).alias("before_slot"),
             purchase_frequency(
                 F.min("opening").over(whole_pair),
@@ -149,17 +152,26 @@ def purchase_gaps(history: DataFrame) -> DataFrame:
             ).alias("group_frequency"),
         )
     )
-    return (
-        moments.withColumn("_before", F.lag(at).over(in_slot))
-        .join(slots, [*PAIR, "slot"])
-        .select(
-            *PAIR,
-            "transaction_datetime",
-            "purchases",
-            "opening_transaction",
-            "group_frequency",
-            days_between(F.coalesce("_before", "before_slot"), at).alias("gap"),
-        )
+    return moments, slots
+
+
+def purchase_gaps(history: DataFrame) -> DataFrame:
+    """Every distinct purchase moment of a pair with the days since the one before.
+
+    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
+    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps.
+    """
+    moments, slots = _slotted_moments(history)
+    before = F.coalesce("previous", "before_slot")
+    return moments.join(
+        slots.select(*PAIR, "slot", "before_slot", "group_frequency"), [*PAIR, "slot"]
+    ).select(
+        *PAIR,
+        "transaction_datetime",
+        "purchases",
+        "opening_transaction",
+        "group_frequency",
+        days_between(before, F.col("transaction_datetime")).alias("gap"),
     )
 
 
@@ -189,19 +201,44 @@ def group_intervals(history: DataFrame) -> DataFrame:
     )
 
 
-def group_stabilities(history: DataFrame) -> DataFrame:
-    """Average relative deviation of the gaps; NULL after a single purchase."""
+def _relative_deviation(start, end):
     frequency = F.col("group_frequency")
-    dated = F.col("transaction_datetime").isNotNull()
-    # A gap of zero deviates by exactly one frequency.
-    deviation = F.coalesce(F.abs(F.col("gap") - frequency) / frequency, F.lit(0.0)) + (
-        F.col("purchases") - 1
+    return F.abs(days_between(start, end) - frequency) / frequency
+
+
+def group_stabilities(history: DataFrame) -> DataFrame:
+    """Average relative deviation of the gaps; NULL after a single purchase.
+
+    Gaps between hours come from the hours of the pair alone. Only hours with several
+    moments are joined back to them for the gaps inside. A gap of zero, between purchases
+    at one moment, deviates by exactly one frequency.
+    """
+    moments, slots = _slotted_moments(history)
+    dated = F.col("opening").isNotNull()
+    across = slots.groupBy(*PAIR).agg(
+        F.sum(F.when(dated, F.col("in_slot"))).alias("purchases"),
+        F.sum(F.when(dated, F.col("in_slot") - F.col("moments"))).alias("zero_gaps"),
+        F.sum(_relative_deviation(F.col("before_slot"), F.col("opening"))).alias("across"),
     )
-    gaps = F.sum(F.when(dated, F.col("purchases"))) - 1
-    return (
-        purchase_gaps(history)
+    within = (
+        moments.where(F.col("previous").isNotNull())
+        .select(*PAIR, "slot", "previous", "transaction_datetime")
+        .join(
+            slots.where(F.col("moments") > 1).select(*PAIR, "slot", "group_frequency"),
+            [*PAIR, "slot"],
+        )
         .groupBy(*PAIR)
-        .agg(ratio(F.sum(F.when(dated, deviation)), gaps).alias("group_stability_index"))
+        .agg(
+            F.sum(
+                _relative_deviation(F.col("previous"), F.col("transaction_datetime"))
+            ).alias("within")
+        )
+    )
+    deviations = (
+        F.coalesce("across", F.lit(0.0)) + F.coalesce("within", F.lit(0.0)) + F.col("zero_gaps")
+    )
+    return across.join(within, PAIR, "left").select(
+        *PAIR, ratio(deviations, F.col("purchases") - 1).alias("group_stability_index")
     )
 
 

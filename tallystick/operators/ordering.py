@@ -25,10 +25,9 @@ def running_total(
 ) -> DataFrame:
     """Add the total of ``value`` over all rows of the key up to and including ``at``.
 
-    Expects one row per (keys, at).
+    Expects one row per (keys, at) and values that are not negative.
     """
-    slotted = df.withColumn("_slot", hour_slot(F.col(at)))
-    inside = (
+    in_slot = (
         Window.partitionBy(*keys, "_slot")
         .orderBy(at)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -36,16 +35,20 @@ def running_total(
     earlier = (
         Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
+    slotted = df.withColumn("_slot", hour_slot(F.col(at))).withColumn(
+        "_inside", F.sum(value).over(in_slot)
+    )
+    # The greatest running total of a slot is its total; taken from the windowed rows, it
+    # needs no shuffle of its own.
     slots = (
         slotted.groupBy(*keys, "_slot")
-        .agg(F.sum(value).alias("_in_slot"))
+        .agg(F.max("_inside").alias("_in_slot"))
         .select(
             *keys, "_slot", F.coalesce(F.sum("_in_slot").over(earlier), F.lit(0)).alias("_before")
         )
     )
     return (
-        slotted.withColumn("_inside", F.sum(value).over(inside))
-        .join(slots, [*keys, "_slot"])
+        slotted.join(slots, [*keys, "_slot"])
         .withColumn(total, F.col("_before") + F.col("_inside"))
         .drop("_slot", "_inside", "_before")
     )

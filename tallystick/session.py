@@ -6,8 +6,11 @@ from pyspark.sql import SparkSession
 
 # Every setting here can be changed on a live session. A join whose hot key
 # overfills one partition is split at run time, even where the split costs one
-# more shuffle (forceOptimizeSkewedJoin acts only when skew was measured).
+# more shuffle (forceOptimizeSkewedJoin acts only when skew was measured). Catalogue
+# tables up to the given size are broadcast; Spark compares it with the size of the
+# files, or with what a shuffle measured, and sorts and merges anything larger.
 RUNTIME_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
