@@ -82,28 +82,41 @@ def group_affinities(
 ) -> DataFrame:
     """Transactions with the group over all transactions between its first and last purchase.
 
-    Instead of joining each pair to all transactions of the customer in its span, a running
-    total of transactions is looked up at the two ends of the span: visits up to the last
-    purchase minus visits before the first one. ``every_row`` counts history rows
-    instead of unique transactions.
+    Joining each pair to all transactions in its span would multiply the rows of a busy
+    customer. Instead the two ends of every span are sorted in among the customer's
+    transactions: an opening before, a closing after those of the same moment. The running
+    number of transactions at the closing less that at the opening is the span's content.
+    ``every_row`` counts history rows instead of unique transactions.
     """
-    totals = running_total(
-        _visits(history, every_row), ["customer_id"], "transaction_datetime", "visits", "up_to"
+    opening, visit, closing = 0, 1, 2
+    visits = _visits(history, every_row).select(
+        "customer_id",
+        F.lit(None).cast("long").alias("group_id"),
+        F.lit(None).cast("long").alias("group_purchase"),
+        F.col("transaction_datetime").alias("at"),
+        F.lit(visit).alias("step"),
+        "visits",
     )
-    ends = F.array(
-        F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(False).alias("closing")),
-        F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(True).alias("closing")),
+    both_ends = F.array(
+        F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(opening).alias("step")),
+        F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(closing).alias("step")),
     )
-    ends_of_pairs = profiles.select(
-        *PAIR, "group_purchase", F.explode(ends).alias("end")
-    ).select(
-        *PAIR, "group_purchase", F.col("end.at").alias("transaction_datetime"), "end.closing"
+    ends = (
+        profiles.where(F.col("first_group_purchase_date").isNotNull())
+        .select(*PAIR, "group_purchase", F.explode(both_ends).alias("end"))
+        .select(*PAIR, "group_purchase", "end.at", "end.step", F.lit(0).cast("long").alias("visits"))
     )
-    signed = F.when(F.col("closing"), F.col("up_to")).otherwise(F.col("visits") - F.col("up_to"))
-    return (
-        ends_of_pairs.join(totals, ["customer_id", "transaction_datetime"])
-        .groupBy(*PAIR)
-        .agg(ratio(F.max("group_purchase"), F.sum(signed)).alias("group_affinity_index"))
+    totals = running_total(
+        visits.unionByName(ends),
+        ["customer_id"],
+        ["at", "step"],
+        "visits",
+        "up_to",
+        wanted=F.col("step") != visit,
+    )
+    inside = F.sum(F.when(F.col("step") == closing, F.col("up_to")).otherwise(-F.col("up_to")))
+    return totals.groupBy(*PAIR).agg(
+        ratio(F.max("group_purchase"), inside).alias("group_affinity_index")
     )
 
 
@@ -119,31 +132,32 @@ def _moments(history: DataFrame) -> DataFrame:
     )
 
 
-def _slotted_moments(history: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Purchase moments with the one before in the same hour, and the hours of each pair.
+def purchase_gaps(history: DataFrame) -> DataFrame:
+    """Every distinct purchase moment of a pair with the days since the one before.
+
+    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
+    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps.
 
-    The hours know the last moment of the hour before and the frequency of the pair. A
-    pair has at most one row per hour there, however many purchases it holds.
+    Two levels, as in ``ordering``: the moment before in the same hour, else the last one
+    of the hour before. A pair has at most one row per hour at the second level, however
+    many purchases it holds.
     """
     at = F.col("transaction_datetime")
     in_slot = Window.partitionBy(*PAIR, "slot").orderBy(at)
     over_slots = Window.partitionBy(*PAIR).orderBy("slot")
-    whole_pair = Window.partitionBy(*PAIR)
+    # In the same order as the lag, so that one sort and one pass serve both.
+    whole_pair = over_slots.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     moments = _moments(history).withColumn("previous", F.lag(at).over(in_slot))
     slots = (
         moments.groupBy(*PAIR, "slot")
         .agg(
             F.min(F.when(F.col("previous").isNull(), at)).alias("opening"),
             F.max(at).alias("closing"),
-            F.count(at).alias("moments"),
             F.sum("purchases").alias("in_slot"),
         )
         .select(
             *PAIR,
             "slot",
-            "opening",
-            "moments",
-            "in_slot",
             F.lag("closing").over(over_slots).alias("before_slot"),
             purchase_frequency(
                 F.min("opening").over(whole_pair),
@@ -152,26 +166,13 @@ def _slotted_moments(history: DataFrame) -> tuple[DataFrame, DataFrame]:
             ).alias("group_frequency"),
         )
     )
-    return moments, slots
-
-
-def purchase_gaps(history: DataFrame) -> DataFrame:
-    """Every distinct purchase moment of a pair with the days since the one before.
-
-    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
-    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps.
-    """
-    moments, slots = _slotted_moments(history)
-    before = F.coalesce("previous", "before_slot")
-    return moments.join(
-        slots.select(*PAIR, "slot", "before_slot", "group_frequency"), [*PAIR, "slot"]
-    ).select(
+    return moments.join(slots.hint("merge"), [*PAIR, "slot"]).select(
         *PAIR,
         "transaction_datetime",
         "purchases",
         "opening_transaction",
         "group_frequency",
-        days_between(before, F.col("transaction_datetime")).alias("gap"),
+        days_between(F.coalesce("previous", "before_slot"), at).alias("gap"),
     )
 
 
@@ -188,7 +189,7 @@ def group_intervals(history: DataFrame) -> DataFrame:
     deviation = F.abs(F.col("gap") - frequency)
     return (
         history.select(*PAIR, "transaction_datetime", "transaction_id")
-        .join(gaps, [*PAIR, "transaction_datetime"])
+        .join(gaps.hint("merge"), [*PAIR, "transaction_datetime"])
         .withColumn("gap", gap)
         .where(F.col("gap").isNotNull())
         .select(
@@ -201,44 +202,19 @@ def group_intervals(history: DataFrame) -> DataFrame:
     )
 
 
-def _relative_deviation(start, end):
-    frequency = F.col("group_frequency")
-    return F.abs(days_between(start, end) - frequency) / frequency
-
-
 def group_stabilities(history: DataFrame) -> DataFrame:
-    """Average relative deviation of the gaps; NULL after a single purchase.
-
-    Gaps between hours come from the hours of the pair alone. Only hours with several
-    moments are joined back to them for the gaps inside. A gap of zero, between purchases
-    at one moment, deviates by exactly one frequency.
-    """
-    moments, slots = _slotted_moments(history)
-    dated = F.col("opening").isNotNull()
-    across = slots.groupBy(*PAIR).agg(
-        F.sum(F.when(dated, F.col("in_slot"))).alias("purchases"),
-        F.sum(F.when(dated, F.col("in_slot") - F.col("moments"))).alias("zero_gaps"),
-        F.sum(_relative_deviation(F.col("before_slot"), F.col("opening"))).alias("across"),
+    """Average relative deviation of the gaps; NULL after a single purchase."""
+    frequency = F.col("group_frequency")
+    dated = F.col("transaction_datetime").isNotNull()
+    # A gap of zero deviates by exactly one frequency.
+    deviation = F.coalesce(F.abs(F.col("gap") - frequency) / frequency, F.lit(0.0)) + (
+        F.col("purchases") - 1
     )
-    within = (
-        moments.where(F.col("previous").isNotNull())
-        .select(*PAIR, "slot", "previous", "transaction_datetime")
-        .join(
-            slots.where(F.col("moments") > 1).select(*PAIR, "slot", "group_frequency"),
-            [*PAIR, "slot"],
-        )
+    gaps = F.sum(F.when(dated, F.col("purchases"))) - 1
+    return (
+        purchase_gaps(history)
         .groupBy(*PAIR)
-        .agg(
-            F.sum(
-                _relative_deviation(F.col("previous"), F.col("transaction_datetime"))
-            ).alias("within")
-        )
-    )
-    deviations = (
-        F.coalesce("across", F.lit(0.0)) + F.coalesce("within", F.lit(0.0)) + F.col("zero_gaps")
-    )
-    return across.join(within, PAIR, "left").select(
-        *PAIR, ratio(deviations, F.col("purchases") - 1).alias("group_stability_index")
+        .agg(ratio(F.sum(F.when(dated, deviation)), gaps).alias("group_stability_index"))
     )
 
 
@@ -298,34 +274,49 @@ def history_caps(history: DataFrame, margin_share: float) -> DataFrame:
     return offer_caps(averages, margin_share)
 
 
-def groups_view(
-    baskets: DataFrame,
-    as_of: dt.datetime,
-    margin: MarginRule | None = None,
-    keep: tuple[str, ...] = (),
+def pair_indices(
+    baskets: DataFrame, as_of: dt.datetime, margin: MarginRule | None = None
 ) -> DataFrame:
-    """All group indices; ``baskets`` is read by several branches, so stage it first.
+    """The indices one aggregation yields, with the span and averages of every pair.
 
-    ``keep`` passes further columns of the pair profiles through, such as the averages the
-    offers need.
+    Offers filter these first, so that affinity is worked out for the remaining pairs only:
+    no filter on it could pass through its windows by itself.
     """
     rule = margin or MarginRule()
-    history = history_of(baskets)
     profiles = pair_profiles(baskets, rule.since(as_of))
     indices = profiles.select(
         *PAIR,
+        "first_group_purchase_date",
+        "last_group_purchase_date",
+        "group_purchase",
+        "average_summ",
+        "average_cost",
         _churn_rate(as_of).alias("group_churn_rate"),
         "group_margin",
         _discount_share().alias("group_discount_share"),
         *_discounts(),
-        *keep,
     )
     if rule.latest_only:
-        indices = indices.drop("group_margin").join(
-            group_margins(history, rule, as_of), PAIR, "left"
-        )
-    return (
-        indices.join(group_affinities(history, profiles), PAIR)
-        .join(group_stabilities(history), PAIR, "left")
-        .select(*GROUP_COLUMNS, *keep)
-    )
+        recent = group_margins(history_of(baskets), rule, as_of)
+        indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
+    return indices
+
+
+def with_affinity(indices: DataFrame, history: DataFrame) -> DataFrame:
+    return indices.join(group_affinities(history, indices).hint("merge"), PAIR)
+
+
+def with_stability(indices: DataFrame, history: DataFrame) -> DataFrame:
+    return indices.join(group_stabilities(history).hint("merge"), PAIR, "left")
+
+
+def groups_view(
+    baskets: DataFrame, as_of: dt.datetime, margin: MarginRule | None = None
+) -> DataFrame:
+    """All group indices; ``baskets`` is read by several branches, so stage it first.
+
+    All branches end partitioned by the pair, so merging them needs no further shuffle.
+    """
+    history = history_of(baskets)
+    indices = with_affinity(pair_indices(baskets, as_of, margin), history)
+    return with_stability(indices, history).select(*GROUP_COLUMNS)

@@ -15,10 +15,6 @@ from tallystick.operators.ordering import first_per_key, latest
 from tallystick.operators.purchases import customer_transactions
 from tallystick.sources.tables import Tables
 
-# Columns the offers need from ``groups_view(..., keep=AVERAGES)``.
-AVERAGES = ("average_summ", "average_cost")
-
-
 @dataclass(frozen=True)
 class Reward:
     """Who may get a group discount: churn and share limits in the offer's own terms."""
@@ -51,14 +47,15 @@ class AverageCheck:
             raise ValueError("method must be 1 (period) or 2 (transactions)")
 
 
-def eligible_groups(groups: DataFrame, reward: Reward) -> DataFrame:
+def eligible_groups(indices: DataFrame, reward: Reward) -> DataFrame:
     """Pairs within the churn and share limits whose rounded least discount is below the cap.
 
-    A pair that was never reduced has no least discount, so it never qualifies.
+    Needs nothing but ``groups.pair_indices``. A pair that was never reduced has no least
+    discount, so it never qualifies.
     """
     depth = step_up(F.col("group_minimum_discount"))
     return (
-        groups.where(
+        indices.where(
             (settled(F.col("group_churn_rate")) <= reward.max_churn)
             & (settled(F.col("group_discount_share")) < reward.max_discount_share / 100)
         )
@@ -71,9 +68,9 @@ def _affinity_order() -> list[Column]:
     return [F.col("group_affinity_index").desc_nulls_last(), F.col("group_id").asc()]
 
 
-def best_groups(groups: DataFrame, reward: Reward) -> DataFrame:
+def best_groups(eligible: DataFrame) -> DataFrame:
     """The eligible group of greatest affinity of every customer."""
-    return first_per_key(eligible_groups(groups, reward), ["customer_id"], _affinity_order())
+    return first_per_key(eligible, ["customer_id"], _affinity_order())
 
 
 def selected_transactions(tables: Tables, check: AverageCheck) -> DataFrame:
@@ -112,18 +109,10 @@ def target_checks(tables: Tables, check: AverageCheck) -> DataFrame:
     )
 
 
-def average_check_offers(
-    tables: Tables,
-    groups: DataFrame,
-    check: AverageCheck | None = None,
-    reward: Reward | None = None,
-    all_groups: bool = False,
-) -> DataFrame:
-    """One offer per customer on the best group; ``all_groups`` keeps every eligible group."""
-    reward = reward or Reward()
-    rewarded = eligible_groups(groups, reward) if all_groups else best_groups(groups, reward)
+def average_check_offers(tables: Tables, rewarded: DataFrame, check: AverageCheck) -> DataFrame:
+    """Target check and discount for every rewarded group, best or merely eligible."""
     return (
-        rewarded.join(target_checks(tables, check or AverageCheck()), "customer_id")
+        rewarded.join(target_checks(tables, check), "customer_id")
         .join(tables.sku_groups, "group_id")
         .select("customer_id", "required_check_measure", "group_name", "offer_discount_depth")
     )
@@ -131,24 +120,21 @@ def average_check_offers(
 
 def visit_growth_offers(
     tables: Tables,
-    groups: DataFrame,
+    rewarded: DataFrame,
     customers: DataFrame,
     start: dt.datetime,
     end: dt.datetime,
     added_transactions: int = 1,
-    reward: Reward | None = None,
 ) -> DataFrame:
     """Required visits in the period and the discount that rewards them.
 
     ``customers`` needs ``customer_id`` and ``customer_frequency`` only. Customers with
     frequency zero have no expected number of visits and get no offer.
     """
-    reward = reward or Reward(max_churn=4, max_discount_share=80, margin_share=50)
     expected = ratio(days_between(moment(start), moment(end)), F.col("customer_frequency"))
     required = F.round(settled(expected)).cast("int") + F.lit(added_transactions)
     return (
-        best_groups(groups, reward)
-        .join(customers.select("customer_id", "customer_frequency"), "customer_id")
+        rewarded.join(customers.select("customer_id", "customer_frequency"), "customer_id")
         .where(F.col("customer_frequency") != 0)
         .join(tables.sku_groups, "group_id")
         .select(
@@ -219,33 +205,30 @@ class CrossSell:
             raise ValueError("number_of_groups must be at least 1")
 
 
-def cross_sell_candidates(groups: DataFrame, params: CrossSell) -> DataFrame:
-    """The steady, living groups of greatest affinity of every customer."""
-    steady = groups.where(
-        (settled(F.col("group_churn_rate")) <= params.max_churn)
-        & (settled(F.col("group_stability_index")) < params.max_stability)
-    )
-    return first_per_key(steady, ["customer_id"], _affinity_order(), params.number_of_groups)
+def living_groups(indices: DataFrame, params: CrossSell) -> DataFrame:
+    return indices.where(settled(F.col("group_churn_rate")) <= params.max_churn)
+
+
+def steady_groups(indices: DataFrame, params: CrossSell) -> DataFrame:
+    """Drops pairs without a stability, too: they were bought once."""
+    return indices.where(settled(F.col("group_stability_index")) < params.max_stability)
 
 
 def cross_sell_offers(
-    tables: Tables,
-    groups: DataFrame,
-    primary_stores: DataFrame,
-    params: CrossSell | None = None,
+    tables: Tables, groups: DataFrame, primary_stores: DataFrame, params: CrossSell
 ) -> DataFrame:
     """Per chosen group the best-margin SKU of the primary store, if its discount fits.
 
-    Groups are chosen before prices are joined. Besides the offer, ``sku_id`` and
-    ``group_id`` tell SKUs of the same name apart.
+    ``groups`` are living and steady. Those of greatest affinity are chosen before prices
+    are joined. Besides the offer, ``sku_id`` and ``group_id`` tell SKUs of the same name
+    apart.
     """
-    params = params or CrossSell()
     share_of_margin = F.lit(float(params.margin_share))
     cap = ratio(F.col("sku_margin"), F.col("sku_retail_price")) * share_of_margin
     depth = step_up(F.col("group_minimum_discount"))
     # A store without any transaction cannot be a primary store.
     return (
-        cross_sell_candidates(groups, params)
+        first_per_key(groups, ["customer_id"], _affinity_order(), params.number_of_groups)
         .join(primary_stores, "customer_id")
         .withColumnRenamed("customer_primary_store", "transaction_store_id")
         .join(best_margin_skus(tables), ["transaction_store_id", "group_id"])

@@ -3,6 +3,7 @@
 A window partitioned by the key alone would put all rows of a hot key into one task.
 These steps work in two levels instead: inside (key, hour), then over the hours of a
 key. The second level has at most as many rows per key as there are hours in the data.
+Both levels grow with the data, so they are merged, never broadcast.
 """
 
 from __future__ import annotations
@@ -21,21 +22,27 @@ _TRIMMED_BEFORE_SHUFFLE = 1000
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], at: str, value: str, total: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    total: str,
+    wanted: Column | None = None,
 ) -> DataFrame:
-    """Add the total of ``value`` over all rows of the key up to and including ``at``.
+    """Add the total of ``value`` over the rows of the key up to and including this one.
 
-    Expects one row per (keys, at) and values that are not negative.
+    ``order`` begins with a moment. Values must not be negative. Only ``wanted`` rows
+    are returned; the others just count.
     """
     in_slot = (
         Window.partitionBy(*keys, "_slot")
-        .orderBy(at)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
-    slotted = df.withColumn("_slot", hour_slot(F.col(at))).withColumn(
+    slotted = df.withColumn("_slot", hour_slot(F.col(order[0]))).withColumn(
         "_inside", F.sum(value).over(in_slot)
     )
     # The greatest running total of a slot is its total; taken from the windowed rows, it
@@ -47,8 +54,9 @@ def running_total(
             *keys, "_slot", F.coalesce(F.sum("_in_slot").over(earlier), F.lit(0)).alias("_before")
         )
     )
+    rows = slotted if wanted is None else slotted.where(wanted)
     return (
-        slotted.join(slots, [*keys, "_slot"])
+        rows.join(slots.hint("merge"), [*keys, "_slot"])
         .withColumn(total, F.col("_before") + F.col("_inside"))
         .drop("_slot", "_inside", "_before")
     )
@@ -78,7 +86,7 @@ def latest(df: DataFrame, keys: Sequence[str], at: str, tie: str, count: int) ->
     )
     place = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy(*newest_first))
     return (
-        slotted.join(slots, [*keys, "_slot"])
+        slotted.join(slots.hint("merge"), [*keys, "_slot"])
         .withColumn("_place", F.col("_later") + place)
         .where(F.col("_place") <= count)
         .drop("_slot", "_later", "_place")

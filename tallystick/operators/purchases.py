@@ -36,13 +36,15 @@ def customer_transactions(tables: Tables) -> DataFrame:
 def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
     """Check lines with customer, product group and, on request, the store's purchase price.
 
-    No side is marked for broadcast: Spark broadcasts catalogue and prices where their
-    measured size allows, and otherwise shuffles and splits the hot keys.
+    The two fact tables are merged on the transaction, never broadcast; the rows then stay
+    partitioned by transaction, so sums per transaction need no further shuffle. Cards,
+    catalogue and prices are not marked: Spark broadcasts them where their size allows, and
+    otherwise shuffles and splits the hot keys.
     """
     lines = (
         customer_transactions(tables)
         .drop("transaction_summ")
-        .join(tables.checks, "transaction_id")
+        .join(tables.checks.hint("merge"), "transaction_id")
         .join(tables.product_matrix.select("sku_id", "group_id"), "sku_id")
     )
     if price_join is None:

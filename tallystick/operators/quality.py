@@ -8,7 +8,7 @@ from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystick.sources.tables import SPECS, Column, Tables, TableSpec
+from tallystick.sources.tables import SPECS, Column, Reference, Tables, TableSpec
 
 REPORT_COLUMNS = ["table", "rule", "key", "value"]
 
@@ -112,35 +112,49 @@ def _repeats(df: DataFrame, spec: TableSpec, column: str, rule: str, nulls_count
     )
 
 
+def _unique_rules() -> list[tuple[TableSpec, str, str, bool]]:
+    rules = []
+    for spec in SPECS.values():
+        if spec.primary_key:
+            rules.append((spec, spec.primary_key, f"{spec.primary_key} primary key", True))
+        rules += [(spec, column, f"{column} unique", False) for column in spec.unique]
+    return rules
+
+
 def unique_violations(tables: Tables) -> DataFrame:
     """Repeated or missing primary keys, repeated unique values; the value is the row count."""
-    reports = []
-    for name, spec in SPECS.items():
-        if spec.primary_key:
-            rule = f"{spec.primary_key} primary key"
-            reports.append(_repeats(tables[name], spec, spec.primary_key, rule, True))
-        for column in spec.unique:
-            reports.append(_repeats(tables[name], spec, column, f"{column} unique", False))
-    return _union(reports)
+    return _union(
+        [
+            _repeats(tables[spec.name], spec, column, rule, nulls_count)
+            for spec, column, rule, nulls_count in _unique_rules()
+        ]
+    )
+
+
+def _used_keys(tables: Tables, table: str, ref: Reference) -> DataFrame:
+    """Distinct values of a reference with their row counts."""
+    return (
+        tables[table]
+        .where(F.col(ref.column).isNotNull())
+        .groupBy(F.col(ref.column).alias("key"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
 
 
 def reference_violations(tables: Tables) -> DataFrame:
     """Values without a row in the table they refer to; the value is the row count.
 
-    Each side is reduced to its distinct keys first, so no hot key reaches the anti join.
+    The referring side is reduced to its distinct keys first, so no hot key reaches the
+    anti join.
     """
     reports = []
     for name, spec in SPECS.items():
         for ref in spec.references:
-            used = (
-                tables[name]
-                .where(F.col(ref.column).isNotNull())
-                .groupBy(F.col(ref.column).alias("key"))
-                .agg(F.count(F.lit(1)).alias("rows"))
-            )
             known = tables[ref.table].select(F.col(ref.key).alias("key"))
             reports.append(
-                used.join(known, "key", "left_anti").select(
+                _used_keys(tables, name, ref)
+                .join(known, "key", "left_anti")
+                .select(
                     F.lit(name).alias("table"),
                     F.lit(f"{ref.column} in {ref.table}").alias("rule"),
                     F.col("key").cast("string").alias("key"),
@@ -170,37 +184,66 @@ def violations(tables: Tables, any_case: bool = False) -> DataFrame:
     )
 
 
+def _row_rule_counts(df: DataFrame, spec: TableSpec) -> DataFrame | None:
+    rules = [
+        rule
+        for column in spec.columns
+        for rule in (
+            *_range_rules(column),
+            *_pattern_rules(column, False),
+            *_required_rules(column),
+            *_length_rules(column),
+        )
+    ]
+    if not rules:
+        return None
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.when(bad, 1)).alias(f"r{i}") for i, (_, bad, _) in enumerate(rules)],
+    )
+    each = F.array(
+        *[
+            F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("broken"))
+            for i, (rule, _, _) in enumerate(rules)
+        ]
+    )
+    return counts.select("rows", F.explode(each).alias("v")).select(
+        F.lit(spec.name).alias("table"), "v.rule", "rows", "v.broken"
+    )
+
+
 def rule_counts(tables: Tables) -> DataFrame:
-    """Rows checked and rows refused, for every row rule, whether broken or not."""
-    reports = []
+    """Rows checked and rows that break a rule, for every rule, broken or not.
+
+    A row with a repeated or dangling value counts as broken itself.
+    """
+    rows, broken = F.sum("rows"), F.sum(F.when(F.col("bad"), F.col("rows")))
+
+    def counted(keys: DataFrame, table: str, rule: str) -> DataFrame:
+        return keys.agg(
+            F.coalesce(rows, F.lit(0)).alias("rows"), F.coalesce(broken, F.lit(0)).alias("broken")
+        ).select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), "rows", "broken")
+
+    reports = [_row_rule_counts(tables[name], spec) for name, spec in SPECS.items()]
+    for spec, column, rule, nulls_count in _unique_rules():
+        missing = F.col(column).isNull()
+        bad = (F.col("rows") > 1) | missing if nulls_count else (F.col("rows") > 1) & ~missing
+        keys = tables[spec.name].groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+        reports.append(counted(keys.withColumn("bad", bad), spec.name, rule))
     for name, spec in SPECS.items():
-        rules = [
-            rule
-            for column in spec.columns
-            for rule in (
-                *_range_rules(column),
-                *_pattern_rules(column, False),
-                *_required_rules(column),
-                *_length_rules(column),
-            )
-        ]
-        if not rules:
-            continue
-        counts = tables[name].agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count(F.when(bad, 1)).alias(f"r{i}") for i, (_, bad, _) in enumerate(rules)],
-        )
-        each = F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("broken"))
-                    for i, (rule, _, _) in enumerate(rules)
-                ]
+        for ref in spec.references:
+            known = (
+                tables[ref.table]
+                .select(F.col(ref.key).alias("key"))
+                .distinct()
+                .withColumn("known", F.lit(True))
             )
-        )
-        reports.append(
-            counts.select("rows", each.alias("v")).select(
-                F.lit(name).alias("table"), "v.rule", "rows", "v.broken"
+            keys = _used_keys(tables, name, ref).join(known, "key", "left")
+            reports.append(
+                counted(
+                    keys.withColumn("bad", F.col("known").isNull()),
+                    name,
+                    f"{ref.column} in {ref.table}",
+                )
             )
-        )
-    return reduce(DataFrame.unionByName, reports)
+    return reduce(DataFrame.unionByName, [r for r in reports if r is not None])

@@ -61,13 +61,16 @@ class LoyaltyModel:
         """Without the segments, which the visit offers do not need."""
         return customers.customer_metrics(customers.store_visits(self.tables), self.as_of)
 
-    @cached_property
-    def _groups_with_averages(self) -> DataFrame:
-        return groups.groups_view(self.baskets, self.as_of, self.margin, keep=offers.AVERAGES)
-
     @cached_property
     def groups(self) -> DataFrame:
-        return self._groups_with_averages.select(*groups.GROUP_COLUMNS)
+        return groups.groups_view(self.baskets, self.as_of, self.margin)
+
+    def _eligible(self, reward: offers.Reward) -> DataFrame:
+        return offers.eligible_groups(groups.pair_indices(self.baskets, self.as_of), reward)
+
+    def _best(self, reward: offers.Reward) -> DataFrame:
+        eligible = groups.with_affinity(self._eligible(reward), self.purchase_history)
+        return offers.best_groups(eligible)
 
     def group_margins(self, count_type: int = 1, limit: int | None = None) -> DataFrame:
         rule = groups.MarginRule(count_type, limit)
@@ -92,9 +95,9 @@ class LoyaltyModel:
             check = offers.AverageCheck(2, quantity=quantity, coefficient=coefficient)
         else:
             raise ValueError("method 1 takes a period, method 2 a number of transactions")
-        return offers.average_check_offers(
-            self.tables, self._groups_with_averages, check, offers.Reward(*limits), all_groups
-        )
+        reward = offers.Reward(*limits)
+        rewarded = self._eligible(reward) if all_groups else self._best(reward)
+        return offers.average_check_offers(self.tables, rewarded, check)
 
     def generate_growth_offers(
         self,
@@ -108,12 +111,11 @@ class LoyaltyModel:
         """Offers for more frequent visits in the period."""
         return offers.visit_growth_offers(
             self.tables,
-            self._groups_with_averages,
+            self._best(offers.Reward(max_churn, max_discount_share, margin_share)),
             self.customer_frequencies,
             start,
             end,
             added_transactions,
-            offers.Reward(max_churn, max_discount_share, margin_share),
         )
 
     def generate_cross_selling(
@@ -128,9 +130,13 @@ class LoyaltyModel:
         params = offers.CrossSell(
             number_of_groups, max_churn, max_stability, max_sku_share, margin_share
         )
-        return offers.cross_sell_offers(
-            self.tables, self._groups_with_averages, self.primary_stores, params
-        )
+        indices = groups.pair_indices(self.baskets, self.as_of)
+        living = offers.living_groups(indices, params)
+        # Affinity reads its input twice, so the costly stability comes after it.
+        known = groups.with_affinity(living, self.purchase_history)
+        known = groups.with_stability(known, self.purchase_history)
+        steady = offers.steady_groups(known, params)
+        return offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
 
     def register_views(self) -> None:
         """Input tables and views under their names for ``spark.sql``."""

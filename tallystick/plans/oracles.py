@@ -442,6 +442,50 @@ def _dangling(table: str, source: str, column: str, rule: str, parent: str, key:
         GROUP BY {column}"""
 
 
+def _repeat_counts(table: str, source: str, column: str, rule: str, nulls: bool) -> str:
+    missing = f"OR {column} IS NULL" if nulls else f"AND {column} IS NOT NULL"
+    return f"""SELECT '{table}' AS "table", '{rule}' AS rule, COUNT(*) AS "rows",
+        COUNT(*) FILTER (WHERE copies > 1 {missing}) AS broken
+        FROM (SELECT {column}, COUNT(*) OVER (PARTITION BY {column}) AS copies FROM {source})"""
+
+
+def _dangling_counts(
+    table: str, source: str, column: str, rule: str, parent: str, key: str
+) -> str:
+    return f"""SELECT '{table}' AS "table", '{rule}' AS rule, COUNT({column}) AS "rows",
+        COUNT({column}) FILTER (WHERE {column} NOT IN (SELECT {key} FROM {parent})) AS broken
+        FROM {source}"""
+
+
+_UNIQUE = [
+    ("personal_details", "people", "customer_id", "customer_id primary key", True),
+    ("personal_details", "people", "customer_primary_email", "customer_primary_email unique",
+     False),
+    ("personal_details", "people", "customer_primary_phone", "customer_primary_phone unique",
+     False),
+    ("customer_cards", "owners", "card", "customer_card_id primary key", True),
+    ("transactions", "orders", "o_orderkey", "transaction_id primary key", True),
+    ("sku_groups", "named", "group_id", "group_id primary key", True),
+    ("product_matrix", "goods", "sku_id", "sku_id primary key", True),
+]
+
+_REFERENCES = [
+    ("customer_cards",
+     "(SELECT DISTINCT o_custkey, o_custkey * 2 + o_orderkey % 2 AS card FROM orders)",
+     "o_custkey", "customer_id in personal_details", "customer", "c_custkey"),
+    ("transactions", "(SELECT o_custkey * 2 + o_orderkey % 2 AS used FROM orders)", "used",
+     "customer_card_id in customer_cards",
+     "(SELECT DISTINCT o_custkey * 2 + o_orderkey % 2 AS card FROM orders)", "card"),
+    ("product_matrix", "(SELECT group_id AS used FROM goods)", "used", "group_id in sku_groups",
+     "named", "group_id"),
+    ("checks", "lineitem", "l_orderkey", "transaction_id in transactions", "orders",
+     "o_orderkey"),
+    ("checks", "lineitem", "l_partkey", "sku_id in product_matrix", "part", "p_partkey"),
+    ("retail_stores", "(SELECT sku_id AS used FROM prices)", "used", "sku_id in product_matrix",
+     "part", "p_partkey"),
+]
+
+
 def statements() -> dict[str, str]:
     s = _statement
     return {
@@ -644,48 +688,14 @@ def statements() -> dict[str, str]:
             _cross(5, 10, 1.0, 1.2), "indices", "home", "best", "sku_part"
         ),
         "dq_unique": s(
-            "\nUNION ALL\n".join(
-                _repeats(*arguments)
-                for arguments in (
-                    ("personal_details", "people", "customer_id", "customer_id primary key", True),
-                    ("personal_details", "people", "customer_primary_email",
-                     "customer_primary_email unique", False),
-                    ("personal_details", "people", "customer_primary_phone",
-                     "customer_primary_phone unique", False),
-                    ("customer_cards", "owners", "card", "customer_card_id primary key", True),
-                    ("transactions", "orders", "o_orderkey", "transaction_id primary key", True),
-                    ("sku_groups", "named", "group_id", "group_id primary key", True),
-                    ("product_matrix", "goods", "sku_id", "sku_id primary key", True),
-                )
-            ),
+            "\nUNION ALL\n".join(_repeats(*rule) for rule in _UNIQUE),
             "people",
             "owners",
             "named",
             "goods",
         ),
         "dq_foreign_keys": s(
-            "\nUNION ALL\n".join(
-                _dangling(*arguments)
-                for arguments in (
-                    ("customer_cards",
-                     "(SELECT DISTINCT o_custkey, o_custkey * 2 + o_orderkey % 2 AS card "
-                     "FROM orders)",
-                     "o_custkey", "customer_id in personal_details", "customer", "c_custkey"),
-                    ("transactions",
-                     "(SELECT o_custkey * 2 + o_orderkey % 2 AS used FROM orders)",
-                     "used", "customer_card_id in customer_cards",
-                     "(SELECT DISTINCT o_custkey * 2 + o_orderkey % 2 AS card FROM orders)",
-                     "card"),
-                    ("product_matrix", "(SELECT group_id AS used FROM goods)", "used",
-                     "group_id in sku_groups", "named", "group_id"),
-                    ("checks", "lineitem", "l_orderkey", "transaction_id in transactions",
-                     "orders", "o_orderkey"),
-                    ("checks", "lineitem", "l_partkey", "sku_id in product_matrix", "part",
-                     "p_partkey"),
-                    ("retail_stores", "(SELECT sku_id AS used FROM prices)", "used",
-                     "sku_id in product_matrix", "part", "p_partkey"),
-                )
-            ),
+            "\nUNION ALL\n".join(_dangling(*rule) for rule in _REFERENCES),
             "goods",
             "named",
             "prices",
@@ -698,10 +708,17 @@ def statements() -> dict[str, str]:
         "dq_required": s(_violations(_REQUIRED), "prices"),
         "dq_lengths": s(_violations(_LENGTHS), "people", "named", "goods"),
         "dq_rule_counts": s(
-            _counts([*_RANGES, *_patterns(_NAME), *_REQUIRED, *_LENGTHS]),
+            "\nUNION ALL\n".join(
+                [
+                    _counts([*_RANGES, *_patterns(_NAME), *_REQUIRED, *_LENGTHS]),
+                    *(_repeat_counts(*rule) for rule in _UNIQUE),
+                    *(_dangling_counts(*rule) for rule in _REFERENCES),
+                ]
+            ),
             "lines",
             "prices",
             "people",
+            "owners",
             "named",
             "goods",
         ),

@@ -35,7 +35,7 @@ def test_running_total(spark, seed):
         if at is not None:
             counts[key, at] = counts.get((key, at), 0) + 1
     frame = spark.createDataFrame([(k, a, n) for (k, a), n in counts.items()], SCHEMA)
-    rows = ordering.running_total(frame, ["key"], "at", "id", "total").collect()
+    rows = ordering.running_total(frame, ["key"], ["at"], "id", "total").collect()
     assert len(rows) == len(counts)
     for row in rows:
         expected = sum(n for (k, a), n in counts.items() if k == row.key and a <= row["at"])
