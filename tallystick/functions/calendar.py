@@ -22,8 +22,10 @@ def moment(value: dt.datetime | dt.date | str) -> Column:
 
 
 def days_between(start: Column, end: Column) -> Column:
-    """Fractional days from start to end."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(float(MICROSECONDS_PER_DAY))
+    """Fractional days from start to end, by the calendar alone, in no time zone."""
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)").cast("double")
+    # Whole microseconds: binary fractions of a second must not show in the quotient.
+    return F.rint(seconds * 1_000_000) / F.lit(float(MICROSECONDS_PER_DAY))
 
 
 def hour_slot(at: Column) -> Column:
@@ -31,6 +33,5 @@ def hour_slot(at: Column) -> Column:
 
     Moments that are NULL sort before all others.
     """
-    return F.coalesce(
-        F.timestamp_diff("HOUR", moment("1970-01-01 00:00:00"), at), F.lit(-(10**15))
-    )
+    hours = (at - moment("1970-01-01 00:00:00")).cast("interval hour").cast("long")
+    return F.coalesce(hours, F.lit(-(10**15)))

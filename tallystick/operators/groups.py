@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallystick.functions.calendar import days_between, hour_slot, moment
 from tallystick.functions.discounts import ratio
-from tallystick.operators.ordering import latest, running_total
+from tallystick.operators.ordering import latest, total_until
 from tallystick.operators.periods import PAIR, mean, pair_profiles, purchase_frequency
 from tallystick.operators.purchases import history_of
 
@@ -83,38 +83,29 @@ def group_affinities(
     """Transactions with the group over all transactions between its first and last purchase.
 
     Joining each pair to all transactions in its span would multiply the rows of a busy
-    customer. Instead the two ends of every span are sorted in among the customer's
-    transactions: an opening before, a closing after those of the same moment. The running
-    number of transactions at the closing less that at the opening is the span's content.
-    ``every_row`` counts history rows instead of unique transactions.
+    customer. Instead both ends of every span look up the running number of transactions:
+    those up to the last purchase less those before the first. ``every_row`` counts
+    history rows instead of unique transactions.
     """
-    opening, visit, closing = 0, 1, 2
-    visits = _visits(history, every_row).select(
-        "customer_id",
-        F.lit(None).cast("long").alias("group_id"),
-        F.lit(None).cast("long").alias("group_purchase"),
-        F.col("transaction_datetime").alias("at"),
-        F.lit(visit).alias("step"),
-        "visits",
-    )
     both_ends = F.array(
-        F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(opening).alias("step")),
-        F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(closing).alias("step")),
+        F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(False).alias("last")),
+        F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(True).alias("last")),
     )
     ends = (
         profiles.where(F.col("first_group_purchase_date").isNotNull())
         .select(*PAIR, "group_purchase", F.explode(both_ends).alias("end"))
-        .select(*PAIR, "group_purchase", "end.at", "end.step", F.lit(0).cast("long").alias("visits"))
+        .select(*PAIR, "group_purchase", F.col("end.at").alias("transaction_datetime"), "end.last")
     )
-    totals = running_total(
-        visits.unionByName(ends),
+    totals = total_until(
+        _visits(history, every_row),
+        ends,
         ["customer_id"],
-        ["at", "step"],
+        "transaction_datetime",
         "visits",
-        "up_to",
-        wanted=F.col("step") != visit,
+        inclusive=F.col("last"),
+        total="until",
     )
-    inside = F.sum(F.when(F.col("step") == closing, F.col("up_to")).otherwise(-F.col("up_to")))
+    inside = F.sum(F.when(F.col("last"), F.col("until")).otherwise(-F.col("until")))
     return totals.groupBy(*PAIR).agg(
         ratio(F.max("group_purchase"), inside).alias("group_affinity_index")
     )

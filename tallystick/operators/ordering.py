@@ -21,44 +21,62 @@ from tallystick.sources.workspace import staged
 _TRIMMED_BEFORE_SHUFFLE = 1000
 
 
-def running_total(
-    df: DataFrame,
+def total_until(
+    counted: DataFrame,
+    readers: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    at: str,
     value: str,
+    inclusive: Column,
     total: str,
-    wanted: Column | None = None,
 ) -> DataFrame:
-    """Add the total of ``value`` over the rows of the key up to and including this one.
+    """Give every reader the total ``value`` of the key's counted rows before its moment.
 
-    ``order`` begins with a moment. Values must not be negative. Only ``wanted`` rows
-    are returned; the others just count.
+    Readers for which ``inclusive`` holds also count the rows at their own moment. Readers
+    are sorted in among the counted rows, before or after those of the same moment, and
+    take the running total there; no reader is joined to the rows it counts.
+
+    Every reader's moment must lie in an hour with a counted row.
     """
+    before, row, after = 0, 1, 2
+    step = F.when(inclusive, after).otherwise(before)
+    payload = [c for c in readers.columns if c not in (*keys, at)]
+    # Packed, because the missing values of counted rows would otherwise show up as filters
+    # on the tables the result is joined to, and spoil the reuse of their shuffles.
+    together = readers.select(
+        *keys,
+        at,
+        step.alias("_step"),
+        F.lit(0).cast("long").alias(value),
+        F.struct(*payload).alias("_reader"),
+    ).unionByName(
+        counted.select(*keys, at, F.lit(row).alias("_step"), value), allowMissingColumns=True
+    )
     in_slot = (
         Window.partitionBy(*keys, "_slot")
-        .orderBy(*order)
+        .orderBy(at, "_step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    read = (
+        together.withColumn("_slot", hour_slot(F.col(at)))
+        .withColumn("_inside", F.sum(value).over(in_slot))
+        .where(F.col("_step") != row)
+    )
     earlier = (
         Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
-    slotted = df.withColumn("_slot", hour_slot(F.col(order[0]))).withColumn(
-        "_inside", F.sum(value).over(in_slot)
-    )
-    # The greatest running total of a slot is its total; taken from the windowed rows, it
-    # needs no shuffle of its own.
     slots = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.max("_inside").alias("_in_slot"))
+        counted.groupBy(*keys, hour_slot(F.col(at)).alias("_slot"))
+        .agg(F.sum(value).alias("_in_slot"))
         .select(
             *keys, "_slot", F.coalesce(F.sum("_in_slot").over(earlier), F.lit(0)).alias("_before")
         )
     )
-    rows = slotted if wanted is None else slotted.where(wanted)
     return (
-        rows.join(slots.hint("merge"), [*keys, "_slot"])
-        .withColumn(total, F.col("_before") + F.col("_inside"))
-        .drop("_slot", "_inside", "_before")
+        read.join(slots.hint("merge"), [*keys, "_slot"])
+        .select(
+            *keys, at, "_reader.*", (F.col("_before") + F.col("_inside")).alias(total)
+        )
     )
 
 

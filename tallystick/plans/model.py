@@ -11,7 +11,7 @@ from tallystick.operators import customers, groups, offers, periods, purchases
 from tallystick.session import tune
 from tallystick.sources.delimited import read_analysis_date
 from tallystick.sources.tables import Tables
-from tallystick.sources.workspace import staged
+from tallystick.sources.workspace import discard_staged, staged
 
 
 class LoyaltyModel:
@@ -138,6 +138,13 @@ class LoyaltyModel:
         steady = offers.steady_groups(known, params)
         return offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
 
+    def release(self) -> None:
+        """Delete all staged tables of this process; the views have to be built anew."""
+        discard_staged(self.spark)
+        for name, member in vars(type(self)).items():
+            if isinstance(member, cached_property):
+                self.__dict__.pop(name, None)
+
     def register_views(self) -> None:
         """Input tables and views under their names for ``spark.sql``."""
         for name, frame in self.tables.items():

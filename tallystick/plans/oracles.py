@@ -705,6 +705,21 @@ def statements() -> dict[str, str]:
         "dq_patterns_any_case": s(
             _violations(_patterns("(?i)" + _NAME)), "people", "named", "goods"
         ),
+        "dq_all": s(
+            "\nUNION ALL\n".join(
+                [
+                    _violations([*_RANGES, *_patterns(_NAME), *_REQUIRED, *_LENGTHS]),
+                    *(_repeats(*rule) for rule in _UNIQUE),
+                    *(_dangling(*rule) for rule in _REFERENCES),
+                ]
+            ),
+            "lines",
+            "prices",
+            "people",
+            "owners",
+            "named",
+            "goods",
+        ),
         "dq_required": s(_violations(_REQUIRED), "prices"),
         "dq_lengths": s(_violations(_LENGTHS), "people", "named", "goods"),
         "dq_rule_counts": s(
@@ -734,4 +749,6 @@ def statements() -> dict[str, str]:
             "lines",
         ),
         "import_export_personal": s("SELECT * FROM people", "people"),
+        "analysis_date": """SELECT MAX(o_orderdate) + INTERVAL 1 DAY AS analysis_formation
+            FROM orders""",
     }

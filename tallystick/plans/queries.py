@@ -354,6 +354,11 @@ def dq_rule_counts(m):
     return quality.rule_counts(m.tables)
 
 
+@_query
+def dq_all(m):
+    return quality.violations(m.tables)
+
+
 # --- import and export ------------------------------------------------------------------
 
 
@@ -376,3 +381,8 @@ def import_export_checks(m):
 @_query
 def import_export_personal(m):
     return _round_trip(m, "personal_details", ",")
+
+
+@_query
+def analysis_date(m):
+    return m.tables.analysis_formation

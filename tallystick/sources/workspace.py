@@ -20,8 +20,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_FOLDERS: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tallystick/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tallystick/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.append(folder)
+    return folder
+
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what this process staged; frames that still read it stop working."""
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    configuration = spark._jsc.hadoopConfiguration()
+    while _FOLDERS:
+        path = path_class(_FOLDERS.pop())
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

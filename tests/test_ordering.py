@@ -1,4 +1,4 @@
-"""Two-level running totals, latest rows and global ranks against brute force."""
+"""Two-level totals, latest rows and global ranks against brute force."""
 
 from __future__ import annotations
 
@@ -29,16 +29,23 @@ SCHEMA = "key long, at timestamp_ntz, id long"
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_running_total(spark, seed):
-    counts = {}
+def test_total_until(spark, seed):
+    counts: dict = {}
     for key, at, _ in random_rows(seed):
         if at is not None:
             counts[key, at] = counts.get((key, at), 0) + 1
-    frame = spark.createDataFrame([(k, a, n) for (k, a), n in counts.items()], SCHEMA)
-    rows = ordering.running_total(frame, ["key"], ["at"], "id", "total").collect()
-    assert len(rows) == len(counts)
+    counted = spark.createDataFrame(
+        [(k, a, n) for (k, a), n in counts.items()], "key long, at timestamp_ntz, n long"
+    )
+    asked = [(k, a, last, i) for i, (k, a) in enumerate(counts) for last in (True, False)]
+    readers = spark.createDataFrame(asked, "key long, at timestamp_ntz, last boolean, id long")
+    rows = ordering.total_until(
+        counted, readers, ["key"], "at", "n", F.col("last"), "total"
+    ).collect()
+    assert len(rows) == len(asked)
     for row in rows:
-        expected = sum(n for (k, a), n in counts.items() if k == row.key and a <= row["at"])
+        mine = [(a, n) for (k, a), n in counts.items() if k == row.key]
+        expected = sum(n for a, n in mine if a < row["at"] or (row.last and a == row["at"]))
         assert row.total == expected
 
 

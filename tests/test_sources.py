@@ -164,3 +164,14 @@ def test_staged_tables_live_in_the_checkpoint_folder(spark):
     assert staged.inputFiles()
     assert all(folder.rsplit("/", 1)[1] in path for path in staged.inputFiles())
     assert staged.count() == 10
+    workspace.discard_staged(spark)
+    assert not any(pathlib.Path(p.removeprefix("file:")).exists() for p in staged.inputFiles())
+
+
+def test_released_models_build_their_tables_anew(spark, folder, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.load_all(folder)
+    model = LoyaltyModel(spark, store.tables())
+    before = sorted(map(tuple, model.periods.collect()))
+    model.release()
+    assert sorted(map(tuple, model.periods.collect())) == before

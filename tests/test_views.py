@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallystick.functions.calendar import days_between, hour_slot
 from tallystick.functions.discounts import step_up
 from tallystick.operators import customers, groups, periods, purchases
 from tests.small import AS_OF, at, by, tables
@@ -284,6 +285,22 @@ def test_margin_rules(spark):
         groups.MarginRule(3)
 
 
+def test_days_do_not_depend_on_the_session_time_zone(spark):
+    rows = [(dt.datetime(2021, 3, 14, 2, 30), dt.datetime(2021, 3, 15, 2, 30, 0, 864))]
+    frame = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz").coalesce(1)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = frame.select(
+            days_between(F.col("a"), F.col("b")).alias("d"),
+            (hour_slot(F.col("b")) - hour_slot(F.col("a"))).alias("h"),
+            hour_slot(F.lit(None).cast("timestamp_ntz")).alias("missing"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.d == 1.00000001 and row.h == 24 and row.missing < -(10**14)
+
+
 def test_step_up_ignores_binary_noise(spark):
     shares = [0.05, 0.05000000000001, 0.051, 0.15000000000000002, 0.0001, 0.3]
     frame = spark.createDataFrame([(s,) for s in shares], "s double").coalesce(1)
