@@ -125,8 +125,12 @@ class LoyaltyModel:
         max_stability: float = 0.5,
         max_sku_share: float = 100,
         margin_share: float = 30,
+        with_ids: bool = False,
     ) -> DataFrame:
-        """Offers that move a customer to the SKU of greatest margin."""
+        """Offers that move a customer to the SKU of greatest margin.
+
+        SKU names may repeat; ``with_ids`` adds the ids of SKU and group.
+        """
         params = offers.CrossSell(
             number_of_groups, max_churn, max_stability, max_sku_share, margin_share
         )
@@ -136,7 +140,8 @@ class LoyaltyModel:
         known = groups.with_affinity(living, self.purchase_history)
         known = groups.with_stability(known, self.purchase_history)
         steady = offers.steady_groups(known, params)
-        return offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
+        offered = offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
+        return offered if with_ids else offered.drop("sku_id", "group_id")
 
     def release(self) -> None:
         """Delete all staged tables of this process; the views have to be built anew."""

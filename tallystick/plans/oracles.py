@@ -323,9 +323,10 @@ def _check_offers(rewarded: str, check: str) -> str:
       FROM ({rewarded}) r JOIN ({check}) USING (customer_id) JOIN named USING (group_id)"""
 
 
-def _cross(groups: int, churn: float, stability: float, sku_share: float) -> str:
-    return f"""SELECT c.customer_id, b.sku_name, c.depth AS offer_discount_depth, b.sku_id,
-        c.group_id
+def _cross(
+    groups: int, churn: float, stability: float, sku_share: float, ids: str = ""
+) -> str:
+    return f"""SELECT c.customer_id, b.sku_name, c.depth AS offer_discount_depth {ids}
       FROM (SELECT *, {_DEPTH} AS depth FROM indices
             WHERE ROUND(churn, 9) <= {churn} AND ROUND(stability, 9) < {stability}
             QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id
@@ -685,7 +686,7 @@ def statements() -> dict[str, str]:
             _cross(5, 3, 0.5, 100), "indices", "home", "best", "sku_part"
         ),
         "offers_cross_sell_rare_skus": s(
-            _cross(5, 10, 1.0, 1.2), "indices", "home", "best", "sku_part"
+            _cross(5, 10, 1.0, 1.2, ", b.sku_id, c.group_id"), "indices", "home", "best", "sku_part"
         ),
         "dq_unique": s(
             "\nUNION ALL\n".join(_repeats(*rule) for rule in _UNIQUE),

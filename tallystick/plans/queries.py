@@ -308,7 +308,7 @@ def offers_cross_sell(m):
 
 @_query
 def offers_cross_sell_rare_skus(m):
-    return m.generate_cross_selling(5, 10, 1.0, 1.2, 30)
+    return m.generate_cross_selling(5, 10, 1.0, 1.2, 30, with_ids=True)
 
 
 # --- data quality -----------------------------------------------------------------------
