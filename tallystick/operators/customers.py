@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystick.functions.calendar import days_between, moment
@@ -13,6 +12,7 @@ from tallystick.functions.discounts import ratio
 from tallystick.operators.ordering import first_per_key, global_rank, latest
 from tallystick.operators.purchases import customer_transactions
 from tallystick.sources.tables import Tables
+from tallystick.sources.workspace import staged
 
 CUSTOMER_COLUMNS = [
     "customer_id",
@@ -126,7 +126,8 @@ def ntile_segments(metrics: DataFrame) -> DataFrame:
     """
 
     def bucketed(order: list[Column], column: str, levels: tuple[str, str, str]) -> DataFrame:
-        ranked = global_rank(metrics.select("customer_id", *_order_inputs(column)), order, "r", "n")
+        needed = metrics.select("customer_id", "customer_average_check", "customer_frequency")
+        ranked = global_rank(needed, order, "r", "n")
         bucket = percentile_bucket(F.col("r"), F.col("n"))
         return ranked.select(
             "customer_id",
@@ -139,10 +140,6 @@ def ntile_segments(metrics: DataFrame) -> DataFrame:
     return checks.join(frequencies, "customer_id")
 
 
-def _order_inputs(column: str) -> list[str]:
-    return {"check": ["customer_average_check"], "frequency": ["customer_frequency"]}[column]
-
-
 def segment_number(check: Column, frequency: Column, churn: Column) -> Column:
     """1 to 27: check counts nines, frequency threes, churn ones, each from the lowest level."""
 
@@ -223,7 +220,8 @@ def primary_stores(store_visits: DataFrame, loyal: DataFrame) -> DataFrame:
 
 
 def customers_view(tables: Tables, as_of: dt.datetime) -> DataFrame:
-    visits = store_visits(tables)
+    # Read twice: staged, it saves a scan and join of all transactions.
+    visits = staged(store_visits(tables), "store-visits")
     segmented = with_segments(customer_metrics(visits, as_of))
     stores = primary_stores(visits, loyal_customers(tables))
     return segmented.join(stores, "customer_id").select(*CUSTOMER_COLUMNS)
