@@ -67,6 +67,20 @@ def group_margins(history: DataFrame, rule: MarginRule, as_of: dt.datetime) -> D
     )
 
 
+def purchase_spans(history: DataFrame) -> DataFrame:
+    """First and last purchase of every pair and their number."""
+    at = F.col("transaction_datetime")
+    return (
+        history.where(F.col("group_id").isNotNull())
+        .groupBy(*PAIR)
+        .agg(
+            F.min(at).alias("first_group_purchase_date"),
+            F.max(at).alias("last_group_purchase_date"),
+            F.count(F.lit(1)).alias("group_purchase"),
+        )
+    )
+
+
 def _visits(history: DataFrame, every_row: bool) -> DataFrame:
     dated = history.where(F.col("transaction_datetime").isNotNull())
     at = ["customer_id", "transaction_datetime"]
@@ -78,7 +92,7 @@ def _visits(history: DataFrame, every_row: bool) -> DataFrame:
 
 
 def group_affinities(
-    history: DataFrame, profiles: DataFrame, every_row: bool = False
+    history: DataFrame, spans: DataFrame, every_row: bool = False
 ) -> DataFrame:
     """Transactions with the group over all transactions between its first and last purchase.
 
@@ -92,7 +106,7 @@ def group_affinities(
         F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(True).alias("last")),
     )
     ends = (
-        profiles.where(F.col("first_group_purchase_date").isNotNull())
+        spans.where(F.col("first_group_purchase_date").isNotNull())
         .select(*PAIR, "group_purchase", F.explode(both_ends).alias("end"))
         .select(*PAIR, "group_purchase", F.col("end.at").alias("transaction_datetime"), "end.last")
     )

@@ -65,12 +65,19 @@ class LoyaltyModel:
     def groups(self) -> DataFrame:
         return groups.groups_view(self.baskets, self.as_of, self.margin)
 
-    def _eligible(self, reward: offers.Reward) -> DataFrame:
-        return offers.eligible_groups(groups.pair_indices(self.baskets, self.as_of), reward)
+    def _eligible(self, baskets: DataFrame, reward: offers.Reward) -> DataFrame:
+        return offers.eligible_groups(groups.pair_indices(baskets, self.as_of), reward)
 
     def _best(self, reward: offers.Reward) -> DataFrame:
-        eligible = groups.with_affinity(self._eligible(reward), self.purchase_history)
-        return offers.best_groups(eligible)
+        eligible = self._eligible(self.baskets, reward)
+        return offers.best_groups(groups.with_affinity(eligible, self.purchase_history))
+
+    def _all_eligible(self, reward: offers.Reward) -> DataFrame:
+        """Reads the baskets once, so they are not staged for this alone."""
+        baskets = self.__dict__.get("baskets")
+        return self._eligible(
+            purchases.baskets(self.tables) if baskets is None else baskets, reward
+        )
 
     def group_margins(self, count_type: int = 1, limit: int | None = None) -> DataFrame:
         rule = groups.MarginRule(count_type, limit)
@@ -96,7 +103,7 @@ class LoyaltyModel:
         else:
             raise ValueError("method 1 takes a period, method 2 a number of transactions")
         reward = offers.Reward(*limits)
-        rewarded = self._eligible(reward) if all_groups else self._best(reward)
+        rewarded = self._all_eligible(reward) if all_groups else self._best(reward)
         return offers.average_check_offers(self.tables, rewarded, check)
 
     def generate_growth_offers(

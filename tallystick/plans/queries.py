@@ -15,7 +15,7 @@ from tallystick.plans.model import LoyaltyModel
 from tallystick.sources.delimited import read_delimited, write_delimited
 from tallystick.sources.star import ANALYSIS_DATE, star_tables
 from tallystick.sources.tables import SPECS
-from tallystick.sources.workspace import new_folder
+from tallystick.sources.workspace import new_folder, staged
 
 # Parameters of the registered calls.
 PERIOD = (dt.date(1998, 1, 1), dt.date(2000, 12, 31))
@@ -181,15 +181,22 @@ def customer_groups(m):
     return lines.select("customer_id", "group_id").distinct()
 
 
+def _purchases(m):
+    """Who bought which group when: the part of the history several branches read."""
+    history = purchases.purchase_history(m.tables)
+    return staged(history.select(*periods.PAIR, "transaction_id", "transaction_datetime"), "who")
+
+
 @_query
 def group_affinity(m):
-    return groups.group_affinities(m.purchase_history, periods.pair_profiles(m.baskets))
+    history = _purchases(m)
+    return groups.group_affinities(history, groups.purchase_spans(history))
 
 
 @_query
 def group_affinity_rows(m):
-    profiles = periods.pair_profiles(m.baskets)
-    return groups.group_affinities(m.purchase_history, profiles, every_row=True)
+    history = _purchases(m)
+    return groups.group_affinities(history, groups.purchase_spans(history), every_row=True)
 
 
 @_query
@@ -199,12 +206,13 @@ def group_churn(m):
 
 @_query
 def group_intervals(m):
-    return groups.group_intervals(m.purchase_history)
+    return groups.group_intervals(_purchases(m))
 
 
 @_query
 def group_stability(m):
-    return groups.group_stabilities(m.purchase_history)
+    # Both branches start from one and the same shuffle, so nothing is staged.
+    return groups.group_stabilities(purchases.purchase_history(m.tables))
 
 
 def _margin(m, rule):

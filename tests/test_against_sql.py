@@ -85,3 +85,11 @@ def test_without_broadcast(spark, skewed, skewed_connection, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
     assert not problems
+
+
+def test_stability_reads_the_check_lines_once(spark, star_folder):
+    frame = QUERIES["group_stability"](spark, star_folder)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+    assert plan.count("l_orderkey") and plan.count("FileScan parquet [l_orderkey") == 1
