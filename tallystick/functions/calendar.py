@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,15 +11,26 @@ from pyspark.sql import functions as F
 MICROSECONDS_PER_DAY = 86_400_000_000
 
 
-def moment(value: dt.datetime | dt.date | str) -> Column:
-    """A literal moment; dates widen to midnight."""
+# Fixed value: a day-first date, which import and parameters accept besides ISO text.
+DAY_FIRST = r"^(\d{1,2})[./-](\d{1,2})[./-](\d{4})"
+
+
+def to_datetime(value: dt.datetime | dt.date | str) -> dt.datetime:
+    """Dates widen to midnight; texts are ISO or day-first, with or without a time."""
     if isinstance(value, dt.datetime):
-        text = value.isoformat(sep=" ")
-    elif isinstance(value, dt.date):
-        text = f"{value.isoformat()} 00:00:00"
-    else:
-        text = value
-    return F.lit(text).cast("timestamp_ntz")
+        return value
+    if isinstance(value, dt.date):
+        return dt.datetime(value.year, value.month, value.day)
+    parts = re.match(DAY_FIRST + r"(?:\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$", value.strip())
+    if parts:
+        day, month, year, *clock = parts.groups()
+        return dt.datetime(int(year), int(month), int(day), *(int(c) for c in clock if c))
+    return dt.datetime.fromisoformat(value.strip())
+
+
+def moment(value: dt.datetime | dt.date | str) -> Column:
+    """A literal moment without zone."""
+    return F.lit(to_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def days_between(start: Column, end: Column) -> Column:

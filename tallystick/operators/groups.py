@@ -129,7 +129,8 @@ def _moments(history: DataFrame) -> DataFrame:
     """Purchases per pair and moment; equal moments melt into one row."""
     return (
         history.where(F.col("group_id").isNotNull())
-        .groupBy(*PAIR, hour_slot(F.col("transaction_datetime")).alias("slot"), "transaction_datetime")
+        .withColumn("slot", hour_slot(F.col("transaction_datetime")))
+        .groupBy(*PAIR, "slot", "transaction_datetime")
         .agg(
             F.count(F.lit(1)).alias("purchases"),
             F.min("transaction_id").alias("opening_transaction"),

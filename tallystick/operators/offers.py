@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystick.functions.calendar import days_between, moment
+from tallystick.functions.calendar import days_between, moment, to_datetime
 from tallystick.functions.discounts import ratio, settled, step_up
 from tallystick.operators.groups import offer_cap
 from tallystick.operators.ordering import first_per_key, latest
@@ -29,8 +29,8 @@ class AverageCheck:
     """How to measure the average check: method 1 by period, 2 by the latest transactions."""
 
     method: int = 2
-    start: dt.date | None = None
-    end: dt.date | None = None
+    start: dt.date | str | None = None
+    end: dt.date | str | None = None
     quantity: int | None = 100
     coefficient: float = 1.15
 
@@ -38,7 +38,7 @@ class AverageCheck:
         if self.method == 1:
             if self.start is None or self.end is None:
                 raise ValueError("method 1 needs the first and last date of the period")
-            if not self.end > self.start:
+            if not to_datetime(self.end) > to_datetime(self.start):
                 raise ValueError("the last date must be later than the first")
         elif self.method == 2:
             if self.quantity is None or self.quantity < 1:
@@ -90,7 +90,7 @@ def selected_transactions(tables: Tables, check: AverageCheck) -> DataFrame:
         F.max("transaction_datetime").alias("closing"),
     )
 
-    def clamped(value: dt.date) -> Column:
+    def clamped(value: dt.date | str) -> Column:
         inside = F.least(F.greatest(moment(value), F.col("opening")), F.col("closing"))
         return span.select(inside).scalar()
 
@@ -122,8 +122,8 @@ def visit_growth_offers(
     tables: Tables,
     rewarded: DataFrame,
     customers: DataFrame,
-    start: dt.datetime,
-    end: dt.datetime,
+    start: dt.datetime | str,
+    end: dt.datetime | str,
     added_transactions: int = 1,
 ) -> DataFrame:
     """Required visits in the period and the discount that rewards them.

@@ -19,15 +19,20 @@ def _key(columns: tuple[str, ...]) -> Expr:
 
 
 def _row_report(df: DataFrame, spec: TableSpec, rules: list[tuple[str, Expr, Expr]]) -> DataFrame:
-    """All row rules of a table in a single scan; one output row per rule broken."""
+    """All row rules of a table in a single scan; one output row per rule broken.
+
+    Sound rows, nearly all of them, leave before anything is built for the report.
+    """
     broken = F.array(
         *[
             F.when(bad, F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value")))
             for rule, bad, value in rules
         ]
     )
+    any_broken = reduce(Expr.__or__, [bad for _, bad, _ in rules])
     return (
-        df.select(_key(spec.identity).alias("key"), F.explode(F.array_compact(broken)).alias("v"))
+        df.where(any_broken)
+        .select(_key(spec.identity).alias("key"), F.explode(F.array_compact(broken)).alias("v"))
         .select(F.lit(spec.name).alias("table"), "v.rule", "key", "v.value")
     )
 
@@ -98,7 +103,9 @@ def length_violations(tables: Tables) -> DataFrame:
     return _union(_row_reports(tables, _length_rules))
 
 
-def _repeats(df: DataFrame, spec: TableSpec, column: str, rule: str, nulls_count: bool) -> DataFrame:
+def _repeats(
+    df: DataFrame, spec: TableSpec, column: str, rule: str, nulls_count: bool
+) -> DataFrame:
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
     repeated = F.col("rows") > 1
     bad = (repeated | F.col(column).isNull()) if nulls_count else (

@@ -6,6 +6,7 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallystick.operators import customers, groups, offers, periods, purchases
 from tallystick.session import tune
@@ -18,7 +19,8 @@ class LoyaltyModel:
     """Lazy views over staged baskets.
 
     The baskets feed several branches of most plans. Staging them costs one write and
-    saves a scan and join of all check lines per branch.
+    saves a scan and join of all check lines per branch. That write, and the sorts behind the
+    customer segments, run when a view is first asked for; all else runs with an action.
     """
 
     def __init__(
@@ -79,9 +81,20 @@ class LoyaltyModel:
             purchases.baskets(self.tables) if baskets is None else baskets, reward
         )
 
-    def group_margins(self, count_type: int = 1, limit: int | None = None) -> DataFrame:
-        rule = groups.MarginRule(count_type, limit)
-        return groups.group_margins(self.purchase_history, rule, self.as_of)
+    def group_margins(
+        self,
+        count_type: int = 1,
+        limit: int | None = None,
+        customer_id: int | None = None,
+        group_id: int | None = None,
+    ) -> DataFrame:
+        """Margins of all pairs, or of one customer or group."""
+        history = self.purchase_history
+        if customer_id is not None:
+            history = history.where(F.col("customer_id") == customer_id)
+        if group_id is not None:
+            history = history.where(F.col("group_id") == group_id)
+        return groups.group_margins(history, groups.MarginRule(count_type, limit), self.as_of)
 
     def generate_personal_offer(
         self,
@@ -108,8 +121,8 @@ class LoyaltyModel:
 
     def generate_growth_offers(
         self,
-        start: dt.datetime,
-        end: dt.datetime,
+        start: dt.datetime | str,
+        end: dt.datetime | str,
         added_transactions: int = 1,
         max_churn: float = 4,
         max_discount_share: float = 80,

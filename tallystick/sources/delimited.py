@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystick.functions.calendar import DAY_FIRST
 from tallystick.sources.tables import SPECS, Tables, TableSpec
 
 # On reading, an unquoted empty field is NULL while a quoted one is an empty text.
@@ -16,7 +17,7 @@ _NULL_MARKER = "\u0001\u0002NULL\u0002\u0001"
 def parse_moment(text: Column) -> Column:
     """Day-first (``23.08.2018 0:47:37``) or ISO text to a timestamp without zone."""
     trimmed = F.trim(text)
-    iso = F.regexp_replace(trimmed, r"^(\d{1,2})[./-](\d{1,2})[./-](\d{4})", "$3-$2-$1")
+    iso = F.regexp_replace(trimmed, DAY_FIRST, "$3-$2-$1")
     parsed = iso.try_cast("timestamp_ntz")
     refused = F.raise_error(F.concat(F.lit("not a date: "), trimmed)).cast("timestamp_ntz")
     return F.when(trimmed.isNotNull() & parsed.isNull(), refused).otherwise(parsed)

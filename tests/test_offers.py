@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 
 from tallystick import LoyaltyModel
+from tallystick.functions.calendar import to_datetime
 from tallystick.operators import groups, offers
 from tallystick.operators.offers import AverageCheck, CrossSell, Reward
 from tallystick.sources.star import ANALYSIS_DATE, star_tables
@@ -110,6 +111,26 @@ def test_parameters_are_checked():
         CrossSell(number_of_groups=0)
 
 
+def test_dates_may_be_texts(spark):
+    as_text = AverageCheck(1, start="01.01.2022", end="2.1.2022 0:00:00", coefficient=1)
+    as_dates = AverageCheck(
+        1, start=dt.date(2022, 1, 1), end=dt.date(2022, 1, 2), coefficient=1
+    )
+    assert _target(spark, as_text, TRANSACTIONS) == _target(spark, as_dates, TRANSACTIONS)
+    assert to_datetime("2022-06-20T01:02:03.5") == dt.datetime(2022, 6, 20, 1, 2, 3, 500000)
+    assert to_datetime("20/06/2022 1:02") == dt.datetime(2022, 6, 20, 1, 2)
+    for wrong in ("20.13.2022", "soon"):
+        with pytest.raises(ValueError):
+            to_datetime(wrong)
+
+
+def test_margin_of_one_pair(model):
+    every = {(r.customer_id, r.group_id): r.group_margin for r in model.group_margins().collect()}
+    customer, group = min(every)
+    (row,) = model.group_margins(customer_id=customer, group_id=group).collect()
+    assert row.group_margin == every[customer, group]
+
+
 def test_method_must_match_its_arguments(spark):
     model = LoyaltyModel(spark, tables(spark), AS_OF)
     with pytest.raises(ValueError):
