@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystick.functions.calendar import days_between, moment
 from tallystick.functions.discounts import ratio
@@ -222,6 +223,10 @@ def primary_stores(store_visits: DataFrame, loyal: DataFrame) -> DataFrame:
 def customers_view(tables: Tables, as_of: dt.datetime) -> DataFrame:
     # Read twice: staged, it saves a scan and join of all transactions.
     visits = staged(store_visits(tables), "store-visits")
-    segmented = with_segments(customer_metrics(visits, as_of))
+    metrics = customer_metrics(visits, as_of)
+    if not isinstance(tables.transactions.schema["transaction_summ"].dataType, T.DecimalType):
+        # Sums of doubles depend on their order. Ranks must not, should a lost task run again.
+        metrics = staged(metrics, "metrics")
+    segmented = with_segments(metrics)
     stores = primary_stores(visits, loyal_customers(tables))
     return segmented.join(stores, "customer_id").select(*CUSTOMER_COLUMNS)

@@ -493,7 +493,7 @@ def statements() -> dict[str, str]:
         "purchase_history": s(_HISTORY, "history"),
         "purchase_history_of_group": s(f"{_HISTORY} WHERE group_id = 1", "history"),
         "purchase_history_costly": s(f"{_HISTORY} WHERE cost > 1000", "history"),
-        "period_view": s(_PERIODS, "periods"),
+        "periods": s(_PERIODS, "periods"),
         "periods_of_group": s(f"{_PERIODS} WHERE group_id = 4", "periods"),
         "periods_begun_since": s(
             f"{_PERIODS} WHERE first_at > TIMESTAMP '2000-01-01'", "periods"

@@ -46,11 +46,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Callable[[LoyaltyModel], DataFrame]) -> Callable[[LoyaltyModel], DataFrame]:
+    """Register under the function's name, without a trailing underscore."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         model = LoyaltyModel(spark, star_tables(spark, folder), ANALYSIS_DATE)
         return presented(build(model))
 
-    _QUERIES[build.__name__] = run
+    _QUERIES[build.__name__.rstrip("_")] = run
     return build
 
 
@@ -80,7 +82,7 @@ def purchase_history_costly(m):
 
 
 @_query
-def period_view(m):
+def periods_(m):
     return periods.periods(purchases.baskets(m.tables))
 
 
