@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import mixing, simhash_dedup
+from tallystick.llm import decontaminate, mixing, simhash_dedup
 from tallystick.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,11 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
-_QUERIES: tuple[Query, ...] = (op5_simhash_near_dedup, op6_mix_sources)
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_QUERIES: tuple[Query, ...] = (op5_simhash_near_dedup, op6_mix_sources, op10_benchmark_decontamination)
 
 
 def registered() -> dict[str, Query]:
