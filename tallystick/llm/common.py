@@ -15,6 +15,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes a scratch folder of this run that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo; NULL for a NULL key."""
     return F.pmod(F.crc32(key.cast("string")), F.lit(modulus))

@@ -7,12 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, mixing, simhash_dedup
-from tallystick.llm.common import table
+from tallystick.llm import decontaminate, mixing, simhash_dedup, warc
+from tallystick.llm.common import discard, table
+from tallystick.sources.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages are written as monolithic archives, normalised, and read back from the result."""
+    pages = table(spark, folder, "pages").select("page_id", F.col("url").alias("target_uri"), F.col("html").cast("binary").alias("payload"))
+    named = lambda column: F.concat(F.lit("urn:page:"), F.col(column).cast("string"))
+    records = warc.with_revisits(pages, "page_id").withColumn("record_id", named("page_id")).withColumn("refers_to", named("original"))
+    monolithic, archives = new_folder(spark, "monolithic"), new_folder(spark, "warc")
+    warc.write_monolithic(records, monolithic)
+    warc.normalise(spark, monolithic, archives)
+    discard(spark, monolithic)
+    read = warc.read_archives(spark, archives, with_payload=False)
+    return read.select(
+        F.expr("try_cast(regexp_extract(record_id, '^urn:page:(-?[0-9]+)$', 1) as bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.expr("try_cast(regexp_extract(refers_to, '^urn:page:(-?[0-9]+)$', 1) as bigint)").alias("refers_to"),
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     classes = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -26,7 +46,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-_QUERIES: tuple[Query, ...] = (op5_simhash_near_dedup, op6_mix_sources, op10_benchmark_decontamination)
+_QUERIES: tuple[Query, ...] = (op1_warc_normalise, op5_simhash_near_dedup, op6_mix_sources, op10_benchmark_decontamination)
 
 
 def registered() -> dict[str, Query]:
