@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, mixing, secret_scan, simhash_dedup, warc
+from tallystick.llm import decontaminate, mixing, pii, secret_scan, simhash_dedup, warc
 from tallystick.llm.common import discard, table
 from tallystick.sources.workspace import new_folder
 
@@ -49,11 +49,18 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("found").alias("spans"))
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = documents.select("doc_id", pii.spans(F.col("text"), pii.train(documents)).alias("s")).select("doc_id", "s.base", "s.found")
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("found").alias("spans"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-_QUERIES: tuple[Query, ...] = (op1_warc_normalise, op5_simhash_near_dedup, op6_mix_sources, op7_secret_scan, op10_benchmark_decontamination)
+_QUERIES: tuple[Query, ...] = (op1_warc_normalise, op5_simhash_near_dedup, op6_mix_sources, op7_secret_scan, op9_personal_data, op10_benchmark_decontamination)
 
 
 def registered() -> dict[str, Query]:
