@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystick.sources.workspace import staged
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 24
 ZONE_DIGITS = 7
@@ -284,7 +286,7 @@ def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_zones: in
         return pd.Series([[_labelled(t, a, b, base) for a, b in zones(t)] for t in column.fillna("") for base in [base_spans(t)]])
 
     cut = texts.select(F.explode(label(F.col("text"))).alias("z")).select("z.*").where(F.length("zone") <= 400).distinct()
-    cut = cut.orderBy(F.xxhash64("zone"), "zone")
+    cut = staged(cut, "zones").orderBy(F.xxhash64("zone"), "zone")
     labelled = [_example(e) for e in EXAMPLES] * 2
     for part in (F.size("kind") > 0, F.size("kind") == 0):
         for row in cut.where(part).limit(sample_zones // 2).collect():

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, mixing, pii, secret_scan, simhash_dedup, warc
-from tallystick.llm.common import discard, table
+from tallystick.llm import decontaminate, language_id, mixing, pii, secret_scan, simhash_dedup, toxicity, warc
+from tallystick.llm.common import discard, remainder, table
 from tallystick.sources.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,22 @@ def op1_warc_normalise(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    network = toxicity.train(documents.where(~held_out), table(spark, folder, "labels"))
+    scores = documents.select("doc_id", held_out.alias("held_out"), toxicity.scored(F.col("text"), network).alias("score"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language_id.train(documents.where(~held_out))
+    found = documents.select("doc_id", held_out.alias("held_out"), language_id.predicted(F.col("text"), model).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     classes = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -60,7 +76,10 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-_QUERIES: tuple[Query, ...] = (op1_warc_normalise, op5_simhash_near_dedup, op6_mix_sources, op7_secret_scan, op9_personal_data, op10_benchmark_decontamination)
+_QUERIES: tuple[Query, ...] = (
+    op1_warc_normalise, op2_toxicity, op4_language_id, op5_simhash_near_dedup, op6_mix_sources,
+    op7_secret_scan, op9_personal_data, op10_benchmark_decontamination,
+)
 
 
 def registered() -> dict[str, Query]:
