@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, language_id, mixing, pii, secret_scan, simhash_dedup, toxicity, warc
+from tallystick.llm import decontaminate, embedding_dedup, language_id, mixing, pii, secret_scan, simhash_dedup, toxicity, warc
 from tallystick.llm.common import discard, remainder, table
 from tallystick.sources.workspace import new_folder
 
@@ -41,6 +41,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -77,7 +81,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 _QUERIES: tuple[Query, ...] = (
-    op1_warc_normalise, op2_toxicity, op4_language_id, op5_simhash_near_dedup, op6_mix_sources,
+    op1_warc_normalise, op2_toxicity, op3_embedding_near_dedup, op4_language_id, op5_simhash_near_dedup, op6_mix_sources,
     op7_secret_scan, op9_personal_data, op10_benchmark_decontamination,
 )
 
