@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, embedding_dedup, language_id, mixing, pii, secret_scan, simhash_dedup, toxicity, warc
+from tallystick.llm import decontaminate, embedding_dedup, language_id, mixing, pii, secret_scan, simhash_dedup, substring_dedup, toxicity, warc
 from tallystick.llm.common import discard, remainder, table
 from tallystick.sources.workspace import new_folder
 
@@ -69,6 +69,11 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("found").alias("spans"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     found = documents.select("doc_id", pii.spans(F.col("text"), pii.train(documents)).alias("s")).select("doc_id", "s.base", "s.found")
@@ -82,7 +87,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 _QUERIES: tuple[Query, ...] = (
     op1_warc_normalise, op2_toxicity, op3_embedding_near_dedup, op4_language_id, op5_simhash_near_dedup, op6_mix_sources,
-    op7_secret_scan, op9_personal_data, op10_benchmark_decontamination,
+    op7_secret_scan, op8_substring_dedup, op9_personal_data, op10_benchmark_decontamination,
 )
 
 
