@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystick.llm import decontaminate, embedding_dedup, language_id, mixing, pii, secret_scan, simhash_dedup, substring_dedup, toxicity, warc
 from tallystick.llm.common import discard, remainder, table
+from tallystick.llm.oracles import statements  # noqa: F401
 from tallystick.sources.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,8 +94,3 @@ _QUERIES: tuple[Query, ...] = (
 
 def registered() -> dict[str, Query]:
     return {query.__name__: query for query in _QUERIES}
-
-
-def statements() -> dict[str, str]:
-    """SQL counterparts for the queries that SQL can express."""
-    return {}
