@@ -176,7 +176,7 @@ def deduplicate(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     classes = near_duplicates(documents, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = classes.groupBy("component_fp").agg(F.min("fp").alias("keep_fp"), F.first("component_id").alias("keep_id"))
     keep = staged(keep.select("keep_fp", "keep_id"), "kept")
-    rows = documents.select(F.struct(*documents.columns).alias("row")).withColumn("fp", fingerprint_column("row.text", shingle))
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")).withColumn("fp", fingerprint_column("row.text", shingle))
     first = F.min_by("row", F.coalesce("row.text", F.lit("")))
     kept = rows.join(keep, (F.col("fp") == F.col("keep_fp")) & F.col("row.doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
     return kept.groupBy("fp", "row.doc_id").agg(first.alias("kept_row")).select("kept_row.*")

@@ -118,6 +118,9 @@ def parse(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[dict[str, str], byt
             held += value
             held += stop
             while (head := held.find(stop)) >= 0:
+                if not head:  # blank lines between records, or the break added after the last one
+                    del held[:4]
+                    continue
                 fields = _fields(bytes(held[:head]), current)
                 end = head + 4 + int(fields["content-length"])
                 if len(held) < end + 4:
