@@ -134,11 +134,13 @@ def links(vectors: DataFrame, cosine: float, codes: int, passes: float, words: i
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pairs = np.flatnonzero(batch["row"].map(len) == 2)
             wanted = np.ones(len(batch), bool)
-            if len(pairs):  # most groups are chance pairs, which one product drops
-                both = np.stack([_matrix(batch["vector"].iloc[k]) for k in pairs])
-                wanted[pairs] = exact_cosine(both[:, 0], both[:, 1]) >= cosine
+            pairs = np.flatnonzero(batch["row"].map(len) == 2)
+            lengths = np.array([len(batch["vector"].iat[k][0]) for k in pairs])
+            for length in np.unique(lengths):  # most groups are chance pairs, which one product drops
+                same = pairs[lengths == length]
+                both = np.stack([_matrix(batch["vector"].iat[k]) for k in same])
+                wanted[same] = exact_cosine(both[:, 0], both[:, 1]) >= cosine
             out = [
                 _verified(number, low, high, np.asarray(row, np.int64), np.asarray(own, np.int64), _matrix(vector), filters, cosine)
                 for number, low, high, row, own, vector, filters in batch[wanted].itertuples(index=False)
