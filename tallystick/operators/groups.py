@@ -55,16 +55,20 @@ class MarginRule:
 
 
 def group_margins(history: DataFrame, rule: MarginRule, as_of: dt.datetime) -> DataFrame:
-    """Paid minus cost per pair over the purchases the rule admits."""
+    """Paid minus cost per pair over the purchases the rule admits.
+
+    Exact to the last digit if the history holds ``basket_margin``, see
+    ``purchases.margin_history``; a bare history gives the difference of its rounded sums.
+    """
+    if "basket_margin" not in history.columns:
+        history = history.withColumn("basket_margin", F.col("group_summ_paid") - F.col("group_cost"))
     bought = history.where(F.col("group_id").isNotNull())
     if rule.latest_only:
         bought = latest(bought, PAIR, "transaction_datetime", "transaction_id", rule.limit)
     since = rule.since(as_of)
     if since is not None:
         bought = bought.where(F.col("transaction_datetime") > since)
-    return bought.groupBy(*PAIR).agg(
-        F.sum(F.col("group_summ_paid") - F.col("group_cost")).alias("group_margin")
-    )
+    return bought.groupBy(*PAIR).agg(F.sum("basket_margin").alias("group_margin"))
 
 
 def purchase_spans(history: DataFrame) -> DataFrame:
@@ -82,13 +86,21 @@ def purchase_spans(history: DataFrame) -> DataFrame:
 
 
 def _visits(history: DataFrame, every_row: bool) -> DataFrame:
-    dated = history.where(F.col("transaction_datetime").isNotNull())
-    at = ["customer_id", "transaction_datetime"]
-    if every_row:
-        return dated.groupBy(*at).agg(F.count("transaction_id").alias("visits"))
+    """Transactions per customer and moment, with the hour as ``_slot``.
+
+    One shuffle by (customer, hour) serves all that is counted from here, the totals of the
+    hours in ``total_until`` included.
+    """
+    at = ["customer_id", "_slot", "transaction_datetime"]
+    dated = (
+        history.where(F.col("transaction_datetime").isNotNull())
+        .withColumn("_slot", hour_slot(F.col("transaction_datetime")))
+        .select(*at, "transaction_id")
+        .repartition("customer_id", "_slot")
+    )
     # One row per transaction first: a transaction holds one history row per group.
-    single = dated.select(*at, "transaction_id").distinct()
-    return single.groupBy(*at).agg(F.count("transaction_id").alias("visits"))
+    counted = dated if every_row else dated.distinct()
+    return counted.groupBy(*at).agg(F.count("transaction_id").alias("visits"))
 
 
 def group_affinities(
@@ -101,14 +113,28 @@ def group_affinities(
     those up to the last purchase less those before the first. ``every_row`` counts
     history rows instead of unique transactions.
     """
+    return _with_affinity(spans, history, every_row).select(*PAIR, "group_affinity_index")
+
+
+def _with_affinity(spans: DataFrame, history: DataFrame, every_row: bool = False) -> DataFrame:
+    """All columns of the spans and the affinity, reading the spans once.
+
+    Whatever else a pair carries travels with its first end, so nothing is joined back.
+    """
     both_ends = F.array(
         F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(False).alias("last")),
         F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(True).alias("last")),
     )
+    carried = [c for c in spans.columns if c not in PAIR]
     ends = (
         spans.where(F.col("first_group_purchase_date").isNotNull())
-        .select(*PAIR, "group_purchase", F.explode(both_ends).alias("end"))
-        .select(*PAIR, "group_purchase", F.col("end.at").alias("transaction_datetime"), "end.last")
+        .select(*PAIR, *carried, F.explode(both_ends).alias("end"))
+        .select(
+            *PAIR,
+            *[F.when(~F.col("end.last"), F.col(c)).alias(c) for c in carried],
+            F.col("end.at").alias("transaction_datetime"),
+            "end.last",
+        )
     )
     totals = total_until(
         _visits(history, every_row),
@@ -120,8 +146,10 @@ def group_affinities(
         total="until",
     )
     inside = F.sum(F.when(F.col("last"), F.col("until")).otherwise(-F.col("until")))
+    # Of the two rows of a pair only the first end has values: the maximum picks them.
     return totals.groupBy(*PAIR).agg(
-        ratio(F.max("group_purchase"), inside).alias("group_affinity_index")
+        *[F.max(c).alias(c) for c in carried],
+        ratio(F.max("group_purchase"), inside).alias("group_affinity_index"),
     )
 
 
@@ -303,13 +331,13 @@ def pair_indices(
         *_discounts(),
     )
     if rule.latest_only:
-        recent = group_margins(history_of(baskets), rule, as_of)
+        recent = group_margins(history_of(baskets, "basket_margin"), rule, as_of)
         indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
     return indices
 
 
 def with_affinity(indices: DataFrame, history: DataFrame) -> DataFrame:
-    return indices.join(group_affinities(history, indices).hint("merge"), PAIR)
+    return _with_affinity(indices, history)
 
 
 def with_stability(indices: DataFrame, history: DataFrame) -> DataFrame:

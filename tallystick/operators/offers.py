@@ -12,6 +12,7 @@ from tallystick.functions.calendar import days_between, moment, to_datetime
 from tallystick.functions.discounts import ratio, settled, step_up
 from tallystick.operators.groups import offer_cap
 from tallystick.operators.ordering import first_per_key, latest
+from tallystick.operators.periods import mean
 from tallystick.operators.purchases import customer_transactions
 from tallystick.sources.tables import Tables
 
@@ -84,7 +85,8 @@ def selected_transactions(tables: Tables, check: AverageCheck) -> DataFrame:
             "transaction_id",
             check.quantity,
         )
-    # Dates outside the analysed period move to its ends.
+    # Dates outside the analysed period move to its ends; a period that lies wholly before
+    # or after it selects nothing.
     span = tables.transactions.agg(
         F.min("transaction_datetime").alias("opening"),
         F.max("transaction_datetime").alias("closing"),
@@ -94,14 +96,21 @@ def selected_transactions(tables: Tables, check: AverageCheck) -> DataFrame:
         inside = F.least(F.greatest(moment(value), F.col("opening")), F.col("closing"))
         return span.select(inside).scalar()
 
+    overlaps = span.select(
+        (moment(check.start) <= F.col("closing")) & (moment(check.end) >= F.col("opening"))
+    ).scalar()
     return transactions.where(
         F.col("transaction_datetime").between(clamped(check.start), clamped(check.end))
+        & overlaps
     )
 
 
 def target_checks(tables: Tables, check: AverageCheck) -> DataFrame:
-    """Average of the selected transactions of each customer times the coefficient."""
-    average = ratio(F.sum("transaction_summ"), F.count("transaction_id"))
+    """Average of the selected transactions of each customer times the coefficient.
+
+    Transactions without a sum are left out of the average.
+    """
+    average = mean(F.col("transaction_summ"))
     return (
         selected_transactions(tables, check)
         .groupBy("customer_id")
@@ -132,7 +141,9 @@ def visit_growth_offers(
     frequency zero have no expected number of visits and get no offer.
     """
     expected = ratio(days_between(moment(start), moment(end)), F.col("customer_frequency"))
-    required = F.round(settled(expected)).cast("int") + F.lit(added_transactions)
+    if not to_datetime(end) > to_datetime(start):
+        raise ValueError("the last moment must be later than the first")
+    required = F.round(settled(expected)).cast("long") + F.lit(added_transactions)
     return (
         rewarded.join(customers.select("customer_id", "customer_frequency"), "customer_id")
         .where(F.col("customer_frequency") != 0)
@@ -148,16 +159,23 @@ def visit_growth_offers(
     )
 
 
-def sku_shares(tables: Tables) -> DataFrame:
-    """Per SKU: transactions with it over transactions with its group, in per cent."""
-    sold = (
-        tables.checks.select("transaction_id", "sku_id")
+def sku_shares(tables: Tables, wanted: DataFrame | None = None) -> DataFrame:
+    """Per SKU: transactions with it over transactions with its group, in per cent.
+
+    ``wanted`` holds the SKUs to work out, if not all; groups are counted whole in any case.
+    """
+    lines = tables.checks.select("transaction_id", "sku_id")
+    goods = tables.product_matrix.select("sku_id", "group_id")
+    asked = goods if wanted is None else goods.join(wanted.select("sku_id"), "sku_id", "left_semi")
+    with_sku = (
+        lines.join(asked, "sku_id")
         .distinct()
-        .join(tables.product_matrix.select("sku_id", "group_id"), "sku_id")
+        .groupBy("sku_id", "group_id")
+        .agg(F.count("transaction_id").alias("with_sku"))
     )
-    with_sku = sold.groupBy("sku_id", "group_id").agg(F.count("transaction_id").alias("with_sku"))
     with_group = (
-        sold.select("transaction_id", "group_id")
+        lines.join(goods, "sku_id")
+        .select("transaction_id", "group_id")
         .distinct()
         .groupBy("group_id")
         .agg(F.count("transaction_id").alias("with_group"))
@@ -226,18 +244,20 @@ def cross_sell_offers(
     share_of_margin = F.lit(float(params.margin_share))
     cap = ratio(F.col("sku_margin"), F.col("sku_retail_price")) * share_of_margin
     depth = step_up(F.col("group_minimum_discount"))
+    best = best_margin_skus(tables)
     # A store without any transaction cannot be a primary store.
-    return (
+    offered = (
         first_per_key(groups, ["customer_id"], _affinity_order(), params.number_of_groups)
         .join(primary_stores, "customer_id")
         .withColumnRenamed("customer_primary_store", "transaction_store_id")
-        .join(best_margin_skus(tables), ["transaction_store_id", "group_id"])
-        .join(sku_shares(tables).select("sku_id", "sku_share"), "sku_id", "left")
+        .join(best, ["transaction_store_id", "group_id"])
         .withColumn("offer_discount_depth", depth)
-        .where(
-            # A SKU that was never sold has no share of its group.
-            (settled(F.coalesce("sku_share", F.lit(0.0))) <= params.max_sku_share)
-            & (F.col("offer_discount_depth") <= settled(cap))
-        )
-        .select("customer_id", "sku_name", "offer_discount_depth", "sku_id", "group_id")
+        .where(F.col("offer_discount_depth") <= settled(cap))
     )
+    if params.max_sku_share < 100:  # a share cannot exceed a hundred per cent
+        shares = sku_shares(tables, best.select("sku_id").distinct()).select("sku_id", "sku_share")
+        # A SKU that was never sold has no share of its group.
+        offered = offered.join(shares, "sku_id", "left").where(
+            settled(F.coalesce("sku_share", F.lit(0.0))) <= params.max_sku_share
+        )
+    return offered.select("customer_id", "sku_name", "offer_discount_depth", "sku_id", "group_id")

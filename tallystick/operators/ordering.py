@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from tallystick.functions.calendar import hour_slot
 from tallystick.sources.workspace import staged
 
-# Up to this many rows per key, Spark trims every map task to its own top rows before
-# the shuffle (WindowGroupLimit), so a plain row_number carries no hot key.
-_TRIMMED_BEFORE_SHUFFLE = 1000
+# Into so many parts the rows of a key are split to find its latest ones.
+_PARTS = 128
 
 
 def total_until(
@@ -36,7 +35,8 @@ def total_until(
     are sorted in among the counted rows, before or after those of the same moment, and
     take the running total there; no reader is joined to the rows it counts.
 
-    Every reader's moment must lie in an hour with a counted row.
+    Every reader's moment must lie in an hour with a counted row. ``counted`` holds the hour
+    as ``_slot`` and is best partitioned by keys and hour already.
     """
     before, row, after = 0, 1, 2
     step = F.when(inclusive, after).otherwise(before)
@@ -66,7 +66,7 @@ def total_until(
         Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
     slots = (
-        counted.groupBy(*keys, hour_slot(F.col(at)).alias("_slot"))
+        counted.groupBy(*keys, "_slot")
         .agg(F.sum(value).alias("_in_slot"))
         .select(
             *keys, "_slot", F.coalesce(F.sum("_in_slot").over(earlier), F.lit(0)).alias("_before")
@@ -81,33 +81,21 @@ def total_until(
 
 
 def latest(df: DataFrame, keys: Sequence[str], at: str, tie: str, count: int) -> DataFrame:
-    """The ``count`` latest rows of every key; among equal moments the higher ``tie`` first."""
+    """The ``count`` latest rows of every key; among equal moments the higher ``tie`` first.
+
+    The rows of a key are dealt by a hash of ``tie`` to ``_PARTS`` parts, each of which keeps its
+    own latest rows; the key's are among them. So a task holds a small part of a hot key's
+    rows, whatever their moments are, and the second step at most ``_PARTS * count`` rows of it.
+    """
     if count < 1:
         raise ValueError("count must be at least 1")
     newest_first = [F.col(at).desc_nulls_last(), F.col(tie).desc_nulls_last()]
-    if count <= _TRIMMED_BEFORE_SHUFFLE:
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-        return df.withColumn("_place", place).where(F.col("_place") <= count).drop("_place")
-
-    slotted = df.withColumn("_slot", hour_slot(F.col(at)))
-    later = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_slot").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    slots = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_later", F.coalesce(F.sum("_rows").over(later), F.lit(0)))
-        .where(F.col("_later") < count)
-        .drop("_rows")
-    )
-    place = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy(*newest_first))
-    return (
-        slotted.join(slots.hint("merge"), [*keys, "_slot"])
-        .withColumn("_place", F.col("_later") + place)
-        .where(F.col("_place") <= count)
-        .drop("_slot", "_later", "_place")
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(tie), F.lit(_PARTS)))
+    return first_per_key(
+        first_per_key(parted, [*keys, "_part"], newest_first, count).drop("_part"),
+        keys,
+        newest_first,
+        count,
     )
 
 

@@ -60,9 +60,7 @@ def pair_profiles(baskets: DataFrame, margin_since: Column | None = None) -> Dat
             F.min("least_ratio").alias("least_ratio"),
             F.count(F.when(F.col("discounted_lines") > 0, 1)).alias("discounted_transactions"),
             F.sum("discounted_lines").alias("discounted_lines"),
-            F.sum(
-                F.when(in_margin, F.col("group_summ_paid") - F.col("group_cost"))
-            ).alias("group_margin"),
+            F.sum(F.when(in_margin, F.col("basket_margin"))).alias("group_margin"),
             F.sum(F.when(reduced, F.col("group_summ_paid"))).alias("reduced_paid"),
             F.sum(F.when(reduced, F.col("group_summ"))).alias("reduced_summ"),
             mean(F.when(priced, F.col("group_summ"))).alias("average_summ"),

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallystick.functions.discounts import ratio
 from tallystick.sources.tables import Tables
@@ -58,17 +59,31 @@ def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
 _GRAIN = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]
 
 
+def _line_margin(lines: DataFrame) -> Column:
+    """Paid minus cost of a line; decimals keep all digits of the product of two amounts.
+
+    The difference of the sums would not: its type has no room for them and rounds.
+    """
+    cost = F.col("sku_purchase_price") * F.col("sku_amount")
+    if isinstance(lines.schema["sku_purchase_price"].dataType, T.DecimalType):
+        cost = cost.cast(T.DecimalType(28, 8))
+    return F.col("sku_summ_paid") - cost
+
+
+def margin_history(tables: Tables) -> DataFrame:
+    """The purchase history with the exact margin of every basket, ``basket_margin``."""
+    lines = check_lines(tables, "inner")
+    return lines.groupBy(*_GRAIN).agg(
+        F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
+        F.sum("sku_summ").alias("group_summ"),
+        F.sum("sku_summ_paid").alias("group_summ_paid"),
+        F.sum(_line_margin(lines)).alias("basket_margin"),
+    )
+
+
 def purchase_history(tables: Tables) -> DataFrame:
     """One row per transaction and product group; lines without a store price fall out."""
-    return (
-        check_lines(tables, "inner")
-        .groupBy(*_GRAIN)
-        .agg(
-            F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
-            F.sum("sku_summ").alias("group_summ"),
-            F.sum("sku_summ_paid").alias("group_summ_paid"),
-        )
-    )
+    return margin_history(tables).select(*HISTORY_COLUMNS)
 
 
 def baskets(tables: Tables) -> DataFrame:
@@ -79,14 +94,15 @@ def baskets(tables: Tables) -> DataFrame:
     """
     priced = F.col("priced")
     line_ratio = ratio(F.col("sku_discount"), F.col("sku_summ"))
+    lines = check_lines(tables, "left")
     return (
-        check_lines(tables, "left")
-        .withColumn("line_ratio", line_ratio)
+        lines.withColumn("line_ratio", line_ratio)
         .groupBy(*_GRAIN)
         .agg(
             F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
             F.sum(F.when(priced, F.col("sku_summ"))).alias("group_summ"),
             F.sum(F.when(priced, F.col("sku_summ_paid"))).alias("group_summ_paid"),
+            F.sum(_line_margin(lines)).alias("basket_margin"),
             F.count("priced").alias("priced_lines"),
             F.count(F.when(F.col("sku_discount") > 0, 1)).alias("discounted_lines"),
             F.max("line_ratio").alias("greatest_ratio"),
@@ -95,6 +111,6 @@ def baskets(tables: Tables) -> DataFrame:
     )
 
 
-def history_of(baskets: DataFrame) -> DataFrame:
-    """The purchase history kept inside the baskets."""
-    return baskets.where(F.col("priced_lines") > 0).select(*HISTORY_COLUMNS)
+def history_of(baskets: DataFrame, *further: str) -> DataFrame:
+    """The purchase history kept inside the baskets, on request with further columns."""
+    return baskets.where(F.col("priced_lines") > 0).select(*HISTORY_COLUMNS, *further)

@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from collections.abc import Callable
+from dataclasses import replace
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystick.operators import customers, groups, offers, periods, purchases
-from tallystick.session import tune
 from tallystick.sources.delimited import read_analysis_date
-from tallystick.sources.tables import Tables
-from tallystick.sources.workspace import discard_staged, staged
+from tallystick.sources.tables import ALIASES, Tables
+from tallystick.sources.workspace import Workspace
+
+
+def _staging(build: Callable) -> Callable:
+    """What the method stages belongs to the model."""
+
+    @wraps(build)
+    def run(self, *arguments, **options):
+        with self.workspace:
+            return build(self, *arguments, **options)
+
+    return run
 
 
 class LoyaltyModel:
@@ -30,14 +42,21 @@ class LoyaltyModel:
         as_of: dt.datetime | None = None,
         margin: groups.MarginRule | None = None,
     ):
-        self.spark = tune(spark)
+        self.spark = spark
         self.tables = tables
-        self.as_of = as_of or read_analysis_date(tables.analysis_formation)
+        self.workspace = Workspace(spark)
         self.margin = margin or groups.MarginRule()
+        if as_of is not None:
+            self.as_of = as_of
+
+    @cached_property
+    def as_of(self) -> dt.datetime:
+        """The analysis moment, read from its table when first needed."""
+        return read_analysis_date(self.tables.analysis_formation)
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return staged(purchases.baskets(self.tables), "baskets")
+        return self.workspace.staged(purchases.baskets(self.tables), "baskets")
 
     @cached_property
     def purchase_history(self) -> DataFrame:
@@ -48,6 +67,7 @@ class LoyaltyModel:
         return periods.periods(self.baskets)
 
     @cached_property
+    @_staging
     def customers(self) -> DataFrame:
         return customers.customers_view(self.tables, self.as_of)
 
@@ -88,14 +108,28 @@ class LoyaltyModel:
         customer_id: int | None = None,
         group_id: int | None = None,
     ) -> DataFrame:
-        """Margins of all pairs, or of one customer or group."""
-        history = self.purchase_history
+        """Margins of all pairs, or of one customer or group.
+
+        One customer or group is looked for in the tables, without anybody else's baskets.
+        """
+        tables = self.tables
         if customer_id is not None:
-            history = history.where(F.col("customer_id") == customer_id)
+            owned = F.col("customer_id") == customer_id
+            tables = replace(
+                tables,
+                personal_details=tables.personal_details.where(owned),
+                customer_cards=tables.customer_cards.where(owned),
+            )
         if group_id is not None:
-            history = history.where(F.col("group_id") == group_id)
+            inside = F.col("group_id") == group_id
+            tables = replace(tables, product_matrix=tables.product_matrix.where(inside))
+        if tables is self.tables:
+            history = purchases.history_of(self.baskets, "basket_margin")
+        else:
+            history = purchases.margin_history(tables)
         return groups.group_margins(history, groups.MarginRule(count_type, limit), self.as_of)
 
+    @_staging
     def generate_personal_offer(
         self,
         chosen_method: int,
@@ -119,6 +153,7 @@ class LoyaltyModel:
         rewarded = self._all_eligible(reward) if all_groups else self._best(reward)
         return offers.average_check_offers(self.tables, rewarded, check)
 
+    @_staging
     def generate_growth_offers(
         self,
         start: dt.datetime | str,
@@ -138,6 +173,7 @@ class LoyaltyModel:
             added_transactions,
         )
 
+    @_staging
     def generate_cross_selling(
         self,
         number_of_groups: int = 5,
@@ -156,7 +192,6 @@ class LoyaltyModel:
         )
         indices = groups.pair_indices(self.baskets, self.as_of)
         living = offers.living_groups(indices, params)
-        # Affinity reads its input twice, so the costly stability comes after it.
         known = groups.with_affinity(living, self.purchase_history)
         known = groups.with_stability(known, self.purchase_history)
         steady = offers.steady_groups(known, params)
@@ -164,16 +199,18 @@ class LoyaltyModel:
         return offered if with_ids else offered.drop("sku_id", "group_id")
 
     def release(self) -> None:
-        """Delete all staged tables of this process; the views have to be built anew."""
-        discard_staged(self.spark)
+        """Delete what this model staged; its views are built anew when asked for again."""
+        self.workspace.release()
         for name, member in vars(type(self)).items():
-            if isinstance(member, cached_property):
+            if isinstance(member, cached_property) and name != "as_of":
                 self.__dict__.pop(name, None)
 
     def register_views(self) -> None:
-        """Input tables and views under their names for ``spark.sql``."""
+        """Input tables and views under their names for ``spark.sql``, aliases included."""
         for name, frame in self.tables.items():
             frame.createOrReplaceTempView(name)
+        for alias, name in ALIASES.items():
+            self.tables[name].createOrReplaceTempView(alias)
         self.customers.createOrReplaceTempView("customersview")
         self.purchase_history.createOrReplaceTempView("purchase_history")
         self.periods.createOrReplaceTempView("periods")

@@ -129,7 +129,7 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "indices": (
         ("periods", "affinity", "stability", "margin", "reduced"),
         """SELECT p.customer_id, p.group_id, a.affinity,
-                  date_diff('microsecond', p.last_at, TIMESTAMP '2001-08-02') / 86400e6
+                  date_diff('microsecond', p.last_at, (SELECT MAX(o_orderdate) + INTERVAL 1 DAY FROM orders)) / 86400e6
                     / p.frequency AS churn,
                   s.stability, m.margin, CAST(r.transactions AS DOUBLE) / p.n AS discount_share,
                   CASE WHEN p.least > 0 THEN p.least END AS least,
@@ -149,7 +149,7 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
                         CAST(SUM(summ) AS DOUBLE) / COUNT(*) AS average_check,
                         date_diff('microsecond', MIN(moment), MAX(moment)) / 86400e6 / COUNT(*)
                           AS frequency,
-                        date_diff('microsecond', MAX(moment), TIMESTAMP '2001-08-02') / 86400e6
+                        date_diff('microsecond', MAX(moment), (SELECT MAX(o_orderdate) + INTERVAL 1 DAY FROM orders)) / 86400e6
                           AS inactive
                  FROM visits GROUP BY 1)""",
     ),
@@ -313,7 +313,7 @@ _IN_PERIOD = "moment BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '2000-12-31'"
 
 
 def _check(source: str, condition: str) -> str:
-    return f"""SELECT customer_id, CAST(SUM(summ) AS DOUBLE) / COUNT(*) * 1.15::DOUBLE AS target
+    return f"""SELECT customer_id, CAST(SUM(summ) AS DOUBLE) / COUNT(summ) * 1.15::DOUBLE AS target
                FROM {source} WHERE {condition} GROUP BY 1"""
 
 
@@ -576,7 +576,7 @@ def statements() -> dict[str, str]:
         ),
         "group_churn": s(
             f"""SELECT {_PAIR}, {_real(
-                "date_diff('microsecond', last_at, TIMESTAMP '2001-08-02') / 86400e6 / frequency",
+                "date_diff('microsecond', last_at, (SELECT MAX(o_orderdate) + INTERVAL 1 DAY FROM orders)) / 86400e6 / frequency",
                 "group_churn_rate")} FROM spans""",
             "spans",
         ),
@@ -595,13 +595,23 @@ def statements() -> dict[str, str]:
         ),
         "group_margin_last_days": s(
             f"""SELECT {_PAIR}, {_money("SUM(paid - cost)", "group_margin")} FROM history
-                WHERE moment > TIMESTAMP '2001-08-02' - 365 * INTERVAL 1 DAY GROUP BY {_PAIR}""",
+                WHERE moment > (SELECT MAX(o_orderdate) + INTERVAL 1 DAY FROM orders) - 365 * INTERVAL 1 DAY GROUP BY {_PAIR}""",
             "history",
         ),
         "group_margin_last_n": s(
             f"SELECT {_PAIR}, {_money('margin', 'group_margin')} FROM recent_margin",
             "recent_margin",
         ),
+        "group_margin_of_customer": s(
+            f"""SELECT {_PAIR}, {_money('margin', 'group_margin')} FROM recent_margin
+                WHERE customer_id = 7""",
+            "recent_margin",
+        ),
+        "group_margin_of_pair": s(
+            f"""SELECT {_PAIR}, {_money('margin', 'group_margin')} FROM margin
+                WHERE customer_id = 7 AND group_id = 11""",
+            "margin",
+        ),
         "group_discount_share": s(
             f"""SELECT {_PAIR}, {_real("CAST(transactions AS DOUBLE) / n", "group_discount_share")}
                 FROM spans JOIN reduced USING ({_PAIR})""",

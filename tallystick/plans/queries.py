@@ -13,9 +13,9 @@ from tallystick.functions.calendar import moment
 from tallystick.operators import customers, groups, offers, periods, purchases, quality
 from tallystick.plans.model import LoyaltyModel
 from tallystick.sources.delimited import read_delimited, write_delimited
-from tallystick.sources.star import ANALYSIS_DATE, star_tables
+from tallystick.sources.star import star_tables
 from tallystick.sources.tables import SPECS
-from tallystick.sources.workspace import new_folder, staged
+from tallystick.sources.workspace import staged
 
 # Parameters of the registered calls.
 PERIOD = (dt.date(1998, 1, 1), dt.date(2000, 12, 31))
@@ -23,6 +23,8 @@ VISIT_PERIOD = (dt.datetime(2022, 6, 20), dt.datetime(2022, 8, 25))
 RECENT_DAYS = 365
 RECENT_PURCHASES = 2
 RECENT_CHECKS = 3
+MARGIN_CUSTOMER = 7
+MARGIN_GROUP = 11
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +51,9 @@ def _query(build: Callable[[LoyaltyModel], DataFrame]) -> Callable[[LoyaltyModel
     """Register under the function's name, without a trailing underscore."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        model = LoyaltyModel(spark, star_tables(spark, folder), ANALYSIS_DATE)
-        return presented(build(model))
+        model = LoyaltyModel(spark, star_tables(spark, folder))
+        with model.workspace:
+            return presented(build(model))
 
     _QUERIES[build.__name__.rstrip("_")] = run
     return build
@@ -218,7 +221,7 @@ def group_stability(m):
 
 
 def _margin(m, rule):
-    return groups.group_margins(purchases.purchase_history(m.tables), rule, m.as_of)
+    return groups.group_margins(purchases.margin_history(m.tables), rule, m.as_of)
 
 
 @_query
@@ -236,6 +239,16 @@ def group_margin_last_n(m):
     return _margin(m, groups.MarginRule(2, RECENT_PURCHASES))
 
 
+@_query
+def group_margin_of_customer(m):
+    return m.group_margins(2, RECENT_PURCHASES, customer_id=MARGIN_CUSTOMER)
+
+
+@_query
+def group_margin_of_pair(m):
+    return m.group_margins(customer_id=MARGIN_CUSTOMER, group_id=MARGIN_GROUP)
+
+
 @_query
 def group_discount_share(m):
     return groups.group_discount_shares(_profiles(m))
@@ -373,7 +386,7 @@ def dq_all(m):
 
 
 def _round_trip(m, name, delimiter):
-    path = new_folder(m.spark, f"export-{name}")
+    path = m.workspace.new_folder(f"export-{name}")
     write_delimited(m.tables[name], path, delimiter)
     return read_delimited(m.spark, SPECS[name], path, delimiter, T.DecimalType(18, 4))
 

@@ -24,13 +24,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+PARTITION_BYTES = 128 << 20
+
+
+def partitions_for(input_bytes: int) -> int:
+    """Shuffle partitions of about 128 MB; adaptive execution merges smaller ones."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
 def build_session(
     app_name: str = "tallystick",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    input_bytes: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """A session with the web UI off; on a cluster leave ``master`` to spark-submit."""
+    """A session with the web UI off; on a cluster leave ``master`` to spark-submit.
+
+    ``input_bytes``, the size of the fact tables, sets the number of shuffle partitions:
+    adaptive execution merges small ones but does not split those of an aggregate.
+    """
+    if shuffle_partitions is None and input_bytes is not None:
+        shuffle_partitions = partitions_for(input_bytes)
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)

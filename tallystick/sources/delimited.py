@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystick.functions.calendar import DAY_FIRST
-from tallystick.sources.tables import SPECS, Tables, TableSpec
+from tallystick.sources.tables import SPECS, Tables, TableSpec, spec_of
 
 # On reading, an unquoted empty field is NULL while a quoted one is an empty text.
 # Spark tells them apart only if its NULL marker cannot occur as a value.
@@ -82,19 +82,21 @@ class TableStore:
         self.money = money
 
     def _folder(self, table_name: str) -> str:
-        return f"{self.root}/{SPECS[table_name].name}"
+        return f"{self.root}/{spec_of(table_name).name}"
 
     def import_data(
         self, table_name: str, file_path: str, delimiter: str = "\t", multiline: bool = False
     ) -> None:
         """Append a delimited file to a table."""
         read_delimited(
-            self.spark, SPECS[table_name], file_path, delimiter, self.money, multiline
+            self.spark, spec_of(table_name), file_path, delimiter, self.money, multiline
         ).write.mode("append").parquet(self._folder(table_name))
 
-    def export_data(self, table_name: str, file_path: str, delimiter: str = "\t") -> None:
-        """Write a table as a folder of delimited part files."""
-        write_delimited(self.table(table_name), file_path, delimiter)
+    def export_data(
+        self, table_name: str, file_path: str, delimiter: str = "\t", mode: str = "overwrite"
+    ) -> None:
+        """Write a table as a folder of delimited part files; by default replaces an older one."""
+        write_delimited(self.table(table_name), file_path, delimiter, mode)
 
     def load_all(self, folder: str, mini: bool = True, delimiter: str = "\t") -> None:
         """Append the eight shipped files, parents before children."""
@@ -104,7 +106,7 @@ class TableStore:
             self.import_data(name, f"{folder.rstrip('/')}/{stem}.tsv", delimiter)
 
     def table(self, table_name: str) -> DataFrame:
-        schema = SPECS[table_name].schema(self.money)
+        schema = spec_of(table_name).schema(self.money)
         return self.spark.read.schema(schema).parquet(self._folder(table_name))
 
     def tables(self) -> Tables:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystick.sources.tables import Tables
 
 STORES = 5
-ANALYSIS_DATE = dt.datetime(2001, 8, 2)
 MONEY = "decimal(18,4)"
 
 

@@ -177,6 +177,24 @@ SPECS: dict[str, TableSpec] = {
 }
 
 
+# The names that import and export calls use for some tables.
+ALIASES = {
+    "personaldetails": "personal_details",
+    "customercards": "customer_cards",
+    "transaction": "transactions",
+    "skugroups": "sku_groups",
+    "productmatrix": "product_matrix",
+    "retailstores": "retail_stores",
+    "dateofanalysisformation": "analysis_formation",
+}
+
+
+def spec_of(table_name: str) -> TableSpec:
+    """By name or alias, whatever the case."""
+    name = table_name.lower()
+    return SPECS[ALIASES.get(name, name)]
+
+
 @dataclass(frozen=True)
 class Tables:
     """The eight logical tables as DataFrames, whatever they were read from."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextvars
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,30 +23,92 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-_FOLDERS: list[str] = []
+_RUN = uuid.uuid4().hex
+_ACTIVE: contextvars.ContextVar[Workspace | None] = contextvars.ContextVar("workspace", default=None)
+_ALL: weakref.WeakSet[Workspace] = weakref.WeakSet()
+_ROOTS: dict[str, Workspace] = {}
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    folder = f"{shared_folder(spark)}/tallystick/{label}-{uuid.uuid4().hex}"
-    _FOLDERS.append(folder)
-    return folder
+class Workspace:
+    """The staged tables of one owner, below this run's folder in the shared one.
 
+    ``with workspace:`` makes it the one that ``staged`` writes to. Releasing it leaves the
+    tables of other owners alone; what is left of the run goes when the process ends.
+    """
 
-def discard_staged(spark: SparkSession) -> None:
-    """Delete what this process staged; frames that still read it stop working."""
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    configuration = spark._jsc.hadoopConfiguration()
-    while _FOLDERS:
-        path = path_class(_FOLDERS.pop())
-        path.getFileSystem(configuration).delete(path, True)
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{shared_folder(spark)}/tallystick/run-{_RUN}"
+        self._configuration = spark._jsc.hadoopConfiguration()
+        self._jvm = spark._jvm
+        self._folders: list[str] = []
+        self._outer: list[contextvars.Token] = []
+        _ALL.add(self)
+        if self.root not in _ROOTS:
+            _ROOTS[self.root] = self
+            atexit.register(self._remove_quietly, self.root)
+
+    def __enter__(self) -> Workspace:
+        self._outer.append(_ACTIVE.set(self))
+        return self
+
+    def __exit__(self, *_) -> None:
+        _ACTIVE.reset(self._outer.pop())
+
+    def new_folder(self, label: str) -> str:
+        folder = f"{self.root}/{label}-{uuid.uuid4().hex}"
+        self._folders.append(folder)
+        return folder
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        """Write once, read many times.
+
+        Cuts the lineage, survives the loss of executors, and keeps column pruning and
+        size statistics for the plans that read it back.
+        """
+        folder = self.new_folder(label)
+        df.write.parquet(folder)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+    def release(self) -> None:
+        """Delete this owner's tables; frames that still read them stop working."""
+        while self._folders:
+            self._remove(self._folders.pop())
+
+    def _remove(self, folder: str) -> None:
+        path = self._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self._configuration).delete(path, True)
+
+    def _remove_quietly(self, folder: str) -> None:
+        """At the end of the process the JVM may be gone already."""
+        try:
+            self._remove(folder)
+        except Exception:  # noqa: BLE001
+            pass
+
+
+_DEFAULTS: weakref.WeakKeyDictionary[SparkSession, Workspace] = weakref.WeakKeyDictionary()
+
+
+def _current(spark: SparkSession) -> Workspace:
+    """The active workspace, else the session's own."""
+    active = _ACTIVE.get()
+    if active is not None:
+        return active
+    if spark not in _DEFAULTS:
+        _DEFAULTS[spark] = Workspace(spark)
+    return _DEFAULTS[spark]
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return _current(spark).new_folder(label)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read many times.
+    return _current(df.sparkSession).staged(df, label)
 
-    Cuts the lineage, survives the loss of executors, and keeps column pruning and
-    size statistics for the plans that read it back.
-    """
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+def discard_staged(spark: SparkSession) -> None:
+    """Delete what this process staged, whoever owns it."""
+    for workspace in list(_ALL):
+        workspace.release()

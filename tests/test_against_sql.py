@@ -73,15 +73,9 @@ def test_skewed_data(spark, skewed, skewed_connection, name):
 @pytest.mark.parametrize("name", ["groups_view", "offers_cross_sell", "customers_view"])
 def test_without_broadcast(spark, skewed, skewed_connection, name):
     """The same results when no side is small enough to broadcast."""
-    query = QUERIES[name]
-
-    def forced(session, folder):
-        frame = query(session, folder)
-        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        return frame
-
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        _, problems = compare(spark, skewed_connection, skewed, forced, SQL[name])
+        _, problems = compare(spark, skewed_connection, skewed, QUERIES[name], SQL[name])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
     assert not problems

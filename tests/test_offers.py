@@ -10,7 +10,7 @@ from tallystick import LoyaltyModel
 from tallystick.functions.calendar import to_datetime
 from tallystick.operators import groups, offers
 from tallystick.operators.offers import AverageCheck, CrossSell, Reward
-from tallystick.sources.star import ANALYSIS_DATE, star_tables
+from tallystick.sources.star import star_tables
 from tests.small import AS_OF, at, by, tables
 from tests.test_views import line
 
@@ -88,8 +88,31 @@ def test_target_check_of_a_period(spark):
     assert period(dt.date(2022, 1, 1), dt.date(2022, 1, 2)) == {1: 150.0}
     # Both dates outside: the whole analysed period.
     assert period(dt.date(1990, 1, 1), dt.date(2050, 1, 1)) == {1: 275.0, 2: 40.0}
-    # Too late: both move to the last moment of the period.
-    assert period(dt.date(2040, 1, 1), dt.date(2050, 1, 1)) == {2: 40.0}
+    # Wholly before or after the analysed period: nothing is selected.
+    assert period(dt.date(2040, 1, 1), dt.date(2050, 1, 1)) == {}
+    assert period(dt.date(1990, 1, 1), dt.date(1991, 1, 1)) == {}
+    assert period(dt.date(2022, 1, 20), dt.date(2050, 1, 1)) == {2: 40.0}
+
+
+def test_transactions_without_a_sum_are_left_out_of_the_average(spark):
+    rows = [(1, 10, 100.0, at(1), 1), (2, 10, None, at(2), 1), (3, 20, None, at(2), 1)]
+    assert _target(spark, AverageCheck(2, quantity=5, coefficient=2), rows) == {1: 200.0, 2: None}
+
+
+def test_growth_offers_survive_tiny_frequencies(spark):
+    t = tables(spark)
+    eligible = offers.eligible_groups(frame(spark, pair(1, 1)), Reward(3, 70, 30))
+    eligible = offers.best_groups(eligible)
+    customers = spark.createDataFrame(
+        [(1, 0.0005 / 86_400)], "customer_id long, customer_frequency double"
+    )
+    rows = offers.visit_growth_offers(t, eligible, customers, at(1), at(21), 1).collect()
+    assert rows[0].required_transactions_count == 20 * 86_400 * 2000 + 1
+
+
+def test_growth_period_must_run_forward(spark):
+    with pytest.raises(ValueError):
+        offers.visit_growth_offers(tables(spark), None, None, at(11), at(1), 1)
 
 
 def test_all_latest_transactions_equal_the_whole_period(spark):
@@ -232,7 +255,7 @@ def test_offer_cap_from_a_bare_history(spark):
 
 @pytest.fixture(scope="module")
 def model(spark, star_folder):
-    return LoyaltyModel(spark, star_tables(spark, star_folder), ANALYSIS_DATE)
+    return LoyaltyModel(spark, star_tables(spark, star_folder))
 
 
 def test_invariants_of_the_views(model):

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallystick.functions.calendar import hour_slot
 from tallystick.operators import ordering
 from tallystick.operators.customers import percentile_bucket, share_segment
 
@@ -36,7 +37,7 @@ def test_total_until(spark, seed):
             counts[key, at] = counts.get((key, at), 0) + 1
     counted = spark.createDataFrame(
         [(k, a, n) for (k, a), n in counts.items()], "key long, at timestamp_ntz, n long"
-    )
+    ).withColumn("_slot", hour_slot(F.col("at")))
     asked = [(k, a, last, i) for i, (k, a) in enumerate(counts) for last in (True, False)]
     readers = spark.createDataFrame(asked, "key long, at timestamp_ntz, last boolean, id long")
     rows = ordering.total_until(
@@ -50,13 +51,18 @@ def test_total_until(spark, seed):
 
 
 @pytest.mark.parametrize("count", [1, 3, 40, 1000])
-@pytest.mark.parametrize("trimmed", [True, False])
-def test_latest(spark, monkeypatch, count, trimmed):
-    if not trimmed:
-        monkeypatch.setattr(ordering, "_TRIMMED_BEFORE_SHUFFLE", 0)
-    rows = random_rows(3)
+@pytest.mark.parametrize("threshold", ["10", "1000"])
+def test_latest(spark, count, threshold):
+    """A third of the hot key's rows share one moment; the plan does not hang on the threshold."""
+    rows = [(k, START if n % 3 == 0 and k == 1 else a, n) for k, a, n in random_rows(3)]
     frame = spark.createDataFrame(rows, SCHEMA)
-    got = {r.id for r in ordering.latest(frame, ["key"], "at", "id", count).collect()}
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        got = {r.id for r in ordering.latest(frame, ["key"], "at", "id", count).collect()}
+    finally:
+        spark.conf.set(name, before)
     expected = set()
     for key in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == key]
@@ -65,6 +71,16 @@ def test_latest(spark, monkeypatch, count, trimmed):
     assert got == expected
 
 
+def test_latest_deals_a_hot_key_to_many_tasks(spark):
+    """No task of the first step holds more than a small part of the one key's rows."""
+    frame = spark.range(20_000).selectExpr("1L AS key", "CAST(NULL AS timestamp_ntz) AS at", "id")
+    plan = ordering.latest(frame, ["key"], "at", "id", 5000)
+    assert "_part" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id for r in plan.collect()} == set(range(15_000, 20_000))
+    parts = frame.selectExpr(f"pmod(xxhash64(id), {ordering._PARTS}) AS part").groupBy("part").count()
+    assert max(r["count"] for r in parts.collect()) < 20_000 / ordering._PARTS * 1.5
+
+
 def test_latest_rejects_zero(spark):
     with pytest.raises(ValueError):
         ordering.latest(spark.createDataFrame([], SCHEMA), ["key"], "at", "id", 0)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import decimal
 import pathlib
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystick import LoyaltyModel
+from tallystick.session import partitions_for
 from tallystick.sources import workspace
 from tallystick.sources.delimited import (
     TableStore,
@@ -19,6 +24,7 @@ from tallystick.sources.delimited import (
     write_delimited,
 )
 from tallystick.sources.tables import SPECS
+from tests.small import AS_OF, at, tables
 
 FILES = {
     "Personal_Data_Mini": "1\tЕвгений\tИванов\tjoe@gmail.com\t+74910382990\n"
@@ -175,3 +181,93 @@ def test_released_models_build_their_tables_anew(spark, folder, tmp_path):
     before = sorted(map(tuple, model.periods.collect()))
     model.release()
     assert sorted(map(tuple, model.periods.collect())) == before
+
+
+def _folders(frame):
+    return {pathlib.Path(p.removeprefix("file:")).parent for p in frame.inputFiles()}
+
+
+def test_releasing_one_model_leaves_the_other_alone(spark, folder, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.load_all(folder)
+    first, second = (LoyaltyModel(spark, store.tables()) for _ in range(2))
+    exported = tmp_path / "exported"
+    store.export_data("checks", str(exported))
+    expected, theirs = first.purchase_history.count(), _folders(second.baskets)
+    second.release()
+    assert not any(path.exists() for path in theirs)
+    assert first.purchase_history.count() == expected
+    mine = _folders(first.baskets)
+    first.release()
+    assert not any(path.exists() for path in mine)
+    assert exported.exists()
+
+
+def test_nothing_is_left_of_a_run_when_its_process_ends(tmp_path):
+    code = (
+        "from tallystick import build_session\n"
+        "from tallystick.sources.workspace import Workspace, staged\n"
+        "spark = build_session('left', 'local[1]', 1)\n"
+        f"spark.sparkContext.setCheckpointDir({str(tmp_path)!r})\n"
+        "kept = Workspace(spark).staged(spark.range(3), 'kept')\n"
+        "own = staged(spark.range(3), 'own')\n"
+        "print('ROWS', kept.count() + own.count())\n"
+    )
+    root = str(pathlib.Path(__file__).resolve().parent.parent)
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "ROWS 6" in done.stdout
+    assert not [p for p in tmp_path.rglob("run-*")]
+
+
+def test_a_model_leaves_the_settings_of_the_session_alone(spark, folder, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.load_all(folder)
+    mine = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in mine}
+    for name, value in mine.items():
+        spark.conf.set(name, value)
+    try:
+        LoyaltyModel(spark, store.tables()).groups.collect()
+        assert {name: spark.conf.get(name) for name in mine} == mine
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_aliases_and_repeated_exports(spark, folder, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.load_all(folder)
+    store.import_data("CustomerCards", f"{folder}/Cards_Mini.tsv")
+    assert store.table("customercards").count() == 8
+    target = str(tmp_path / "out")
+    for _ in range(2):
+        store.export_data("productmatrix", target)
+    assert read_delimited(spark, SPECS["product_matrix"], target).count() == 2
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        store.export_data("productmatrix", target, mode="error")
+    LoyaltyModel(spark, store.tables()).register_views()
+    assert spark.sql("SELECT * FROM productmatrix").count() == 2
+
+
+def test_partitions_follow_the_input():
+    assert partitions_for(1) == 200
+    assert partitions_for(100 << 40) == 819_200
+
+
+def test_margins_keep_all_digits(spark):
+    lines = {"transactions": [(1, 10, 1, at(1), 1)], "checks": [(1, 101, "0.3333", "2.0000", "1.0000", "1.0000")]}
+    t = tables(spark)
+    money = T.DecimalType(18, 4)
+    cast = lambda df, *names: df.select(*[F.col(c).cast(money).alias(c) if c in names else F.col(c) for c in df.columns])
+    checks = spark.createDataFrame(lines["checks"], "transaction_id long, sku_id long, sku_amount string, sku_summ string, sku_summ_paid string, sku_discount string")
+    exact = dataclasses.replace(
+        t,
+        transactions=cast(spark.createDataFrame(lines["transactions"], "transaction_id long, customer_card_id long, transaction_summ int, transaction_datetime timestamp_ntz, transaction_store_id long"), "transaction_summ"),
+        checks=cast(checks, "sku_amount", "sku_summ", "sku_summ_paid", "sku_discount"),
+        retail_stores=cast(t.retail_stores.withColumn("sku_purchase_price", F.lit("0.1111")), "sku_purchase_price", "sku_retail_price"),
+    )
+    model = LoyaltyModel(spark, exact, AS_OF)
+    assert [r.group_margin for r in model.group_margins().collect()] == [decimal.Decimal("0.96297037")]
+    assert [r.group_margin for r in model.group_margins(customer_id=1, group_id=1).collect()] == [decimal.Decimal("0.96297037")]
+    assert [r.group_margin for r in model.groups.collect()] == [decimal.Decimal("0.96297037")]
+    assert model.group_margins(customer_id=2).collect() == []
