@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pyspark.sql import types as T
 from tallystick.functions.calendar import moment
 from tallystick.operators import customers, groups, offers, periods, purchases, quality
 from tallystick.plans.model import LoyaltyModel
-from tallystick.sources.delimited import read_delimited, write_delimited
+from tallystick.sources.delimited import TableStore, read_delimited, write_delimited
+from tallystick.sources.faults import faulty
 from tallystick.sources.star import star_tables
 from tallystick.sources.tables import SPECS
 from tallystick.sources.workspace import staged
@@ -382,6 +384,44 @@ def dq_all(m):
     return quality.violations(m.tables)
 
 
+# The same over tables with a documented fault per rule.
+
+
+@_query
+def dq_unique_faulty(m):
+    return quality.unique_violations(faulty(m.tables))
+
+
+@_query
+def dq_foreign_keys_faulty(m):
+    return quality.reference_violations(faulty(m.tables))
+
+
+@_query
+def dq_ranges_faulty(m):
+    return quality.range_violations(faulty(m.tables))
+
+
+@_query
+def dq_patterns_faulty(m):
+    return quality.pattern_violations(faulty(m.tables))
+
+
+@_query
+def dq_required_faulty(m):
+    return quality.missing_values(faulty(m.tables))
+
+
+@_query
+def dq_lengths_faulty(m):
+    return quality.length_violations(faulty(m.tables))
+
+
+@_query
+def dq_rule_counts_faulty(m):
+    return quality.rule_counts(faulty(m.tables))
+
+
 # --- import and export ------------------------------------------------------------------
 
 
@@ -406,6 +446,58 @@ def import_export_personal(m):
     return _round_trip(m, "personal_details", ",")
 
 
+def _loaded(m, mini):
+    """All eight tables written as delimited text, then loaded parents first.
+
+    Moments are day-first text, with the time of day taken from the key. Sums are missing where
+    the key ends in 3, moments where it ends in 7; by the key's remainder of four, names are
+    empty texts (1) and surnames missing (2).
+    """
+    at = F.expr("transaction_datetime + make_dt_interval(0, 0, 0, transaction_id % 86400)")
+    key, customer = F.col("transaction_id"), F.col("customer_id")
+    texts = {
+        "transactions": m.tables.transactions.select(
+            "transaction_id",
+            "customer_card_id",
+            F.when(key % 10 != 3, F.col("transaction_summ")).alias("transaction_summ"),
+            F.when(key % 10 != 7, F.date_format(at, "d.M.yyyy H:mm:ss")).alias("transaction_datetime"),
+            "transaction_store_id",
+        ),
+        "personal_details": m.tables.personal_details.withColumns(
+            {
+                "customer_name": F.when(customer % 4 == 1, "").otherwise(F.col("customer_name")),
+                "customer_surname": F.when(customer % 4 != 2, F.col("customer_surname")),
+            }
+        ),
+    }
+    folder = m.workspace.new_folder("incoming")
+    for name, spec in SPECS.items():
+        small = "_Mini" if mini and name != "analysis_formation" else ""
+        write_delimited(texts.get(name, m.tables[name]), f"{folder}/{spec.file_stem}{small}.tsv")
+    store = TableStore(m.spark, m.workspace.new_folder("store"), T.DecimalType(18, 4))
+    store.load_all(folder, mini)
+    return store.tables()
+
+
+@_query
+def load_day_first(m):
+    return _loaded(m, mini=True).transactions
+
+
+@_query
+def load_empty_fields(m):
+    return _loaded(m, mini=False).personal_details
+
+
+@_query
+def load_all_tables(m):
+    counts = [
+        frame.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, frame in _loaded(m, mini=False).items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @_query
 def analysis_date(m):
     return m.tables.analysis_formation

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pathlib
+
 import pytest
 
 from tallystick.operators import quality
+from tallystick.sources.faults import faulty as with_faults
+from tallystick.sources.star import star_tables
 from tests.small import at, tables
 
 
@@ -123,3 +127,12 @@ def test_counts_agree_with_reports(faulty):
         found[row.table, row.rule] = found.get((row.table, row.rule), 0) + weight
     assert {k: r.broken for k, r in counts.items() if r.broken} == found
     assert counts["checks", "sku_amount > 0"].rows == 3
+
+
+def test_every_rule_is_broken_by_the_faulty_tables(spark):
+    folder = pathlib.Path("/root/testdata/sf0.01")
+    if not folder.exists():
+        pytest.skip("no test data on this machine")
+    counts = quality.rule_counts(with_faults(star_tables(spark, str(folder)))).collect()
+    assert len(counts) == 35
+    assert all(0 < r.broken < r.rows for r in counts)
