@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystick.sources.workspace import staged
+
 WINDOW = 40
 STRIDE = 20
 SAMPLE_TOXIC = 700
@@ -307,7 +309,8 @@ def train(documents: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, cl
     share = {k: min(1.0, 2 * n / max(counts.get(k, 0), 1)) for k, n in ((0, clean), (1, toxic))}
     few = marked.where(F.when(F.col("toxic") == 1, place < share[1]).when(F.col("toxic") == 0, place < share[0]))
     short = documents.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-    joined = short.join(few, F.col("doc_id") == F.col("_id")).select("text", "toxic", place.alias("place"))
+    # The sampled marks are few by the parameters; written first, their true size lets Spark broadcast them.
+    joined = short.join(staged(few, "marks"), F.col("doc_id") == F.col("_id")).select("text", "toxic", place.alias("place"))
     rows = []
     for mark, most in ((1, toxic), (0, clean)):
         rows += joined.where(F.col("toxic") == mark).orderBy("place", "text").limit(most).collect()
