@@ -159,7 +159,14 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
 
     component_fp names the class even where it has no id.
     """
-    prints = staged(documents.select("doc_id", fingerprint_column("text", shingle).alias("fp")), "fingerprints")
+    return _classes(staged(_prints(documents, shingle), "fingerprints"), max_bits)
+
+
+def _prints(documents: DataFrame, shingle: int) -> DataFrame:
+    return documents.select("doc_id", fingerprint_column("text", shingle).alias("fp"))
+
+
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     roots = components(links(nodes, max_bits))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("component_fp"))
@@ -171,12 +178,22 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int
 def deduplicate(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each class, all its columns: the one with the smallest id.
 
-    Equal ids within a class: the row whose text sorts first; a class without ids keeps one row.
+    Equal ids within a class: the row with the smallest fingerprint, then the one whose text
+    sorts first; a class without ids keeps one row. Ids that occur once need no fingerprint to
+    be found again, so texts are fingerprinted once and shuffled once, by id.
     """
-    classes = near_duplicates(documents, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = classes.groupBy("component_fp").agg(F.min("fp").alias("keep_fp"), F.first("component_id").alias("keep_id"))
+    prints = staged(_prints(documents, shingle), "fingerprints")
+    own = _classes(prints, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = own.groupBy("component_fp").agg(F.min("fp").alias("keep_fp"), F.first("component_id").alias("keep_id"))
     keep = staged(keep.select("keep_fp", "keep_id"), "kept")
-    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")).withColumn("fp", fingerprint_column("row.text", shingle))
-    first = F.min_by("row", F.coalesce("row.text", F.lit("")))
+    repeated = staged(prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated")
+    is_repeated = F.col("keep_id").eqNullSafe(F.col("again"))
+    once = documents.join(keep.join(repeated, is_repeated, "left_anti"), F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    if repeated.isEmpty():
+        return once
+    several = documents.join(repeated, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
+    rows = several.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+    rows = staged(rows.withColumn("fp", fingerprint_column("row.text", shingle)), "several")
     kept = rows.join(keep, (F.col("fp") == F.col("keep_fp")) & F.col("row.doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.groupBy("fp", "row.doc_id").agg(first.alias("kept_row")).select("kept_row.*")
+    first = F.min_by("row", F.coalesce("row.text", F.lit("")))
+    return once.unionAll(kept.groupBy("fp", "row.doc_id").agg(first.alias("kept_row")).select("kept_row.*"))
