@@ -12,7 +12,8 @@ The search is probabilistic. ``CODES`` independent codes are used, because a vec
 badly to the words of one code passes few of its filters; ``PASSES`` is the number of filters of
 a code that a pair at the least cosine is expected to share, which fixes the height (worked out
 per dimension on seeded pairs). At 64 dimensions about one pair in a thousand at exactly the
-least cosine is missed, and none of the nearer ones. More rows call for more ``WORDS``: filters
+least cosine is missed, and none of the nearer ones. Lengths at which pairs share fewer than half
+of ``PASSES`` are refused with an error. More rows call for more ``WORDS``: filters
 get narrower at the same expected number.
 
 A filter passed by a single vector cannot hold a pair and is dropped by counting. A filter
@@ -65,17 +66,24 @@ class Code:
         y = draw.standard_normal((64, size))
         y = self._unit(y - (x * y).sum(1, keepdims=True) * x)
         y = cosine * x + np.sqrt(max(1 - cosine**2, 0)) * y
-        low, high = (0.25 if size > 16 else 0.0), 1.0
-        while height is None and high - low > 0.003:
-            self.height = (low + high) / 2
-            shared = np.mean([len(np.intersect1d(a, b)) for a, b in zip(self.decode(x), self.decode(y), strict=True)])
-            low, high = (self.height, high) if shared > passes else (low, self.height)
+        # Reachable heights shrink with the root of the length, and so must the step.
+        low, high = 0.0, 1.0
+        while height is None and high - low > min(0.003, 0.024 / np.sqrt(size)):
+            middle = (low + high) / 2
+            low, high = (middle, high) if self._shared(x, y, middle) > passes else (low, middle)
         self.height = low if height is None else height
+        if height is None and (shared := self._shared(x, y, low)) < passes / 2:
+            raise ValueError(f"pairs of length {size} share {shared:.2f} filters, {passes} wanted: more words or a higher cosine needed")
 
     @staticmethod
     def _unit(rows: np.ndarray) -> np.ndarray:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
 
+    def _shared(self, x: np.ndarray, y: np.ndarray, height: float) -> float:
+        """Mean number of filters that row pairs share at a height."""
+        self.height = height
+        return float(np.mean([len(np.intersect1d(a, b)) for a, b in zip(self.decode(x), self.decode(y), strict=True)]))
+
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Numbers of the filters that each unit vector passes, ascending."""
         turned = unit @ self.rotation

@@ -82,6 +82,33 @@ def test_recall_at_the_least_cosine():
     assert met.mean() > 0.99
 
 
+@pytest.mark.parametrize("size", [320, 384, 768])
+def test_recall_of_long_vectors(size):
+    draw = np.random.default_rng(8)
+    x = embedding_dedup.Code._unit(draw.standard_normal((200, size)))
+    y = draw.standard_normal((200, size))
+    y = embedding_dedup.Code._unit(y - (x * y).sum(1, keepdims=True) * x)
+    y = embedding_dedup.COSINE * x + math.sqrt(1 - embedding_dedup.COSINE**2) * y
+    met = np.zeros(200, bool)
+    for n in range(embedding_dedup.CODES):
+        code = embedding_dedup.Code(n, size, embedding_dedup.COSINE, embedding_dedup.PASSES, embedding_dedup.WORDS)
+        met |= [bool(len(np.intersect1d(a, b))) for a, b in zip(code.decode(x), code.decode(y), strict=True)]
+    assert met.mean() > 0.98
+
+
+def test_too_few_filters_are_refused():
+    with pytest.raises(ValueError, match="share"):
+        embedding_dedup.Code(0, 64, embedding_dedup.COSINE, embedding_dedup.PASSES, 1)
+
+
+def test_copies_of_long_vectors_are_linked(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(768).tolist(), 1) for i in range(20)]
+    rows += [(100 + i, v, 1) for i, v, _ in rows[:10]]
+    found = embedding_dedup.near_duplicates(vectors(spark, rows)).collect()
+    assert collections.Counter(map(tuple, found)) == expected(rows)
+
+
 def test_list_decoding_finds_all_filters():
     code = embedding_dedup.Code(0, 24, 0.93, 4.0, 64)
     x = embedding_dedup.Code._unit(np.random.default_rng(1).standard_normal((30, 24)))
