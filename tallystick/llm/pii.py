@@ -66,6 +66,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    digits = digits.lstrip("0")  # int() refuses more than 4300 characters, leading zeros counted
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     """(start, stop, kind) of the four patterns, by start, then kind as listed."""
     found: list[Span] = []
@@ -81,7 +86,7 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, done))
     if _MARK.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(map(_octet, m[0].split("."))):
                 found.append((m.start(), m.end(), "ip"))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -136,7 +141,7 @@ class Zone:
         self.starts_ok = np.concatenate((digit | letter | np.isin(first, ("+", "(")), [False]))
         self.stops_ok = np.concatenate(([False], digit | letter))
         lengths = np.diff(self.ends)
-        octet = np.array([d and len(a.lstrip("0")) <= 3 and int(a) <= 255 for d, a in zip(digit, atoms, strict=True)])
+        octet = np.array([d and _octet(a) for d, a in zip(digit, atoms, strict=True)])
         digits = np.array([int(c) for d, a in zip(digit, atoms, strict=True) if d for c in a], int)
         place = np.arange(len(digits)) % 2
         doubled = np.where(digits > 4, 2 * digits - 9, 2 * digits)

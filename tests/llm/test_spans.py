@@ -138,6 +138,15 @@ def test_personal_query(spark, star_folder):
         assert {f"{k}:{a}:{b}" for a, b, k in spans} <= set(row["spans"].split(",")) | {""}
 
 
+def test_long_runs_of_zeros(spark):
+    zeros = "0" * 5000
+    texts = [zeros, f"{zeros}.0.{zeros}7.1", f"mail a.b@c.example.net {zeros}"]
+    frame = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = frame.select("doc_id", pii.spans(F.col("text"), pii.train(frame)).alias("s")).select("doc_id", "s.base").collect()
+    base = {r["doc_id"]: [(s["kind"], s["start"], s["stop"]) for s in r["base"]] for r in found}
+    assert base == {0: [], 1: [("ip", 0, len(texts[1]))], 2: [("email", 5, 22)]}
+
+
 def test_personal_data_of_awkward_rows(spark):
     frame = documents(spark, [*EDGES, (50, "mail a.b@c.example.net or +12025550143 now", "en", "a")])
     weights = pii.train(frame)
