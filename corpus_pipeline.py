@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a frame that ``run`` writes
 the cluster's shared folder and rereads as the next one's docs, which cuts the lineage. All
 but the last return the columns of docs.
 
-* language_id drops documents without any recognisable language (``und``: no letter).
+* language_id drops documents without any recognisable language (``und``: no letter); where no
+  language can be learned, those without a letter.
 * simhash_near_dedup keeps the document with the smallest id of each near-duplicate class.
 * decontaminate drops documents in which a benchmark item occurs.
 * personal_data replaces every span of personal data by its kind and restates n_chars.
@@ -24,7 +25,10 @@ from tallystick.sources.workspace import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    lang = languages.predicted(F.col("text"), languages.train(docs)).getField("lang")
+    model = languages.train(docs)
+    if model is None:
+        return docs.where(languages.lettered(F.col("text")))
+    lang = languages.predicted(F.col("text"), model).getField("lang")
     return docs.where(lang != languages.UNKNOWN)
 
 

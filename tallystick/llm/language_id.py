@@ -11,12 +11,13 @@ presence x landmark presence, normalised, then x weights.
 Grams beyond two characters are hashed to 2^18 bins a length, so a text's presence map, the
 landmark matrix and a batch have fixed sizes; long texts are read in pieces that overlap by a
 gram. The fit uses a sample of labelled rows: at most ``MAX_LANGS`` languages (the most frequent
-ones), about ``SAMPLE_ROWS`` rows shared equally among them, lowest id hash first, texts of
-more than ``SAMPLE_CHARS`` characters left out. Scoring covers every whole text.
+ones), at most ``SAMPLE_ROWS`` rows shared equally among them, lowest hash of id and text first,
+texts of more than ``SAMPLE_CHARS`` characters left out. Scoring covers every whole text.
 
 Cases: a text that is NULL or has no letter is ``und`` with score 0, as is every text if
-nothing could be learned; rows without a language are not learned from; NULL ids and repeated
-rows are ordinary rows; an empty table gives no rows. Documents are never shuffled.
+nothing could be learned; rows without a language are not learned from; NULL ids are ordinary
+rows, and so are repeated rows, but the sample takes rows equal in id, text and language once;
+an empty table gives no rows. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -144,18 +145,32 @@ def has_letter(text: str | None) -> bool:
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """labelled: (doc_id, text, lang, ...), the rows that may be learned from."""
     usable = labelled.where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    frequent = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    hashed = F.xxhash64("doc_id", "text")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(hashed).alias("distinct"))
+    frequent = counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
     if not frequent:
         return None
     wanted = max(sample_rows // len(frequent), 1)
-    shares = {row["lang"]: min(1.0, wanted / row["n"]) for row in frequent}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / (1 << 32)
+    # Twice the rows wanted and some more, so that chance leaves no language short; ranks then cut them.
+    shares = {row["lang"]: min(1.0, (2 * wanted + 16) / row["distinct"]) for row in frequent}
+    place = F.pmod(hashed, F.lit(1 << 32)) / (1 << 32)
     share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col("lang"))
-    sample = usable.where(place < share).select("text", "lang", place.alias("place"))
-    rows = sample.orderBy("place", "lang", "text").limit(2 * max(sample_rows, len(frequent))).collect()
+    sample = usable.where(place < share).select("text", "lang", place.alias("place")).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
+    rows = sample.withColumn("rank", rank).where(F.col("rank") <= wanted).orderBy("place", "lang", "text").collect()
     return fit([(r["text"], r["lang"]) for r in rows])
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text column holds a letter."""
+
+    @F.pandas_udf("boolean")
+    def held(column: pd.Series) -> pd.Series:
+        return pd.Series([has_letter(t) for t in column], dtype=bool)
+
+    return held(text)
+
+
 def predicted(text: Column, model: Model | None) -> Column:
     """struct<lang, score> of a text column."""
 

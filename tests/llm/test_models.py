@@ -74,6 +74,23 @@ def test_languages_of_awkward_rows(spark):
     assert empty.select(language_id.predicted(F.col("text"), None)).collect() == []
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_of_one_id_do_not_crowd_out_languages(spark, doc_id):
+    rows = [(doc_id, f"the boats lay still in harbour {i}", "en", "a") for i in range(400)]
+    rows += [(i, f"die Boote lagen still im Hafen {i}", "ge", "a") for i in range(100, 140)]
+    model = language_id.train(documents(spark, rows), sample_rows=40)
+    assert model.langs == ["en", "ge"]
+    assert model.predict([rows[0][1], rows[-1][1]], language_id.Presence())[0] == ["en", "ge"]
+
+
+def test_sample_of_each_language_is_bounded(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language_id, "fit", taken.extend)
+    rows = [(None, f"the boats lay still {i}", "en", "a") for i in range(300)] + [(None, "die Boote", "ge", "a")] * 50
+    language_id.train(documents(spark, rows), sample_rows=40)
+    assert [sum(lang == x for _, lang in taken) for x in ("en", "ge")] == [20, 1]
+
+
 def test_gradients():
     network = toxicity.Network()
     network.p = {k: v.astype(np.float64) for k, v in network.p.items()}

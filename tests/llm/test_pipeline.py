@@ -87,6 +87,13 @@ def test_run_gives_the_last_stage(spark, star_folder):
     assert 0 < rows.count() <= spark.read.parquet(f"{star_folder}/documents.parquet").count()
 
 
+@pytest.mark.parametrize("text", [None, "x" * 50_001])
+def test_language_stage_keeps_letters_without_a_model(spark, star_folder, text):
+    rows = [(1, PROSE, None, "a"), (2, "12 ...", None, "a"), (3, None, "en", "a"), (4, text, "en" if text else None, "a")]
+    kept = corpus_pipeline.language_id(spark, documents(spark, rows), star_folder)
+    assert sorted(r["doc_id"] for r in kept.collect()) == ([1, 4] if text else [1])
+
+
 def test_stages_on_no_documents(spark, given, tmp_path):
     empty = spark.read.parquet(f"{given}/documents.parquet").where("false")
     spark.read.parquet(f"{given}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
