@@ -14,13 +14,16 @@ anchors, so one run of windows travels as one stretch of text instead of many su
 2. Prefixes of up to ``HOT`` occurrences send their stretches to a group, which sorts all
    windows in them word by word: equal neighbours lie below one node of depth ``WINDOW``.
    A hotter prefix is lengthened to the full depth: each of its windows is a group of its own,
-   and only its 128-bit key and count travel.
+   and only its 128-bit key and count travel. The halves of a key come from two word hashes
+   and two bases, so one does not follow from the other.
 3. The answers return to the documents, which drop the covered words.
 
 Documents are dealt by a hash of id and text into batches of about ``BATCH_BYTES``, groups hold
 about ``GROUP_BYTES`` of text; both numbers follow from the input's size. A batch sends a prefix,
 stretch or key once with its count, however often it holds it, so that copies and common
-passages do not pile up in a group. All answers go back by batch, never by way of the driver.
+passages do not pile up in a group. Rows that occur more than ``COPIES`` times with equal id and
+text would all land in one batch; two of them stand in for the rest, each being the other's
+repeat, and the answer is given as often as the row occurs. All answers go back by batch, never by way of the driver.
 
 Cases: a NULL or blank text has no words and stays as an empty text; texts of fewer words than
 a window are kept whole, copies included; repeated rows are each other's repeats; NULL ids are
@@ -33,18 +36,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystick.sources.workspace import staged
+
 WINDOW = 35
 PREFIX = 8
 HOT = 2000
+COPIES = 100
 BATCH_BYTES = 2 << 20
 GROUP_BYTES = 4 << 20
 _PLACE_BITS = np.uint64(28)
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SECOND_BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -98,11 +106,12 @@ class Batch:
         self.last = valid[np.append(new[1:], len(valid)) - 1]
         self.hashes = grams[anchor[new]]
 
-    def _joined(self, size: int, at: np.ndarray, seed: int = 0) -> np.ndarray:
+    def _joined(self, size: int, at: np.ndarray, words: np.ndarray | None = None, base: np.uint64 = _BASE) -> np.ndarray:
         """Hash of the ``size`` words from each place."""
-        out = np.full(len(at), seed, np.uint64)
+        words = self.words if words is None else words
+        out = np.zeros(len(at), np.uint64)
         for i in range(size):
-            out = out * _BASE + self.words[at + i]
+            out = out * base + words[at + i]
         return _mix(out)
 
     def stretch(self, first: int, last: int) -> bytes:
@@ -111,13 +120,34 @@ class Batch:
 
     def keys(self, at: np.ndarray) -> np.ndarray:
         """128-bit keys of the windows at some places, two numbers each."""
-        return np.stack((self._joined(self.window, at, 1), self._joined(self.window, at, 2)), 1)
+        change = np.zeros(len(self.words) + 1, np.int64)
+        np.add.at(change, at, 1)
+        np.add.at(change, at + self.window, -1)
+        held = np.flatnonzero(np.cumsum(change[:-1]))
+        second = np.zeros(len(self.words), np.uint64)
+        places = zip(self.starts[held].tolist(), self.stops[held].tolist(), strict=True)
+        second[held] = np.array([xxhash.xxh64_intdigest(self.data[a:b]) for a, b in places], np.uint64)
+        return np.stack((self._joined(self.window, at), self._joined(self.window, at, second, _SECOND_BASE)), 1)
 
 
 def _ordered(rows: pd.DataFrame) -> tuple[list, list]:
-    """Ids and texts of a batch in an order that does not depend on how they arrived."""
-    both = sorted(zip(rows["doc_id"], rows["text"], strict=True), key=lambda x: (x[0] is not None, x[0] or "", x[1] is not None, x[1] or ""))
-    return [i for i, _ in both], [t for _, t in both]
+    """Ids with times and texts of a batch in an order that does not depend on how they arrived."""
+    whole = zip(rows["doc_id"], rows["text"], rows["times"], strict=True)
+    whole = sorted(whole, key=lambda x: (x[0] is not None, x[0] or "", x[1] is not None, x[1] or "", x[2]))
+    return [(i, n) for i, _, n in whole], [t for _, t, _ in whole]
+
+
+def _folded(rows: DataFrame, copies: int) -> DataFrame:
+    """(doc_id, text) -> also times; of rows that occur more than ``copies`` times two are left."""
+    key = F.xxhash64("doc_id", "text")
+    many = staged(rows.groupBy(key.alias("many")).agg(F.count("*").alias("n")).where(F.col("n") > copies).select("many"), "copies")
+    if many.isEmpty():
+        return rows.withColumn("times", F.lit(1).cast("long"))
+    single = rows.join(many, key == F.col("many"), "left_anti").withColumn("times", F.lit(1).cast("long"))
+    counted = rows.join(many, key == F.col("many"), "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    one = F.lit(1).cast("long")
+    times = F.when(F.col("n") > 1, F.array(one, F.col("n") - 1)).otherwise(F.array(one))
+    return single.unionByName(counted.select("doc_id", "text", F.explode(times).alias("times")))
 
 
 def _grouped(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -135,16 +165,18 @@ def remove_repeats(
     hot: int = HOT,
     batch_bytes: int = BATCH_BYTES,
     group_bytes: int = GROUP_BYTES,
+    copies: int = COPIES,
 ) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, n_words, n_removed, kept): the words kept, joined by spaces."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches, groups = total // batch_bytes + 1, np.uint64(total // group_bytes + 1)
     key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
-    dealt = documents.select(key.alias("batch"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    rows = _folded(documents.select("doc_id", "text"), copies)
+    dealt = rows.select(key.alias("batch"), F.col("doc_id").cast("string").alias("doc_id"), "text", "times")
 
     def batch_of(rows: pd.DataFrame) -> tuple[list, Batch, np.ndarray, np.ndarray]:
-        """(ids, batch, its distinct anchors, the number of each run's anchor)."""
+        """(ids and times, batch, its distinct anchors, the number of each run's anchor)."""
         ids, texts = _ordered(rows)
         batch = Batch(texts, window, prefix)
         return ids, batch, *np.unique(batch.hashes, return_inverse=True)
@@ -210,7 +242,7 @@ def remove_repeats(
 
     def apply(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
-            return pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept": []}, dtype=object)
+            return pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "times": []}, dtype=object)
         ids, batch, anchors, which = batch_of(rows)
         state = surviving(batch, anchors, which, answers[answers["step"] == 1])
         stretches, own, hot_at, keys = requests(batch, state)
@@ -241,7 +273,9 @@ def remove_repeats(
     first = by_batch.applyInPandas(ask_counts, asked).groupBy("group").applyInPandas(count, answered)
     second = by_batch.cogroup(first.groupBy("batch")).applyInPandas(ask_windows, asked).groupBy("group").applyInPandas(judge, answered)
     both = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
-    kept = by_batch.cogroup(both.groupBy("batch")).applyInPandas(apply, "doc_id string, n_words long, n_removed long, kept string")
+    kept = by_batch.cogroup(both.groupBy("batch")).applyInPandas(apply, "doc_id string, n_words long, n_removed long, kept string, times long")
+    again = F.when(F.col("times") > 1, F.sequence(F.lit(1).cast("long"), F.col("times"))).otherwise(F.array(F.lit(1).cast("long")))
+    kept = kept.withColumn("time", F.explode(again)).drop("time", "times")
     return kept.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -289,11 +323,11 @@ def _kept(batch: Batch, ids: list, found: np.ndarray) -> pd.DataFrame:
     np.add.at(change, found + batch.window, -1)
     removed = np.cumsum(change[:-1]) > 0
     out = []
-    for number, doc_id in enumerate(ids):
+    for number, (doc_id, times) in enumerate(ids):
         a, b = int(batch.bounds[number]), int(batch.bounds[number + 1])
         gone = removed[a:b]
         words = batch.data[batch.starts[a] : batch.stops[b - 1]].split() if b > a else []
         if gone.any():
             words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-        out.append((doc_id, b - a, int(gone.sum()), b" ".join(words).decode()))
-    return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
+        out.append((doc_id, b - a, int(gone.sum()), b" ".join(words).decode(), times))
+    return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "times"])

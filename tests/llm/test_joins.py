@@ -164,6 +164,32 @@ def test_substrings(spark, hot):
         assert collections.Counter(map(tuple, found)) == plain_removal(rows, window)
 
 
+@pytest.mark.parametrize("hot", [2000, 0])
+def test_many_equal_rows(spark, hot):
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, passage)] * 30 + [(None, "a b c")] * 25 + [(2, f"x y {passage}"), (3, None), (3, "z " * 50)] + [(4, None)] * 30
+    frame = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    found = substring_dedup.remove_repeats(frame, 10, 4, hot, copies=20).collect()
+    assert collections.Counter(map(tuple, found)) == plain_removal(rows, 10)
+
+
+def test_equal_rows_do_not_pile_up_in_a_batch(spark):
+    frame = documents(spark, [(1, "a b c", "en", "a")] * 300 + [(2, "a b c", "en", "a")])
+    folded = substring_dedup._folded(frame.select("doc_id", "text"), substring_dedup.COPIES).collect()
+    assert sorted((r["doc_id"], r["times"]) for r in folded) == [(1, 1), (1, 299), (2, 1)]
+
+
+def test_halves_of_a_key_are_independent():
+    batch = substring_dedup.Batch(["a b c d e f g h"], 4, 2)
+    at = np.arange(5)
+    first = batch.keys(at)
+    batch.words = np.zeros_like(batch.words)  # as if the first hash told no words apart
+    second = batch.keys(at)
+    assert len(np.unique(second[:, 0])) == 1
+    assert len(np.unique(second[:, 1])) == 5
+    assert (first[:, 1] == second[:, 1]).all()
+
+
 def test_substrings_of_no_rows(spark):
     assert substring_dedup.remove_repeats(documents(spark, [])).collect() == []
 
