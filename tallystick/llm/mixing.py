@@ -11,7 +11,8 @@ first in a second seeded order. What a document gives is its overlap with the ta
 Cases: a NULL text has size 0; a NULL source is a source of its own, last in order; NULL ids
 and repeated rows are ordinary rows (equal rows may swap their shares, the set of rows stays
 the same); an empty table gives no rows. Shards hold about ``shard_words`` words, so a hot
-source spreads over many tasks; only rows of ids and counts are shuffled, never texts.
+source spreads over many tasks; documents of size 0 give nothing and skip the shards. Only rows
+of ids and counts are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -102,10 +103,11 @@ def mix(
         "sources",
     )
     order = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("size").cast("string")))
+    placed = sized.withColumnRenamed("source", "_s").join(sources, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
+    same = ["doc_id", "source", "size", "source_size", "target"]
+    empty = placed.where("size = 0").select(*same, F.lit(0).cast("long").alias("taken"))
     placed = (
-        sized.withColumnRenamed("source", "_s")
-        .join(sources, F.col("_s").eqNullSafe(F.col("source")))
-        .drop("_s")
+        placed.where("size > 0")
         .withColumn("order", order)
         .withColumn("shard", F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % F.col("shards"))
     )
@@ -125,15 +127,12 @@ def mix(
         .withColumn("stop", F.sum("size").over(laid.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("start", F.col("stop") - F.col("size"))
     )
-    cut = F.when(F.col("size") > 0, F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(stop - 1) div {block_words}")))
-    pieces = laid_out.select("*", F.explode_outer(cut).alias("block"))
+    cut = F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(stop - 1) div {block_words}"))
+    pieces = laid_out.select("*", F.explode(cut).alias("block"))
     overlap = F.least(F.col("stop"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words)
-    drawn = shard.orderBy(F.col("block").isNotNull(), F.md5(F.concat_ws("|", F.lit(seed), "source_no", "shard", "block")), "block")
+    drawn = shard.orderBy(F.md5(F.concat_ws("|", F.lit(seed), "source_no", "shard", "block")), "block")
     pieces = pieces.withColumn("draw", F.dense_rank().over(drawn))
-    # Size-0 documents have no block; they share the first rank, which must not use up a draw.
-    blank = F.max(F.when(F.col("block").isNull(), 1).otherwise(0)).over(shard)
-    times = F.col("rounds") + F.when(F.col("draw") - blank <= F.col("extra"), 1).otherwise(0)
+    times = F.col("rounds") + F.when(F.col("draw") <= F.col("extra"), 1).otherwise(0)
     keys = ["source_no", "shard", "place"]
-    same = [F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")]
-    mixed = pieces.withColumn("words", F.coalesce(overlap * times, F.lit(0))).groupBy(*keys).agg(*same, F.sum("words").cast("long").alias("taken"))
-    return mixed.drop(*keys)
+    mixed = pieces.withColumn("words", overlap * times).groupBy(*keys).agg(*(F.first(c).alias(c) for c in same), F.sum("words").cast("long").alias("taken"))
+    return mixed.drop(*keys).unionByName(empty)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -71,6 +72,19 @@ def test_awkward_rows(spark):
     assert collections.Counter(map(tuple, again)) == collections.Counter(map(tuple, rows))
 
 
+def test_rows_of_size_0_skip_the_shards(spark):
+    full = [(i, "a b c d " * (i % 7 + 1), "en", "a" if i % 2 else "b") for i in range(40)]
+    blank = [(None, None, "en", "a")] * 200 + [(i, " ", "en", "c") for i in range(100, 200)]
+    mixed = mixing.mix(documents(spark, full + blank), block_words=4, shard_words=50)
+    assert re.search(r"Filter .*\(size#\d+L > 0\)", mixed._jdf.queryExecution().optimizedPlan().toString())
+    rows = mixed.collect()
+    assert len(rows) == 340
+    assert all(r["taken"] == 0 for r in rows if r["size"] == 0)
+    assert sum(r["size"] == 0 for r in rows) == 300
+    alone = mixing.mix(documents(spark, full + [(100, None, "en", "c")]), block_words=4, shard_words=50).collect()
+    assert {tuple(r) for r in alone if r["size"]} == {tuple(r) for r in rows if r["size"]}
+
+
 def test_no_rows(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
 
