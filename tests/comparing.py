@@ -26,7 +26,7 @@ def rows_of(names, rows):
 
 
 KINDS = {"LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
-         "TimestampNTZType()": "TIMESTAMP"}
+         "TimestampNTZType()": "TIMESTAMP", "IntegerType()": "INTEGER", "BooleanType()": "BOOLEAN"}
 
 
 def compare(spark, connection, folder, query, sql) -> tuple[int, list[str]]:
