@@ -6,7 +6,7 @@ spans (trained models beside the patterns) and decontamination (edit distance to
 
 from __future__ import annotations
 
-from tallystick.llm import mixing
+from tallystick.llm import mixing, quality_rules
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -124,10 +124,95 @@ SELECT doc_id, source, size, source_size, target, coalesce(taken, 0)::BIGINT AS
 """
 
 
+def _quality() -> str:
+    forms = ", ".join(f"'{w}'" for w in quality_rules._spelled(quality_rules.STOP_WORDS))
+
+    def broken(rule: quality_rules.Rule) -> str:
+        value, unit = (rule.measure, "1") if rule.per is None else (f"1000 * {rule.measure}", rule.per)
+        bounds = [f"{value} < {rule.least} * {unit}"] * (rule.least is not None) + [f"{value} > {rule.most} * {unit}"] * (rule.most is not None)
+        return f"({' OR '.join(bounds)})"
+
+    failed = "concat_ws(', ', " + ", ".join(f"CASE WHEN {broken(r)} THEN '{r.name}' END" for r in quality_rules.RULES) + ")"
+    return rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, {_WORDS} AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), places AS (SELECT k, ws, unnest(range(1, len(ws) - 1)) AS i FROM cut),
+windows AS (SELECT k, i, count(*) OVER (PARTITION BY k, ws[i:i + 2]) AS times FROM places),
+repeats AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest([i, i + 1, i + 2]) AS j FROM windows WHERE times > 1) GROUP BY k),
+measured AS (
+  SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(list_filter(ws, lambda w: rtrim(w, '.,;:!?') IN ({forms}))) AS n_stop_words,
+    len(list_filter(ws, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_lettered_words,
+    len(list_filter(ws, lambda w: regexp_matches(w, '\p{{Lu}}') AND NOT regexp_matches(w, '\p{{Ll}}'))) AS n_capital_words,
+    len(ls) AS n_lines, len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09]*[-*•]'))) AS n_bullet_lines,
+    len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_cut_lines
+  FROM cut LEFT JOIN repeats USING (k)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {failed} = '' AS kept, {failed} AS failed FROM measured
+"""
+
+
+TRIE = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+names AS (SELECT DISTINCT conv_id FROM turns),
+crc AS (
+  SELECT conv_id, xor(list_reduce(list_transform(str_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)), lambda c, b:
+           list_reduce(list_concat([xor(c, b)], range(8)), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END), CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS h
+  FROM names),
+made AS (
+  SELECT c.conv_id, 0 AS own, t.place, t.role, t.text FROM crc c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.role, t.text FROM crc c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h),
+whole AS (
+  SELECT n.conv_id, list({'r': m.role, 't': m.text} ORDER BY m.own, m.place) FILTER (WHERE m.role IS NOT NULL) AS seq
+  FROM names n LEFT JOIN made m USING (conv_id) GROUP BY n.conv_id),
+sized AS (SELECT conv_id, coalesce(seq, []) AS seq, coalesce(len(seq), 0) AS size FROM whole),
+prefixes AS (SELECT conv_id, size, unnest(range(size + 1)) AS depth, seq FROM sized),
+nodes AS (
+  SELECT depth, seq[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth)), sha256('')) AS ends_sha256,
+         CASE WHEN depth = 0 THEN 0 ELSE strlen(any_value(seq[depth].t)) END AS bytes
+  FROM prefixes GROUP BY depth, seq[1:depth]),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[1:n.depth] = n.prefix) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1] AND n.depth > 0)
+SELECT a.conv_id, CAST(a.depth AS BIGINT) AS depth, a.parent_conv_id, a.n_convs, a.n_children,
+       CAST(count(*) FILTER (WHERE d.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((d.n_convs - 1) * d.bytes) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM linked a JOIN linked d ON d.depth >= a.depth AND d.prefix[1:a.depth] = a.prefix
+GROUP BY a.prefix, a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256
+"""
+
+SEARCH = r"""
+WITH terms AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT count(*) AS n_docs, sum(len(ts)) AS n_terms FROM terms WHERE len(ts) > 0),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+cut AS (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM terms),
+held AS (SELECT doc_id, n, term, count(*) AS tf FROM cut WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * (SELECT n_docs FROM sizes) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * (SELECT n_docs FROM sizes)) // (SELECT CAST(n_terms AS BIGINT) FROM sizes))))) AS BIGINT) AS score
+  FROM held JOIN weighed USING (term) JOIN asked USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_warc_normalise": WARC,
         "op3_embedding_near_dedup": EMBEDDINGS,
         "op6_mix_sources": _mixing(),
         "op8_substring_dedup": SUBSTRINGS,
+        "op11_quality_rules": _quality(),
+        "op12_conversation_trie": TRIE,
+        "op13_lexical_search": SEARCH,
     }

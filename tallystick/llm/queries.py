@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystick.llm import decontaminate, embedding_dedup, language_id, mixing, pii, secret_scan, simhash_dedup, substring_dedup, toxicity, warc
+from tallystick.llm import decontaminate, embedding_dedup, language_id, lexical_search, mixing, pii, prefix_trie, quality_rules
+from tallystick.llm import secret_scan, simhash_dedup, substring_dedup, toxicity, warc
 from tallystick.llm.common import discard, remainder, table
 from tallystick.llm.oracles import statements  # noqa: F401
-from tallystick.sources.workspace import new_folder
+from tallystick.sources.workspace import new_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,9 +87,28 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = table(spark, folder, "documents").select("doc_id", quality_rules.judged(F.col("text")).alias("m")).select("doc_id", "m.*")
+    return judged.withColumn("failed", F.array_join("failed", ", "))
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 9
+    sequences = prefix_trie.rebuilt(prefix_trie.turns_of(conversations), shared, conv - conv % 5)
+    members = conversations.where(conv.isNotNull()).select("conv_id").distinct()
+    return prefix_trie.trie(staged(sequences, "rebuilt"), members)
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_warc_normalise, op2_toxicity, op3_embedding_near_dedup, op4_language_id, op5_simhash_near_dedup, op6_mix_sources,
     op7_secret_scan, op8_substring_dedup, op9_personal_data, op10_benchmark_decontamination,
+    op11_quality_rules, op12_conversation_trie, op13_lexical_search,
 )
 
 
