@@ -317,8 +317,16 @@ def pair_indices(
     no filter on it could pass through its windows by itself.
     """
     rule = margin or MarginRule()
-    profiles = pair_profiles(baskets, rule.since(as_of))
-    indices = profiles.select(
+    indices = profile_indices(pair_profiles(baskets, rule.since(as_of)), as_of)
+    if rule.latest_only:
+        recent = group_margins(history_of(baskets, "basket_margin"), rule, as_of)
+        indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
+    return indices
+
+
+def profile_indices(profiles: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """The same from ``periods.profiles_of`` a state, however it came about."""
+    return profiles.select(
         *PAIR,
         "first_group_purchase_date",
         "last_group_purchase_date",
@@ -330,10 +338,6 @@ def pair_indices(
         _discount_share().alias("group_discount_share"),
         *_discounts(),
     )
-    if rule.latest_only:
-        recent = group_margins(history_of(baskets, "basket_margin"), rule, as_of)
-        indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
-    return indices
 
 
 def with_affinity(indices: DataFrame, history: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tallystick.functions.calendar import hour_slot
 from tallystick.sources.workspace import staged
 
 # Into so many parts the rows of a key are split to find its latest ones.
-_PARTS = 128
+PARTS = 128
 
 
 def total_until(
@@ -83,14 +83,14 @@ def total_until(
 def latest(df: DataFrame, keys: Sequence[str], at: str, tie: str, count: int) -> DataFrame:
     """The ``count`` latest rows of every key; among equal moments the higher ``tie`` first.
 
-    The rows of a key are dealt by a hash of ``tie`` to ``_PARTS`` parts, each of which keeps its
+    The rows of a key are dealt by a hash of ``tie`` to ``PARTS`` parts, each of which keeps its
     own latest rows; the key's are among them. So a task holds a small part of a hot key's
-    rows, whatever their moments are, and the second step at most ``_PARTS * count`` rows of it.
+    rows, whatever their moments are, and the second step at most ``PARTS * count`` rows of it.
     """
     if count < 1:
         raise ValueError("count must be at least 1")
     newest_first = [F.col(at).desc_nulls_last(), F.col(tie).desc_nulls_last()]
-    parted = df.withColumn("_part", F.pmod(F.xxhash64(tie), F.lit(_PARTS)))
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(tie), F.lit(PARTS)))
     return first_per_key(
         first_per_key(parted, [*keys, "_part"], newest_first, count).drop("_part"),
         keys,

@@ -73,6 +73,16 @@ def _length_rules(column: Column) -> list[tuple[str, Expr, Expr]]:
     return [(f"{column.name} length <= {column.max_length}", too_long, value)]
 
 
+def row_rules(column: Column, any_case: bool = False) -> list[tuple[str, Expr, Expr]]:
+    """(rule, whether a row breaks it, the value) for all that a row can break by itself."""
+    return [
+        *_range_rules(column),
+        *_pattern_rules(column, any_case),
+        *_required_rules(column),
+        *_length_rules(column),
+    ]
+
+
 def _row_reports(tables: Tables, rules_of) -> list[DataFrame]:
     reports = []
     for name, spec in SPECS.items():
@@ -173,18 +183,9 @@ def reference_violations(tables: Tables) -> DataFrame:
 
 def violations(tables: Tables, any_case: bool = False) -> DataFrame:
     """Every rule at once: (table, rule, key, value)."""
-
-    def row_rules(column: Column) -> list[tuple[str, Expr, Expr]]:
-        return [
-            *_range_rules(column),
-            *_pattern_rules(column, any_case),
-            *_required_rules(column),
-            *_length_rules(column),
-        ]
-
     return _union(
         [
-            *_row_reports(tables, row_rules),
+            *_row_reports(tables, lambda c: row_rules(c, any_case)),
             unique_violations(tables),
             reference_violations(tables),
         ]
@@ -192,16 +193,7 @@ def violations(tables: Tables, any_case: bool = False) -> DataFrame:
 
 
 def _row_rule_counts(df: DataFrame, spec: TableSpec) -> DataFrame | None:
-    rules = [
-        rule
-        for column in spec.columns
-        for rule in (
-            *_range_rules(column),
-            *_pattern_rules(column, False),
-            *_required_rules(column),
-            *_length_rules(column),
-        )
-    ]
+    rules = [rule for column in spec.columns for rule in row_rules(column)]
     if not rules:
         return None
     counts = df.agg(

@@ -143,6 +143,52 @@ def _over_faulty(parts: list[str]) -> str:
     return f"{given},\n{_FAULTY}\n" + "\nUNION ALL\n".join(parts)
 
 
+# Columns in order, and the tables parents first: what a checked load goes by.
+_COLUMNS = {
+    "personal_details": "customer_id customer_name customer_surname customer_primary_email customer_primary_phone",
+    "customer_cards": "customer_card_id customer_id", "transactions": "transaction_id customer_card_id transaction_summ",
+    "sku_groups": "group_id group_name", "product_matrix": "sku_id sku_name group_id",
+    "checks": "transaction_id sku_id sku_amount sku_summ sku_summ_paid sku_discount",
+    "retail_stores": "transaction_store_id sku_id sku_purchase_price sku_retail_price",
+}
+
+
+def _admitted(outcome: str) -> str:
+    """Step by step: sound rows, those whose references exist, and their place among equal keys."""
+    given = _statement("", "people", "named", "goods", "prices", "lines").rstrip()
+    parts, counts = [], []
+
+    def count(table: str, rule: str, source: str, condition: str) -> None:
+        counts.append(f"""SELECT '{table}' AS "table", '{rule}' AS outcome, COUNT(*) AS "rows" FROM {source} c WHERE {condition}""")
+
+    for table, columns in _COLUMNS.items():
+        rules = [(c, r, w) for t, c, r, w in [*_RANGES, *_PATTERNS, *_REQUIRED, *_LENGTHS] if t == table]
+        rules += [(c, r, f"{c} IS NOT NULL") for t, c, r, null in _UNIQUE if t == table and null]
+        references = [(c, p, f"({c} IS NULL OR EXISTS (SELECT 1 FROM {p}_ok p WHERE p.{k} = c.{c}))") for t, c, p, k in _REFERENCES if t == table]
+        keys = [(c, r) for t, c, r, _ in _UNIQUE if t == table]
+        order = ", ".join(f"{c} NULLS FIRST" for c in [*columns.split(), "rid"])
+        places = [f"CASE WHEN {c} IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY {c} ORDER BY {order}) END AS place_{c}" for c, _ in keys]
+        parts.append(f"{table}_n AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM {table})")
+        parts.append(f"{table}_s AS (SELECT * FROM {table}_n WHERE {' AND '.join([f'COALESCE({w}, TRUE)' for _, _, w in rules] or ['TRUE'])})")
+        parts.append(f"{table}_r AS (SELECT * FROM {table}_s c WHERE {' AND '.join([w for _, _, w in references] or ['TRUE'])})")
+        parts.append(f"{table}_k AS MATERIALIZED (SELECT {', '.join(['*', *places])} FROM {table}_r)")
+        parts.append(f"{table}_ok AS MATERIALIZED (SELECT * FROM {table}_k WHERE {' AND '.join([f'place_{c} = 1' for c, _ in keys] or ['TRUE'])})")
+        count(table, "accepted", f"{table}_ok", "TRUE")
+        for c, r, w in rules:
+            count(table, f"{c} {r}", f"{table}_n", f"NOT COALESCE({w}, TRUE)")
+        for c, p, w in references:
+            count(table, f"{c} in {p}", f"{table}_s", f"NOT {w}")
+        for c, r in keys:
+            count(table, f"{c} {r}", f"{table}_k", f"place_{c} > 1")
+    count("transactions", "row of the table", "orders", "o_orderkey % 71 = 0")
+    counts.append("SELECT 'analysis_formation', 'accepted', 1")
+    steps = f"{given},\n{_FAULTY},\n" + ",\n".join(parts)
+    if outcome == "rows":
+        return f"""{steps}\nSELECT transaction_id, customer_card_id, {_money("transaction_summ", "transaction_summ")} FROM transactions_ok"""
+    total = 'SELECT "table", outcome, CAST(SUM("rows") AS BIGINT) AS "rows" FROM counted GROUP BY ALL HAVING SUM("rows") > 0 OR outcome = \'accepted\''
+    return f"{steps},\ncounted AS (" + "\nUNION ALL\n".join(counts) + f")\n{total}"
+
+
 _LOADED = "o_orderdate + to_seconds(o_orderkey % 86400)"
 
 
@@ -155,6 +201,13 @@ def statements() -> dict[str, str]:
         "dq_required_faulty": _over_faulty(_broken(_REQUIRED)),
         "dq_lengths_faulty": _over_faulty(_broken(_LENGTHS)),
         "dq_rule_counts_faulty": _over_faulty(_counts()),
+        "load_checked": _admitted("counts"),
+        "load_checked_transactions": _admitted("rows"),
+        "load_repeated": _statement(
+            """SELECT 'sku_groups' AS "table", COUNT(*) AS "rows" FROM named UNION ALL SELECT 'product_matrix', COUNT(*) FROM part
+               UNION ALL SELECT 'files of sku_groups', 1 UNION ALL SELECT 'files of product_matrix', 2""",
+            "named",
+        ),
         "load_day_first": f"""SELECT o_orderkey AS transaction_id, o_custkey * 2 + o_orderkey % 2 AS customer_card_id,
             CASE WHEN o_orderkey % 10 <> 3 THEN {_money("CAST(o_totalprice AS DECIMAL(18,4))", "x").removesuffix(" AS x")} END AS transaction_summ,
             CASE WHEN o_orderkey % 10 <> 7 THEN {_LOADED} END AS transaction_datetime, o_orderkey % 5 AS transaction_store_id FROM orders""",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystick.operators import customers, groups, offers, periods, purchases
+from tallystick.plans import sql_functions
 from tallystick.sources.delimited import read_analysis_date
 from tallystick.sources.tables import ALIASES, Tables
 from tallystick.sources.workspace import Workspace
@@ -198,6 +199,15 @@ class LoyaltyModel:
         offered = offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
         return offered if with_ids else offered.drop("sku_id", "group_id")
 
+    @_staging
+    def register_functions(self, *names: str) -> None:
+        """Offers and margins as table functions for ``spark.sql``: all, or the named ones.
+
+        ``SELECT * FROM generate_growth_offers('2022-06-20', '2022-08-25')``,
+        ``... FROM periods p, LATERAL fnc_count_margin(p.customer_id, p.group_id, 2, 10)``.
+        """
+        sql_functions.register(self, names)
+
     def release(self) -> None:
         """Delete what this model staged; its views are built anew when asked for again."""
         self.workspace.release()

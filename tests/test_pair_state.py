@@ -1,0 +1,55 @@
+"""States of parts of the data merge to the state of all of it."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystick.operators import periods, purchases
+from tallystick.sources.star import star_tables
+
+
+def rows(frame):
+    return sorted(map(repr, (tuple(r) for r in frame.select(*sorted(frame.columns)).collect())))
+
+
+def split(tables, parts):
+    for part in range(parts):
+        mine = F.pmod(F.xxhash64("transaction_id"), F.lit(parts)) == part
+        yield replace(tables, transactions=tables.transactions.where(mine), checks=tables.checks.where(mine))
+
+
+@pytest.mark.parametrize("parts", [2, 5])
+def test_parts_merge_to_the_whole(spark, star_folder, parts):
+    tables = star_tables(spark, star_folder)
+    whole = periods.pair_state(purchases.baskets(tables))
+    state = None
+    for part in split(tables, parts):
+        further = periods.pair_state(purchases.baskets(part))
+        state = further if state is None else periods.merged_states(state, further)
+    kinds = lambda frame: [(f.name, f.dataType) for f in frame.schema]
+    assert kinds(state) == kinds(whole)  # however often it was merged
+    assert rows(state) == rows(whole)
+    assert rows(periods.profiles_of(state)) == rows(periods.pair_profiles(purchases.baskets(tables)))
+
+
+def test_merging_with_nothing(spark, star_folder):
+    tables = star_tables(spark, star_folder)
+    state = periods.pair_state(purchases.baskets(tables))
+    nothing = periods.pair_state(purchases.baskets(replace(tables, checks=tables.checks.limit(0))))
+    assert rows(periods.merged_states(state, nothing)) == rows(state) == rows(periods.merged_states(nothing, state))
+
+
+def test_only_new_lines_are_read(spark, star_folder, tmp_path):
+    """The plan of an update reads the stored state and the new lines, not the old ones."""
+    tables = star_tables(spark, star_folder)
+    old, new = split(tables, 2)
+    periods.pair_state(purchases.baskets(old)).write.parquet(f"{tmp_path}/state")
+    new.checks.write.parquet(f"{tmp_path}/new-checks")
+    update = replace(new, checks=spark.read.parquet(f"{tmp_path}/new-checks"))
+    merged = periods.merged_states(spark.read.parquet(f"{tmp_path}/state"), periods.pair_state(purchases.baskets(update)))
+    files = merged.inputFiles()
+    assert not any("lineitem" in f for f in files) and any("new-checks" in f for f in files)
+    assert rows(merged) == rows(periods.pair_state(purchases.baskets(tables)))
