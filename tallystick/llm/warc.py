@@ -28,7 +28,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallystick.sources.workspace import staged
@@ -195,22 +195,38 @@ def normalise(spark: SparkSession, monolithic: str, folder: str) -> None:
             yield 1, count, gzip_members("".join(lines).encode())[:-1]
 
     rows = _mapped(_pieces(spark, monolithic), rewrite, "side int, place long, value binary")
+    records = Observation()
+    rows = rows.observe(records, F.count_if(F.col("side") == 0).alias("written"))
     ordered = rows.sortWithinPartitions("side", "place").select("side", F.col("value").cast("string").alias("value"))
-    ordered.write.partitionBy("side").text(f"{folder}/parts", lineSep="\0")
-    _named(spark, f"{folder}/parts/side=0", f"{folder}/archives", "warc.gz")
-    _named(spark, f"{folder}/parts/side=1", f"{folder}/index", "cdxj.gz")
-
-
-def _named(spark: SparkSession, parts: str, folder: str, ending: str) -> None:
-    """Moves Spark's part files to names by part number, so archive and index go together."""
+    # An index holds offsets into one file, so a task may not begin another one.
+    ordered.write.option("maxRecordsPerFile", 0).partitionBy("side").text(f"{folder}/parts", lineSep="\0")
+    archives = _named(spark, f"{folder}/parts/side=0", f"{folder}/archives", "warc.gz")
+    indexes = _named(spark, f"{folder}/parts/side=1", f"{folder}/index", "cdxj.gz")
+    written, listed = records.get["written"], read_index(spark, folder).count() if indexes else 0
+    if archives != indexes or written != listed:
+        raise OSError(f"{written} records in {archives} archives, but {listed} in {indexes} indexes of {folder}")
+
+
+def _named(spark: SparkSession, parts: str, folder: str, ending: str) -> list[str]:
+    """Moves Spark's part files to names by part number, so archive and index go together.
+    Returns the numbers; raises if a file cannot be moved or a number comes up twice."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
+    numbers = []
     if files.exists(path(parts)):
         for status in files.listStatus(path(parts)):
             name = status.getPath().getName()
             if name.startswith("part-"):
-                files.rename(status.getPath(), path(f"{folder}/{name.split('-')[1]}.{ending}"))
+                numbers.append(name.split("-")[1])
+                if not _moved(files, status.getPath(), path(f"{folder}/{numbers[-1]}.{ending}")):
+                    raise OSError(f"cannot move {name} to {folder}/{numbers[-1]}.{ending}")
+    return sorted(numbers)
+
+
+def _moved(files, source, target) -> bool:
+    """Never over another file."""
+    return not files.exists(target) and files.rename(source, target)
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:

@@ -66,6 +66,27 @@ def test_index_cuts_out_every_record(spark):
         assert gzip.decompress(data).count(b"WARC-Record-ID: <") == sum(e["archive"] == name for e in index)
 
 
+def test_record_limit_of_the_session_loses_nothing(spark, tmp_path):
+    pages = [(i, f"http://{i}", f"page {i}") for i in range(40)]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "5")
+    try:
+        assert run(spark, tmp_path, pages) == expected(pages)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+def test_files_that_cannot_be_moved_are_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_moved", lambda *_: False)
+    with pytest.raises(OSError, match="cannot move"):
+        run(spark, tmp_path, PAGES)
+
+
+def test_index_and_archives_are_counted_against_each_other(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "read_index", lambda *_: spark.range(3))
+    with pytest.raises(OSError, match="but 3 in"):
+        run(spark, tmp_path, PAGES)
+
+
 def test_min_bytes_leaves_small_payloads_alone(spark):
     pages = spark.createDataFrame([(1, b"ab"), (2, b"ab"), (3, b"abcd"), (4, b"abcd")], "id long, payload binary")
     kinds = {r["id"]: r["record_type"] for r in warc.with_revisits(pages, "id", min_bytes=3).collect()}
