@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,40 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], stretch: int = 256) -> Column:
+    """Running totals of an array<int> under an associative ``combine`` that 0 does not change.
+
+    An aggregate that collects its steps copies them at every step. Short stretches keep the
+    time in proportion to the array: totals within each, then those of all stretches before it.
+    """
+    nothing = F.array().cast("array<int>")
+
+    def within(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), nothing.alias("all"))
+
+        def step(state: Column, x: Column) -> Column:
+            return let(combine(state["at"], x), lambda at: F.struct(at.alias("at"), F.concat(state["all"], F.array(at)).alias("all")))
+
+        return F.aggregate(part, start, step, lambda state: state["all"])
+
+    def joined(parts: Column) -> Column:
+        ends = F.transform(parts, lambda p: F.element_at(p, -1))
+        before = let(within(ends), lambda e: F.concat(F.array(F.lit(0)), F.slice(e, F.lit(1), F.size(e) - 1)))
+        return F.flatten(F.zip_with(parts, before, lambda p, b: F.transform(p, lambda x: combine(b, x))))
+
+    def cut(v: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / stretch).cast("int"))
+        parts = F.transform(places, lambda k: within(F.slice(v, k * stretch + 1, F.lit(stretch))))
+        return F.when(F.size(v) > 0, let(parts, joined)).otherwise(nothing)
+
+    return let(values, cut)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

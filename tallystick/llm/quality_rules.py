@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallystick.llm.common import WORD
+from tallystick.llm.common import WORD, let
 
 WINDOW = 3
 SPACES = " \t\n\x0b\f\r"  # what stands between words
@@ -65,11 +65,6 @@ RULES = (
 )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _spelled(words: Sequence[str]) -> list[str]:
     """Small, with a capital, all capitals: no text has to be lower-cased."""
     return sorted({form for w in words for form in (w, w.capitalize(), w.upper())})
@@ -110,13 +105,13 @@ def repeated_window_words(words: Column, window: int = WINDOW) -> Column:
     def covered(w: Column) -> Column:
         low = F.lit((1 << place_bits) - 1)
         alike = lambda x, y: F.shiftright(x.bitwiseXOR(y), place_bits) == 0
-        candidates = _let(hashed(w), lambda h: beside(h, alike, lambda x: x.bitwiseAND(low).cast("int")))
+        candidates = let(hashed(w), lambda h: beside(h, alike, lambda x: x.bitwiseAND(low).cast("int")))
         windows = F.transform(candidates, lambda i: F.struct(F.concat_ws(" ", *spelled(w, i)).alias("x"), i.alias("i")))
-        found = _let(F.sort_array(windows), lambda s: beside(s, lambda x, y: x["x"] == y["x"], lambda x: x["i"]))
+        found = let(F.sort_array(windows), lambda s: beside(s, lambda x, y: x["x"] == y["x"], lambda x: x["i"]))
         spread = F.transform(found, lambda i: F.sequence(i, i + window - 1))
         return F.size(F.array_distinct(F.flatten(spread)))
 
-    return _let(words, covered)
+    return let(words, covered)
 
 
 # Every measure from the text, its words, and its lines that hold a word.
@@ -169,4 +164,4 @@ def judged(text: Column, rules: Sequence[Rule] = RULES, base: Sequence[Rule] = B
             names.alias("failed"),
         )
 
-    return _let(_let(cut, measured), verdict)
+    return let(let(cut, measured), verdict)

@@ -5,7 +5,7 @@ character models, one of random strings and one of ordinary identifiers: the sum
 character pairs of log P_random(b | a) - log P_ordinary(b | a). A token is a secret if the sum
 per character reaches ``PER_CHAR`` and it touches no base span.
 
-Labelled samples: in at most about ``SAMPLE_DOCS`` documents (those whose id hashes lowest),
+Labelled samples: in at most about ``SAMPLE_DOCS`` documents (rows whose id and text hash lowest, repeated ones once),
 what the patterns match is labelled random, and every token of the text without these matches
 is labelled ordinary. Pair counts over the fixed alphabet, at most its size squared, are all
 that reaches the driver; with one added to each count, a corpus without secrets gives a
@@ -24,6 +24,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystick.llm.common import let, running
+
 # The base patterns in their order of listing, and the alphabet of a token.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -38,32 +40,61 @@ SAMPLE_DOCS = 4000
 _TOKEN = "[A-Za-z0-9+/_=-]"
 
 
+def _span(start: Column, kind: str, stop: Column, value: Column) -> Column:
+    rank = F.lit(KINDS.index(kind)).alias("rank")
+    return F.struct(start.alias("start"), rank, stop.alias("stop"), F.lit(kind).alias("kind"), value.alias("value"))
+
+
+def _none(kind: str) -> Column:
+    return F.slice(F.array(_span(F.lit(0), kind, F.lit(0), F.lit(""))), 1, 0)
+
+
 def spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
     """Matches of the pattern as array<struct<start, rank, stop, kind, value>>.
 
-    A regular expression cuts a text into the matches and the pieces between them; a match
-    starts after all that came before. ``keep`` filters by (value, second group).
+    A regular expression cuts a text into the matches and the pieces between them, each once; a
+    match starts after all that came before, so its place is a running total of lengths.
+    ``keep`` filters by the second group.
     """
-    rank = KINDS.index(kind)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    second = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else found
-    between = F.split(text, pattern, -1)
-
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(F.get(between, i))
-        stop = start + F.length(F.get(found, i))
-        span = F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"), F.get(found, i).alias("value")
-        )
-        new = F.array(span)
-        if keep is not None:
-            new = F.when(keep(F.get(second, i)), new).otherwise(F.slice(new, 1, 0))
-        return F.struct(stop.alias("at"), F.concat(state["out"], new).alias("out"))
-
-    none = F.expr("slice(array(named_struct('start', 0, 'rank', 0, 'stop', 0, 'kind', '', 'value', '')), 1, 0)")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda state: state["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    cut = [found.alias("found"), F.transform(F.split(text, pattern, -1), F.length).alias("between")]
+    if keep is not None:
+        cut.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("second"))
+
+    def placed(c: Column) -> Column:
+        lengths = F.zip_with(c["found"], F.slice(c["between"], F.lit(1), F.size(c["found"])), lambda f, gap: F.length(f) + gap)
+
+        def made(stops: Column) -> Column:
+            every = F.transform(c["found"], lambda value, i: _span(stops[i] - F.length(value), kind, stops[i], value))
+            return every if keep is None else F.filter(every, lambda span, i: keep(c["second"][i]))
+
+        return let(running(lengths, lambda x, y: x + y), made)
+
+    return F.when(text.rlike(pattern), let(F.struct(*cut), placed)).otherwise(_none(kind))
+
+
+def untouched(tokens: Column, base: Column) -> Column:
+    """The tokens that share no place with a base span, both as ``spans`` gives them.
+
+    Base spans are read in at their start, tokens at their end and before any span that starts
+    there: a token is free if no span read in before reaches beyond the token's start.
+    """
+    nobody = F.lit(None)
+
+    def merged(t: Column) -> Column:
+        at = lambda place, last, reach, token: F.struct(place.alias("at"), F.lit(last).alias("last"), reach.alias("reach"), token.alias("token"))
+        enter = F.transform(base, lambda b: at(b["start"], 1, b["stop"], F.when(nobody.cast("boolean"), t[0])))
+        leave = F.transform(t, lambda x: at(x["stop"], 0, F.lit(0), x))
+
+        def read(events: Column) -> Column:
+            reach = running(F.transform(events, lambda e: e["reach"]), F.greatest)
+            both = F.zip_with(events, reach, lambda e, r: F.struct(e["token"].alias("token"), r.alias("reach")))
+            free = F.filter(both, lambda x: x["token"].isNotNull() & (x["reach"] <= x["token"]["start"]))
+            return F.transform(free, lambda x: x["token"])
+
+        return let(F.sort_array(F.concat(enter, leave)), read)
+
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), let(tokens, merged)).otherwise(tokens)
 
 
 def base_spans(text: Column) -> Column:
@@ -84,9 +115,9 @@ def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     """Log-likelihood ratio of each character pair, row by row over the alphabet."""
     rows = documents.count()
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    if rows > sample_docs:
+    if rows > sample_docs:  # by id and text, and repeated rows once, so that no row can fill the sample
         share = int(sample_docs / rows * (1 << 32))
-        texts = texts.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) < share)
+        texts = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < share).distinct()
     value = F.regexp_replace("s.value", r"""^.*?[:=]\x20*["']?""", "")
     marked = texts.select(F.explode(base_spans(F.col("text"))).alias("s"))
     random = marked.select(F.when(F.col("s.kind") == "assign", value).otherwise(F.col("s.value")).alias("token"))
@@ -119,8 +150,7 @@ def scan(documents: DataFrame, model: list[float], token_chars: int = TOKEN_CHAR
     text = F.col("text")
     long_token = f"(?<!{_TOKEN}){_TOKEN}{{{token_chars},}}"
     marked = texts.select("doc_id", base_spans(text).alias("base"), spans(text, long_token, "random").alias("tokens"))
-    touches = lambda t: F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
-    added = F.filter("tokens", lambda t: ~touches(t) & (ratio(t["value"], model) >= per_char))
+    added = F.filter(untouched(F.col("tokens"), F.col("base")), lambda t: ratio(t["value"], model) >= per_char)
     return marked.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", added)).alias("found"))
 
 
