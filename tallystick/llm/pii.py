@@ -11,7 +11,7 @@ entity by ``MARGIN``.
 
 The weights are the maximum-likelihood ones for stretches labelled by the patterns: at most
 ``SAMPLE_ZONES`` of them, half with and half without an entity as far as there are, out of
-about ``SAMPLE_DOCS`` documents (lowest id hash), together with the fixed ``EXAMPLES``, which
+about ``SAMPLE_DOCS`` rows (lowest hash of id and text, repeated ones once), together with the fixed ``EXAMPLES``, which
 keep every type known on a corpus that lacks it. Finding covers every whole text.
 
 Cases: a NULL text is empty and has no span (a redacted NULL stays NULL); NULL ids and
@@ -22,8 +22,10 @@ exclusive. Documents are never shuffled. The patterns run in time linear in the
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,7 @@ ZONE_DIGITS = 7
 MARGIN = 3.0
 SAMPLE_DOCS = 3000
 SAMPLE_ZONES = 300
+KEPT_CHARS = 400  # zones to learn from, and to keep the answers of
 EPOCHS = 25
 
 # Labelled stretches, entities in braces with the initial of their type.
@@ -288,16 +291,16 @@ def _example(marked: str) -> tuple[str, list[Span]]:
 def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_zones: int = SAMPLE_ZONES) -> np.ndarray:
     rows = documents.count()
     texts = documents.select("doc_id", "text")
-    key = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    if rows > sample_docs:
-        texts = texts.where(key < int(sample_docs / rows * (1 << 32)))
+    if rows > sample_docs:  # by id and text, and repeated rows once, so that no row can fill the sample
+        share = int(sample_docs / rows * (1 << 32))
+        texts = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < share).distinct()
     kind = "array<struct<zone:string,start:array<int>,stop:array<int>,kind:array<string>>>"
 
     @F.pandas_udf(kind)
     def label(column: pd.Series) -> pd.Series:
-        return pd.Series([[_labelled(t, a, b, base) for a, b in zones(t)] for t in column.fillna("") for base in [base_spans(t)]])
+        return pd.Series([[_labelled(t, a, b, base) for a, b in zones(t) if b - a <= KEPT_CHARS] for t in column.fillna("") for base in [base_spans(t)]])
 
-    cut = texts.select(F.explode(label(F.col("text"))).alias("z")).select("z.*").where(F.length("zone") <= 400).distinct()
+    cut = texts.select(F.explode(label(F.col("text"))).alias("z")).select("z.*").distinct()
     cut = staged(cut, "zones").orderBy(F.xxhash64("zone"), "zone")
     labelled = [_example(e) for e in EXAMPLES] * 2
     for part in (F.size("kind") > 0, F.size("kind") == 0):
@@ -309,7 +312,8 @@ def train(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_zones: in
 def _labelled(text: str, a: int, b: int, base: list[Span]) -> dict:
     """A stretch with the base spans inside it; of overlapping spans the longer one."""
     inside: list[Span] = []
-    for span in sorted((s for s in base if s[0] >= a and s[1] <= b), key=lambda s: s[0] - s[1]):
+    first, end = (bisect_left(base, (place,)) for place in (a, b))
+    for span in sorted((s for s in base[first:end] if s[1] <= b), key=lambda s: s[0] - s[1]):
         if all(span[1] <= s[0] or s[1] <= span[0] for s in inside):
             inside.append(span)
     starts, stops, kinds = zip(*inside, strict=True) if inside else ((), (), ())
@@ -319,21 +323,27 @@ def _labelled(text: str, a: int, b: int, base: list[Span]) -> dict:
 def find(text: str, weights: np.ndarray, margin: float = MARGIN) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a text, by start, then kind as listed."""
     base = base_spans(text)
+    starts = [s[0] for s in base]
+    reach = list(accumulate((s[1] for s in base), max))  # furthest end so far
+    packed = weights.tobytes()
     added = []
     for a, b in zones(text):
-        near = [s for s in base if s[0] < b and a < s[1]]
-        for start, stop, kind, lead in _decoded(text[a:b], weights.tobytes()):
-            if lead >= margin and all(stop + a <= s[0] or s[1] <= start + a for s in near):
+        decoded = _kept if b - a <= KEPT_CHARS else _decoded
+        for start, stop, kind, lead in decoded(text[a:b], packed):
+            before = bisect_left(starts, stop + a)
+            if lead >= margin and (not before or reach[before - 1] <= start + a):
                 added.append((start + a, stop + a, kind))
     return base, sorted(base + added, key=_order)
 
 
-@lru_cache(1024)
 def _decoded(zone: str, weights: bytes) -> tuple:
-    """Copies repeat their stretches, so the latest answers are kept."""
     return tuple(decode(zone, np.frombuffer(weights).reshape(len(KINDS), _WIDTH)))
 
 
+# Copies repeat their stretches, so the latest answers are kept, those of short ones.
+_kept = lru_cache(1024)(_decoded)
+
+
 def spans(text: Column, weights: np.ndarray, margin: float = MARGIN) -> Column:
     """struct<base, found>, each array<struct<kind, start, stop>>."""
     one = "array<struct<kind:string,start:int,stop:int>>"

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import operator
+import random
 import re
+import time
 
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallystick.llm import pii, queries, secret_scan
+from tallystick.llm.common import running
 from tests.llm.frames import EDGES, documents
 
 
@@ -58,6 +63,85 @@ def test_secret_base_spans(spark):
         assert set(filter(None, row["base"].split(","))) <= set(row["found"].split(","))
 
 
+def test_running_totals(spark):
+    draw = random.Random(2)
+    arrays = [[draw.randrange(50) for _ in range(n)] for n in (0, 1, 2, 3, 4, 7, 8, 9, 40)]
+    frame = spark.createDataFrame([(a,) for a in arrays], "a array<int>")
+    for combine, plain in ((lambda x, y: x + y, operator.add), (F.greatest, max)):
+        found = frame.select("a", running(F.col("a"), combine, 4).alias("r")).collect()
+        assert all(r["r"] == list(itertools.accumulate(r["a"], plain)) for r in found) and len(found) == len(arrays)
+
+
+def test_added_secrets_like_a_plain_reading(spark):
+    """The ratio and the overlap rule, from the model's own table, token by token."""
+    draw = random.Random(4)
+    token = lambda: "".join(draw.choice("aeinrst09XqZ7_=") for _ in range(draw.randrange(15, 30)))
+    glued = ["", " ", " ", "\n", ".", " token=", " AKIA", "é"]
+    texts = ["".join(draw.choice(glued) + token() for _ in range(draw.randrange(1, 12))) for _ in range(60)]
+    texts += ["x" * 25 + " " + "ab12" * 9, "secret=" + "q" * 40, "0123456789abcdef" * 3 + " " + "Zq9X" * 6]
+    size = len(secret_scan.ALPHABET)
+    model = [draw.uniform(-1, 2.2) for _ in range(size * size)]
+    table = [float(f"{x:.6f}") for x in model]
+    frame = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = secret_scan.scan(frame, model).select("doc_id", secret_scan.listed("found").alias("f")).collect()
+    added = 0
+    for row in found:
+        text = texts[row["doc_id"]]
+        base = slow_secrets(text)
+        spans = [(a, ("assign", "access", "hex").index(k), b, k) for a, b, k in base]
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+            places = [secret_scan.ALPHABET.index(c) for c in m[0]]
+            mean = sum(table[a * size + b] for a, b in zip(places, places[1:])) / len(m[0])
+            if len(m[0]) >= 20 and mean >= secret_scan.PER_CHAR and all(m.end() <= a or b <= m.start() for a, b, _ in base):
+                spans.append((m.start(), 3, m.end(), "random"))
+                added += 1
+        assert row["f"] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
+    assert added > 20
+
+
+def _seconds(spark, text, work):
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    work(frame).collect()
+    return time.perf_counter() - began
+
+
+def test_secret_time_is_in_proportion_to_a_text(spark):
+    draw = random.Random(1)
+    model = [1.0] * len(secret_scan.ALPHABET) ** 2
+    part = lambda n: " ".join(f"{draw.getrandbits(160):040x}" if i % 2 else "Q" * 24 for i in range(n))
+    few, many = part(2000), part(20_000)
+    _seconds(spark, few, lambda d: secret_scan.scan(d, model))
+    assert _seconds(spark, many, lambda d: secret_scan.scan(d, model)) < 15 * max(_seconds(spark, few, lambda d: secret_scan.scan(d, model)), 1)
+
+
+def test_personal_time_is_in_proportion_to_a_text():
+    weights = pii.fit([pii._example(e) for e in pii.EXAMPLES])
+    seconds = []
+    for n in (2000, 20_000):
+        text = " word ".join(f"a{i}@mail.example.com or 10.0.{i % 250}.7" for i in range(n))
+        began = time.perf_counter()
+        base, _ = pii.find(text, weights)
+        seconds.append(time.perf_counter() - began)
+        assert len(base) == 2 * n
+    assert seconds[1] < 15 * max(seconds[0], 1)
+
+
+def test_sample_is_bounded_whatever_the_ids(spark):
+    """NULL and repeated ids do not fill the sample: what is learned stays as small."""
+    rows = [(None if i % 2 else 7, f"mail u{i}@mail.example.com, k9QzX7mW2pLr4TbN8vYc{i:05d} end", "en", "a") for i in range(1500)]
+    frame = documents(spark, rows + [(7, "mail one@mail.example.com", "en", "a")] * 1500)
+    seen = []
+    kept = pii.fit
+    try:
+        pii.fit = lambda labelled: seen.append(len(labelled)) or kept(labelled)
+        pii.train(frame, sample_docs=100, sample_zones=100_000)
+    finally:
+        pii.fit = kept
+    assert 2 * len(pii.EXAMPLES) < seen[0] < 2 * len(pii.EXAMPLES) + 200
+    assert len(secret_scan.train(frame, 100)) == len(secret_scan.ALPHABET) ** 2
+
+
 def test_random_token_is_added_and_words_are_not(spark, star_folder):
     given_documents = spark.read.parquet(f"{star_folder}/documents.parquet")
     model = secret_scan.train(given_documents)
