@@ -493,6 +493,7 @@ def statements() -> dict[str, str]:
     parts = (known[name] for name in ("group_churn", "group_discount_share", "group_average_discount"))
     # However the data came in, the result is that of all of them.
     known["periods_appended"] = known["periods"]
+    known["purchase_history_bucketed"] = known["purchase_history"]
     known["group_indices_appended"] = "SELECT * FROM ({}) a JOIN ({}) b {pair} JOIN ({}) c {pair}".format(*parts, pair=pair)
     # A call in SQL gives the rows of the call in Python.
     for name in (

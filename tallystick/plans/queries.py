@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tallystick.functions.calendar import moment
 from tallystick.operators import customers, groups, offers, periods, purchases, quality
 from tallystick.plans.model import LoyaltyModel
+from tallystick.sources.bucketed import with_bucketed_facts
 from tallystick.sources.delimited import TableStore, read_delimited, write_delimited
 from tallystick.sources.faults import faulty
 from tallystick.sources.loads import LoadStore
@@ -80,6 +81,13 @@ def purchase_history_of_group(m):
     return purchases.purchase_history(m.tables).where(F.col("group_id") == 1)
 
 
+@_query
+def purchase_history_bucketed(m):
+    """From fact tables bucketed by transaction, which are joined where they lie."""
+    buckets = int(m.spark.conf.get("spark.sql.shuffle.partitions"))
+    return purchases.purchase_history(with_bucketed_facts(m.tables, m.workspace, buckets))
+
+
 @_query
 def purchase_history_costly(m):
     return purchases.purchase_history(m.tables).where(F.col("group_cost") > 1000)
