@@ -10,14 +10,15 @@ of its highest window, so one bad passage in a long text is not averaged away.
 
 Training uses a bounded sample: at most about ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN`` clean
 rows (lowest id hash), texts of more than ``SAMPLE_CHARS`` characters left out. First all
-windows of a text learn its label, then only its highest window does, round by round, which
-is how a text is scored. Only texts and the toxic mark are inputs. Scoring covers every window
-of every whole text, in groups of texts of bounded size.
+windows of a text learn its label, in each round at most 12 000 windows drawn anew, then only
+its highest windows do, round by round, which is how a text is scored. Only texts and the toxic
+mark are inputs. Scoring covers all these windows of every whole text, in groups of texts of
+bounded size; windows that would start at the places between are not scored.
 
 Cases: a text that is NULL or has no word scores 0, as does every text if the sample lacks
-either class; NULL marks are not learned from; a document labelled twice is learned from twice;
-NULL ids and repeated rows are ordinary rows; an empty table gives no rows. Documents are never
-shuffled.
+either class; NULL marks are not learned from; equal texts are learned from once, by the last
+of their marks (a clean one, where they contradict each other); NULL ids and repeated rows are
+ordinary rows; an empty table gives no rows. Documents are never shuffled.
 """
 
 from __future__ import annotations
