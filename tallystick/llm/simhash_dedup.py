@@ -4,10 +4,12 @@ A document's fingerprint takes a bit where more than half of its shingle hashes
 Documents with equal fingerprints are one node; nodes within ``max_bits`` differing bits are
 linked, and a document's class is its connected component.
 
-The pivot table holds every fingerprint's Hamming distances to ``PIVOTS`` fixed reference
-fingerprints. By the triangle inequality a pair within ``max_bits`` differs by at most that
-much in every coordinate, so a pair whose largest coordinate difference exceeds it is dropped
-without being compared; survivors are verified by counting differing bits. A whole-fingerprint
+The pivot table holds every distinct fingerprint's Hamming distances to ``PIVOTS`` fixed
+reference fingerprints. It is worked out once, written to the shared folder, and a fingerprint
+carries its row of the table into every group. By the triangle inequality a pair within
+``max_bits`` differs by at most that much in every coordinate, so any pair, also one that meets
+alone, whose largest coordinate difference exceeds it is discarded without comparing its
+fingerprints; survivors are verified by counting differing bits. A whole-fingerprint
 coordinate is Binomial(64, 1/2), so such a band alone holds more than half of all rows and
 cannot serve as a join key. Pairs are therefore first met by pigeonhole: of ``max_bits`` + 2
 segments at least two agree entirely in a linked pair, and each choice of two segments is a
@@ -24,7 +26,7 @@ repeated; an empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -88,15 +90,32 @@ def _keys(fp: Column, max_bits: int) -> Column:
     )
 
 
-def _pivot_table(fps: np.ndarray) -> np.ndarray:
-    """Distances of each fingerprint to each reference, one row per reference."""
-    references = np.random.default_rng(64).integers(0, 2**64, PIVOTS, np.uint64)
-    return np.bitwise_count(fps[None, :] ^ references[:, None]).astype(np.int8)
+_REFERENCES = np.random.default_rng(64).integers(0, 2**64, PIVOTS, np.uint64)
 
 
-def linked_pairs(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i < j) of fingerprints within max_bits; fps is uint64."""
-    table = _pivot_table(fps)
+def pivot_distances(fps: np.ndarray) -> np.ndarray:
+    """Distances of each fingerprint (uint64) to each reference, one row per fingerprint."""
+    return np.bitwise_count(fps[:, None] ^ _REFERENCES[None, :]).astype(np.int8)
+
+
+def with_pivots(nodes: DataFrame) -> DataFrame:
+    """The pivot table: rows with fp get their distances, one byte for each reference."""
+
+    @F.pandas_udf("binary")
+    def distances(fps: pd.Series) -> pd.Series:
+        rows = pivot_distances(fps.to_numpy(np.int64).view(np.uint64))
+        return pd.Series([row.tobytes() for row in rows], dtype=object)
+
+    return nodes.withColumn("pivots", distances("fp"))
+
+
+def _table(pivots: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(pivots), np.int8).reshape(-1, PIVOTS)
+
+
+def linked_pairs(fps: np.ndarray, pivots: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i < j) of fingerprints (uint64) within max_bits; pivots are their table rows."""
+    table = np.ascontiguousarray(pivots.T)
     left, right = [], []
     for at in range(0, len(fps), 256):
         close = np.ones((min(256, len(fps) - at), len(fps) - at), bool)
@@ -109,6 +128,14 @@ def linked_pairs(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(left), np.concatenate(right)
 
 
+def linked_twos(fps: np.ndarray, pivots: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which groups of two are linked; fps is (groups, 2), pivots (groups, 2, PIVOTS)."""
+    linked = np.abs(pivots[:, 0] - pivots[:, 1]).max(1) <= max_bits
+    left = np.flatnonzero(linked)
+    linked[left] = np.bitwise_count(fps[left, 0] ^ fps[left, 1]) <= max_bits
+    return linked
+
+
 def forest(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest index reachable by the links, for each index."""
     label = np.arange(size)
@@ -124,34 +151,37 @@ def forest(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """Distinct fingerprints (fp) -> edges (a, b) with the components of all links."""
-    keyed = nodes.select("fp", F.explode(_keys(F.col("fp"), max_bits)).alias("key")).select("fp", "key.pair", "key.bits")
+    """Distinct fingerprints (fp, pivots) -> edges (a, b) with the components of all links."""
+    keyed = nodes.select("fp", "pivots", F.explode(_keys(F.col("fp"), max_bits)).alias("key"))
+    keyed = keyed.select("fp", "pivots", "key.pair", "key.bits")
     sizes = keyed.groupBy("pair", "bits").agg(F.count("*").alias("n")).where("n > 1")
     met = keyed.join(sizes, ["pair", "bits"]).withColumn("blocks", F.ceil(F.col("n") / block))
     met = met.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     groups = met.groupBy("pair", "bits", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    gathered = groups.agg(F.collect_list("fp").alias("fps"))
+    gathered = groups.agg(F.collect_list(F.struct("fp", "pivots")).alias("members")).where(F.size("members") > 1)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             a, b = [], []
-            for values in batch["fps"]:
+            alone = batch["fps"].map(len).to_numpy() == 2
+            if alone.any():
+                fps = np.stack(batch["fps"][alone].to_numpy()).astype(np.int64)
+                pivots = _table(p for both in batch["pivots"][alone] for p in both).reshape(-1, 2, PIVOTS)
+                linked = linked_twos(fps.view(np.uint64), pivots, max_bits)
+                a.append(fps[linked, 0])
+                b.append(fps[linked, 1])
+            for values, rows in zip(batch["fps"][~alone], batch["pivots"][~alone], strict=True):
                 fps = np.asarray(values, np.int64)
-                unsigned = fps.view(np.uint64)
-                if len(fps) == 2:
-                    if int(unsigned[0] ^ unsigned[1]).bit_count() <= max_bits:
-                        a.append(fps[:1])
-                        b.append(fps[1:])
-                    continue
-                label = forest(len(fps), *linked_pairs(unsigned, max_bits))
+                label = forest(len(fps), *linked_pairs(fps.view(np.uint64), _table(rows), max_bits))
                 inner = label != np.arange(len(fps))
                 a.append(fps[inner])
                 b.append(fps[label[inner]])
             if a:
                 yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return gathered.where(F.size("fps") > 1).select("fps").mapInPandas(search, "a long, b long")
+    members = gathered.select(F.col("members.fp").alias("fps"), F.col("members.pivots").alias("pivots"))
+    return members.mapInPandas(search, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -167,7 +197,7 @@ def _prints(documents: DataFrame, shingle: int) -> DataFrame:
 
 
 def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    nodes = staged(with_pivots(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))), "nodes")
     roots = components(links(nodes, max_bits))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("component_fp"))
     smallest = named.groupBy("component_fp").agg(F.min("first_id").alias("component_id"))

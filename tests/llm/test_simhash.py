@@ -69,7 +69,7 @@ def test_hot_keys_split_into_blocks(spark):
         values.add(base ^ sum(1 << int(b) for b in draw.choice(64, 3, replace=False)))
     values |= {int(x) for x in draw.integers(0, 2**64, 60, np.uint64)}
     nodes = spark.createDataFrame([(int(np.int64(np.uint64(v).view(np.int64))),) for v in values], "fp long")
-    edges = simhash.links(nodes, 4, block=8)
+    edges = simhash.links(simhash.with_pivots(nodes), 4, block=8)
     roots = {r["node"]: r["root"] for r in components(edges).collect()}
     prints = [r["fp"] for r in nodes.collect()]
     plain = classes([p % (1 << 64) for p in prints])
@@ -77,6 +77,28 @@ def test_hot_keys_split_into_blocks(spark):
     assert len(set(zip(plain, ours, strict=True))) == len(set(plain)) == len(set(ours))
 
 
+def test_pivot_table_discards_pairs_and_keeps_every_link(spark):
+    """The table drops most chance pairs before bits are counted, and no linked one."""
+    draw = np.random.default_rng(1)
+    fps = draw.integers(0, 2**64, 400, np.uint64)
+    flips = np.array([sum(1 << int(b) for b in draw.choice(64, 4, replace=False)) for _ in range(200)], np.uint64)
+    fps = np.concatenate((fps, fps[:200] ^ flips))
+    frame = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long")
+    rows = {r["fp"]: r["pivots"] for r in simhash.with_pivots(frame).collect()}
+    table = np.stack([np.frombuffer(rows[x], np.int8) for x in fps.view(np.int64).tolist()])
+    for at in range(simhash.PIVOTS):
+        assert table[7, at] == int(fps[7] ^ simhash._REFERENCES[at]).bit_count()
+    i, j = np.triu_indices(len(fps), 1)
+    far = np.abs(table[i].astype(int) - table[j]).max(1) > 4
+    linked = np.bitwise_count(fps[i] ^ fps[j]) <= 4
+    assert not (far & linked).any() and linked.sum() >= 200
+    assert far.sum() > 0.9 * len(i)
+    found = simhash.linked_pairs(fps, table, 4)
+    assert set(zip(*(x.tolist() for x in found), strict=True)) == set(zip(i[linked].tolist(), j[linked].tolist(), strict=True))
+    twos = simhash.linked_twos(np.stack((fps[i], fps[j]), 1), np.stack((table[i], table[j]), 1), 4)
+    assert (twos == linked).all()
+
+
 def test_one_document_of_a_class_stays_with_all_columns(spark):
     frame = documents(spark)
     kept = simhash.deduplicate(frame)
