@@ -5,38 +5,45 @@ A window that starts anywhere else as well is repeated, and every word it covers
 windows are judged on the input. In the suffix tree of all documents the repeated windows are
 the leaves below internal nodes of depth ``WINDOW`` or more, the maximal repeats.
 
-Building that tree takes the text around every suffix, so the suffixes are first split by
-prefix, and the prefixes are sparse: of every window the ``PREFIX`` words with the least hash
-are its anchor. Neighbouring windows mostly share their anchor, and equal windows have equal
-anchors, so one run of windows travels as one stretch of text instead of many suffixes.
+The suffixes are split by prefixes of variable length into groups that fit a task's memory, and
+each group's tree is built by itself. The prefixes are sparse: of every window the ``PREFIX``
+words with the least hash are its anchor. Neighbouring windows mostly share their anchor, and
+equal windows have equal anchors, so one run of windows travels as one stretch of text instead
+of many suffixes.
 
 1. Anchors are counted. A prefix that occurs once is a leaf of its own and is dropped.
-2. Prefixes of up to ``HOT`` occurrences send their stretches to a group, which sorts all
-   windows in them word by word: equal neighbours lie below one node of depth ``WINDOW``.
-   A hotter prefix is lengthened to the full depth: each of its windows is a group of its own,
-   and only its 128-bit key and count travel. The halves of a key come from two word hashes
-   and two bases, so one does not follow from the other.
-3. The answers return to the documents, which drop the covered words.
+2. Prefixes of up to ``SPLIT`` occurrences send their stretches to a group. The group numbers
+   its words, sorts all suffixes of its stretches by prefix doubling (the leaves of its tree),
+   and takes the common-prefix lengths of neighbours from the same ranks. Neighbours with
+   ``WINDOW`` or more words in common lie below one deep internal node.
+3. A prefix that occurs more often is lengthened: its stretches, each batch's equal ones once
+   with their count, are the texts of another round with anchors of twice the words, and so on.
+   Prefixes still too frequent at nearly the whole depth become whole windows, one leaf list
+   each, of which only the number matters: Spark sums it, grouped by the window's words.
+4. The answers return to the documents, which drop the covered words.
+
+Hashes only deal windows to groups; words decide everywhere whether windows are equal.
 
 Documents are dealt by a hash of id and text into batches of about ``BATCH_BYTES``, groups hold
 about ``GROUP_BYTES`` of text; both numbers follow from the input's size. A batch sends a prefix,
-stretch or key once with its count, however often it holds it, so that copies and common
+stretch or window once with its count, however often it holds it, so that copies and common
 passages do not pile up in a group. Rows that occur more than ``COPIES`` times with equal id and
 text would all land in one batch; two of them stand in for the rest, each being the other's
 repeat, and the answer is given as often as the row occurs. All answers go back by batch, never by way of the driver.
 
 Cases: a NULL or blank text has no words and stays as an empty text; texts of fewer words than
 a window are kept whole, copies included; repeated rows are each other's repeats; NULL ids are
-ordinary; an empty table gives no rows. Other columns are ignored.
+ordinary; an empty table gives no rows; a batch of 2^28 words or more, which takes a single text
+of that length, is an error. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +51,7 @@ from tallystick.sources.workspace import staged
 
 WINDOW = 35
 PREFIX = 8
-HOT = 2000
+SPLIT = 2000
 COPIES = 100
 BATCH_BYTES = 2 << 20
 GROUP_BYTES = 4 << 20
@@ -52,7 +59,6 @@ _PLACE_BITS = np.uint64(28)
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SECOND_BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -71,9 +77,9 @@ def _powers(base: np.uint64, size: int) -> np.ndarray:
 class Batch:
     """The words of some documents, and the runs of windows that share an anchor."""
 
-    def __init__(self, texts: list[str | None], window: int, prefix: int):
+    def __init__(self, texts: list[str | bytes | None], window: int, prefix: int):
         self.window = window
-        parts = [(t or "").encode() for t in texts]
+        parts = [t if isinstance(t, bytes) else (t or "").encode() for t in texts]
         self.data = b"\n".join([*parts, b""])
         units = np.frombuffer(self.data, np.uint8)
         inside = ~_SEPARATOR[units]
@@ -82,15 +88,20 @@ class Batch:
         bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
         self.bounds = np.searchsorted(self.starts, bounds)
         count = len(self.starts)
+        if count >> int(_PLACE_BITS):
+            raise ValueError(f"a batch of {count} words: texts must be shorter than 2^{_PLACE_BITS} words")
         document = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
         sums = np.concatenate(([np.uint64(0)], np.cumsum((units.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(units)), dtype=np.uint64)))
         words = _mix((sums[self.stops] - sums[self.starts]) * _powers(_INVERSE, len(units) + 1)[self.starts])
-        self.words = words
         none = np.zeros(0, np.int64)
-        self.first, self.last, self.hashes = none, none, none.astype(np.uint64)
+        self.first, self.last, self.text, self.hashes = none, none, none, none.astype(np.uint64)
+        self.valid = none
         if count < window:
             return
-        grams = self._joined(prefix, np.arange(count - prefix + 1))
+        grams = np.zeros(count - prefix + 1, np.uint64)
+        for i in range(prefix):
+            grams = grams * _BASE + words[i : i + len(grams)]
+        grams = _mix(grams)
         least = (grams >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(grams), dtype=np.uint64)
         width, spread = 1, window - prefix + 1
         while width < spread:
@@ -104,31 +115,14 @@ class Batch:
         new = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(valid, prepend=-2) != 1))
         self.first = valid[new]
         self.last = valid[np.append(new[1:], len(valid)) - 1]
+        self.text = document[self.first]
         self.hashes = grams[anchor[new]]
-
-    def _joined(self, size: int, at: np.ndarray, words: np.ndarray | None = None, base: np.uint64 = _BASE) -> np.ndarray:
-        """Hash of the ``size`` words from each place."""
-        words = self.words if words is None else words
-        out = np.zeros(len(at), np.uint64)
-        for i in range(size):
-            out = out * base + words[at + i]
-        return _mix(out)
+        self.valid = valid
 
     def stretch(self, first: int, last: int) -> bytes:
         """The words from the first window's start to the last one's end."""
         return b" ".join(self.data[self.starts[first] : self.stops[last + self.window - 1]].split())
 
-    def keys(self, at: np.ndarray) -> np.ndarray:
-        """128-bit keys of the windows at some places, two numbers each."""
-        change = np.zeros(len(self.words) + 1, np.int64)
-        np.add.at(change, at, 1)
-        np.add.at(change, at + self.window, -1)
-        held = np.flatnonzero(np.cumsum(change[:-1]))
-        second = np.zeros(len(self.words), np.uint64)
-        places = zip(self.starts[held].tolist(), self.stops[held].tolist(), strict=True)
-        second[held] = np.array([xxhash.xxh64_intdigest(self.data[a:b]) for a, b in places], np.uint64)
-        return np.stack((self._joined(self.window, at), self._joined(self.window, at, second, _SECOND_BASE)), 1)
-
 
 def _ordered(rows: pd.DataFrame) -> tuple[list, list]:
     """Ids with times and texts of a batch in an order that does not depend on how they arrived."""
@@ -158,11 +152,202 @@ def _grouped(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(groups[order[a]]), order[a:b]
 
 
+_ASKED = "batch long, group long, what binary, counts binary"
+_ANSWERED = "batch long, group long, answer binary"
+
+
+class Level:
+    """One prefix length: from texts dealt to batches to the windows that are repeated.
+
+    ``source`` has a batch's texts either as documents or as the stretches that the level above
+    handed on; ``load`` turns the rows of a batch into its texts and their weights.
+    """
+
+    def __init__(self, source: DataFrame, load: Callable, window: int, prefixes: list[int], split: int, groups: int):
+        self.source, self.load = source, load
+        self.window, self.prefix, self.deeper = window, prefixes[0], prefixes[1:]
+        self.split, self.groups = split, groups
+
+    def batch_of(self) -> Callable:
+        """Rows -> (batch, weight of each run, its distinct anchors, the number of each run's anchor)."""
+        load, window, prefix = self.load, self.window, self.prefix
+
+        def read(rows: pd.DataFrame) -> tuple[Batch, np.ndarray, np.ndarray, np.ndarray]:
+            texts, weights = load(rows)
+            batch = Batch(texts, window, prefix)
+            return batch, weights[batch.text], *np.unique(batch.hashes, return_inverse=True)
+
+        return read
+
+    def answers(self) -> DataFrame:
+        """(batch, step, group, answer): all that ``found`` needs to tell the repeated windows."""
+        read, groups, split, window = self.batch_of(), np.uint64(self.groups), self.split, self.window
+
+        def ask_counts(rows: pd.DataFrame) -> pd.DataFrame:
+            _, weights, anchors, which = read(rows)
+            counts = np.minimum(np.bincount(which, weights, len(anchors)), np.iinfo(np.int32).max).astype("<i4")
+            out = [(g, anchors[at].astype("<u8").tobytes(), counts[at].tobytes()) for g, at in _grouped((anchors % groups).astype(np.int64))]
+            return _frame(rows["batch"].iloc[0], out)
+
+        def count(rows: pd.DataFrame) -> pd.DataFrame:
+            """0 for an anchor that occurs once, 1 for a shared one, 2 for one that is lengthened."""
+            keys = [np.frombuffer(x, "<u8") for x in rows["what"]]
+            values, which = np.unique(np.concatenate(keys), return_inverse=True)
+            totals = np.bincount(which, np.concatenate([np.frombuffer(x, "<i4") for x in rows["counts"]]), len(values))
+            answers = _answers(rows, keys, (1 * (totals > 1) + (totals > split)).astype(np.uint8)[which])
+            return answers.assign(long=[2 in answer for answer in answers["answer"]])
+
+        def ask_windows(lengthened: bool) -> Callable:
+            def ask(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+                if not len(rows):
+                    return _frame(0, [])
+                batch, weights, anchors, which = read(rows)
+                state = _states(anchors, which, answers, groups)
+                runs, stretches, own = _requests(batch, state, 2 if lengthened else 1)
+                counts = np.minimum(np.bincount(own, weights[runs], len(stretches)), 2).astype("<i4")
+                # Those of longer prefixes stay with their batch, the others go to their prefix's group.
+                goes = np.zeros(len(stretches), np.int64)
+                if not lengthened:
+                    goes[own] = (batch.hashes[runs] % groups).astype(np.int64)
+                out = [(g, b"\n".join([stretches[i] for i in at]), counts[at].tobytes()) for g, at in _grouped(goes)]
+                return _frame(rows["batch"].iloc[0], out)
+
+            return ask
+
+        def judge(rows: pd.DataFrame) -> pd.DataFrame:
+            """1 for each window, in the order of the request, that occurs more than once."""
+            repeated, windows = _subtree([x.split(b"\n") for x in rows["what"]], [np.frombuffer(x, "<i4") for x in rows["counts"]], window)
+            return _answers(rows, windows, repeated)
+
+        by_batch = self.source.groupBy("batch")
+        counted = by_batch.applyInPandas(ask_counts, _ASKED).groupBy("group").applyInPandas(count, _ANSWERED + ", long boolean")
+        counted = staged(counted, "prefixes")
+        asked = by_batch.cogroup(counted.groupBy("batch")).applyInPandas(ask_windows(False), _ASKED)
+        judged = asked.groupBy("group").applyInPandas(judge, _ANSWERED)
+        steps = [counted.drop("long"), judged]
+        if not counted.where("long").isEmpty():
+            going_on = by_batch.cogroup(counted.groupBy("batch")).applyInPandas(ask_windows(True), _ASKED)
+            steps.append(self.lengthened(staged(going_on, "stretches")))
+        return reduce(DataFrame.unionByName, [x.withColumn("step", F.lit(n)) for n, x in enumerate(steps, 1)])
+
+    def lengthened(self, stretches: DataFrame) -> DataFrame:
+        """Flags of all windows of a batch's stretches, in order, judged by longer prefixes."""
+        if not self.deeper:
+            return _whole_windows(stretches, self.window)
+        level = Level(stretches, _stretches, self.window, self.deeper, self.split, self.groups)
+        read, found = level.batch_of(), level.found()
+
+        def flags(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            if len(rows):
+                batch, _, anchors, which = read(rows)
+                held = np.zeros(len(batch.starts), np.uint8)
+                held[found(batch, anchors, which, answers)] = 1
+                out.append((rows["batch"].iloc[0], 0, held[batch.valid].tobytes()))
+            return pd.DataFrame(out, columns=["batch", "group", "answer"])
+
+        return stretches.groupBy("batch").cogroup(level.answers().groupBy("batch")).applyInPandas(flags, _ANSWERED)
+
+    def found(self) -> Callable:
+        """(batch, anchors, which, answers) -> places of the repeated windows."""
+        groups = np.uint64(self.groups)
+
+        def places(batch: Batch, anchors: np.ndarray, which: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+            state = _states(anchors, which, answers[answers["step"] == 1], groups)
+            out = [np.zeros(0, np.int64)]
+            for kind, step in ((1, 2), (2, 3)):
+                given = answers[answers["step"] == step]
+                given = dict(zip(given["group"], given["answer"], strict=True))
+                runs, stretches, own = _requests(batch, state, kind)
+                goes = np.zeros(len(stretches), np.int64)
+                if kind == 1:
+                    goes[own] = (batch.hashes[runs] % groups).astype(np.int64)
+                size = np.zeros(len(stretches), np.int64)
+                size[own] = batch.last[runs] - batch.first[runs] + 1
+                flags: list[np.ndarray] = [np.zeros(0, np.uint8)] * len(stretches)
+                for g, at in _grouped(goes):
+                    for i, part in zip(at, np.split(np.frombuffer(given[g], np.uint8), np.cumsum(size[at])[:-1]), strict=True):
+                        flags[i] = part
+                out += [a + np.flatnonzero(flags[i]) for i, a in zip(own.tolist(), batch.first[runs].tolist(), strict=True)]
+            return np.concatenate(out)
+
+        return places
+
+
+def _documents(rows: pd.DataFrame) -> tuple[list, np.ndarray]:
+    texts = _ordered(rows)[1]
+    return texts, np.ones(len(texts))
+
+
+def _stretches(rows: pd.DataFrame) -> tuple[list, np.ndarray]:
+    """A batch's stretches are one row."""
+    return rows["what"].iloc[0].split(b"\n"), np.frombuffer(rows["counts"].iloc[0], "<i4").astype(float)
+
+
+def _states(anchors: np.ndarray, which: np.ndarray, answers: pd.DataFrame, groups: np.uint64) -> np.ndarray:
+    """The count's answer for each run."""
+    state = np.zeros(len(anchors), np.uint8)
+    given = dict(zip(answers["group"], answers["answer"], strict=True))
+    for g, at in _grouped((anchors % groups).astype(np.int64)):
+        state[at] = np.frombuffer(given[g], np.uint8)
+    return state[which]
+
+
+def _requests(batch: Batch, state: np.ndarray, kind: int) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Runs of one state, their distinct stretches, the number of each run's stretch."""
+    runs, numbers = np.flatnonzero(state == kind), {}
+    ends = zip(batch.first[runs].tolist(), batch.last[runs].tolist(), strict=True)
+    own = [numbers.setdefault(batch.stretch(a, b), len(numbers)) for a, b in ends]
+    return runs, list(numbers), np.array(own, np.int64)
+
+
+def _windows(stretches: bytes, window: int) -> Iterator[bytes]:
+    for stretch in stretches.split(b"\n"):
+        words = stretch.split(b" ")
+        for at in range(len(words) - window + 1):
+            yield b" ".join(words[at : at + window])
+
+
+def _whole_windows(stretches: DataFrame, window: int) -> DataFrame:
+    """Flags of all windows of a batch's stretches; equal words meet in one sum, combined before the shuffle."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for batch, what, counts in zip(rows["batch"], rows["what"], rows["counts"], strict=True):
+                times: dict[bytes, int] = {}
+                for stretch, n in zip(what.split(b"\n"), np.frombuffer(counts, "<i4").tolist(), strict=True):
+                    for words in _windows(stretch, window):
+                        times[words] = min(times.get(words, 0) + n, 2)
+                yield pd.DataFrame({"batch": batch, "number": range(len(times)), "words": list(times), "times": list(times.values())})
+
+    def flags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for what, numbers in zip(rows["what"], rows["numbers"], strict=True):
+                repeated, order = set(() if numbers is None else numbers), {}
+                own = (order.setdefault(words, len(order)) for words in _windows(what, window))
+                out.append(bytes(number in repeated for number in own))
+            yield pd.DataFrame({"batch": rows["batch"], "group": 0, "answer": out})
+
+    each = staged(stretches.mapInPandas(listed, "batch long, number long, words binary, times long"), "windows")
+    often = each.groupBy("words").agg(F.sum("times").alias("n")).where("n > 1").select("words")
+    repeated = each.join(often, "words", "left_semi").groupBy("batch").agg(F.collect_list("number").alias("numbers"))
+    return stretches.select("batch", "what").join(repeated, "batch", "left").mapInPandas(flags, _ANSWERED)
+
+
+def prefixes(first: int, window: int) -> list[int]:
+    """Prefix lengths that are tried one after the other, each twice the one before."""
+    out = [min(first, window)]
+    while out[-1] * 2 < window:
+        out.append(out[-1] * 2)
+    return out
+
+
 def remove_repeats(
     documents: DataFrame,
     window: int = WINDOW,
     prefix: int = PREFIX,
-    hot: int = HOT,
+    split: int = SPLIT,
     batch_bytes: int = BATCH_BYTES,
     group_bytes: int = GROUP_BYTES,
     copies: int = COPIES,
@@ -170,110 +355,20 @@ def remove_repeats(
     """(doc_id, text, ...) -> (doc_id, n_words, n_removed, kept): the words kept, joined by spaces."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches, groups = total // batch_bytes + 1, np.uint64(total // group_bytes + 1)
-    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
+    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // batch_bytes + 1))
     rows = _folded(documents.select("doc_id", "text"), copies)
     dealt = rows.select(key.alias("batch"), F.col("doc_id").cast("string").alias("doc_id"), "text", "times")
-
-    def batch_of(rows: pd.DataFrame) -> tuple[list, Batch, np.ndarray, np.ndarray]:
-        """(ids and times, batch, its distinct anchors, the number of each run's anchor)."""
-        ids, texts = _ordered(rows)
-        batch = Batch(texts, window, prefix)
-        return ids, batch, *np.unique(batch.hashes, return_inverse=True)
-
-    def ask_counts(rows: pd.DataFrame) -> pd.DataFrame:
-        _, _, anchors, which = batch_of(rows)
-        counts = np.minimum(np.bincount(which, minlength=len(anchors)), np.iinfo(np.int32).max).astype("<i4")
-        out = [(g, anchors[at].astype("<u8").tobytes(), counts[at].tobytes()) for g, at in _grouped((anchors % groups).astype(np.int64))]
-        return _frame(rows["batch"].iloc[0], out)
-
-    def count(rows: pd.DataFrame) -> pd.DataFrame:
-        """0 for an anchor that occurs once, 1 for a shared one, 2 for a hot one."""
-        keys = [np.frombuffer(x, "<u8") for x in rows["what"]]
-        values, which = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(which, np.concatenate([np.frombuffer(x, "<i4") for x in rows["counts"]]), len(values))
-        return _answers(rows, keys, (1 * (totals > 1) + (totals > hot)).astype(np.uint8)[which])
-
-    def surviving(batch: Batch, anchors: np.ndarray, which: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
-        """The first answer for each run."""
-        state = np.zeros(len(anchors), np.uint8)
-        given = dict(zip(answers["group"], answers["answer"], strict=True))
-        for g, at in _grouped((anchors % groups).astype(np.int64)):
-            state[at] = np.frombuffer(given[g], np.uint8)
-        return state[which]
-
-    def requests(batch: Batch, state: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct stretches, the number of each shared run's stretch, hot windows and their keys."""
-        numbers: dict[bytes, int] = {}
-        shared = np.flatnonzero(state == 1)
-        own = [numbers.setdefault(batch.stretch(a, b), len(numbers)) for a, b in zip(batch.first[shared].tolist(), batch.last[shared].tolist(), strict=True)]
-        runs = np.flatnonzero(state == 2)
-        places = [np.arange(a, b + 1) for a, b in zip(batch.first[runs].tolist(), batch.last[runs].tolist(), strict=True)]
-        at = np.concatenate([np.zeros(0, np.int64), *places])
-        return list(numbers), np.array(own, np.int64), at, batch.keys(at)
-
-    def ask_windows(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(rows):
-            _, batch, anchors, which = batch_of(rows)
-            state = surviving(batch, anchors, which, answers)
-            stretches, own, _, keys = requests(batch, state)
-            goes = np.zeros(len(stretches), np.int64)
-            goes[own] = (batch.hashes[state == 1] % groups).astype(np.int64)
-            counts = np.minimum(np.bincount(own, minlength=len(stretches)), 2).astype("<i4")
-            for g, at in _grouped(goes):
-                out.append((g, b"\n".join([stretches[i] for i in at]), counts[at].tobytes()))
-            values, times = np.unique(keys, axis=0, return_counts=True)
-            for g, at in _grouped((values[:, 0] % groups).astype(np.int64)):
-                # Keys are told from stretches by a negative group number.
-                out.append((-1 - g, values[at].astype("<u8").tobytes(), np.minimum(times[at], 2).astype("<i4").tobytes()))
-        return _frame(rows["batch"].iloc[0] if len(rows) else 0, out)
-
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        """1 for each window, in the order of the request, that occurs more than once."""
-        counts = [np.frombuffer(x, "<i4") for x in rows["counts"]]
-        if rows["group"].iloc[0] < 0:
-            keys = [np.frombuffer(x, "<u8").reshape(-1, 2) for x in rows["what"]]
-            _, which = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
-            totals = np.bincount(which.ravel(), np.concatenate(counts))
-            return _answers(rows, keys, (totals > 1).astype(np.uint8)[which.ravel()])
-        repeated, windows = _subtree([what.split(b"\n") for what in rows["what"]], counts, window)
-        return _answers(rows, windows, repeated)
+    level = Level(dealt, _documents, window, prefixes(prefix, window), split, total // group_bytes + 1)
+    read, found = level.batch_of(), level.found()
 
     def apply(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "times": []}, dtype=object)
-        ids, batch, anchors, which = batch_of(rows)
-        state = surviving(batch, anchors, which, answers[answers["step"] == 1])
-        stretches, own, hot_at, keys = requests(batch, state)
-        second = answers[answers["step"] == 2]
-        given = dict(zip(second["group"], second["answer"], strict=True))
-        shared = np.flatnonzero(state == 1)
-        goes = np.zeros(len(stretches), np.int64)
-        goes[own] = (batch.hashes[shared] % groups).astype(np.int64)
-        flags: list[np.ndarray] = [np.zeros(0, np.uint8)] * len(stretches)
-        size = np.zeros(len(stretches), np.int64)
-        size[own] = batch.last[shared] - batch.first[shared] + 1
-        for g, at in _grouped(goes):
-            for i, part in zip(at, np.split(np.frombuffer(given[g], np.uint8), np.cumsum(size[at])[:-1]), strict=True):
-                flags[i] = part
-        found = [np.zeros(0, np.int64)]
-        found += [a + np.flatnonzero(flags[i]) for i, a in zip(own.tolist(), batch.first[shared].tolist(), strict=True)]
-        if len(hot_at):
-            values, which_key = np.unique(keys, axis=0, return_inverse=True)
-            bad = np.zeros(len(values), np.uint8)
-            for g, at in _grouped((values[:, 0] % groups).astype(np.int64)):
-                bad[at] = np.frombuffer(given[-1 - g], np.uint8)
-            found.append(hot_at[bad[which_key.ravel()] > 0])
-        return _kept(batch, ids, np.concatenate(found))
-
-    asked = "batch long, group long, what binary, counts binary"
-    answered = "batch long, group long, answer binary"
-    by_batch = dealt.groupBy("batch")
-    first = by_batch.applyInPandas(ask_counts, asked).groupBy("group").applyInPandas(count, answered)
-    second = by_batch.cogroup(first.groupBy("batch")).applyInPandas(ask_windows, asked).groupBy("group").applyInPandas(judge, answered)
-    both = first.withColumn("step", F.lit(1)).unionByName(second.withColumn("step", F.lit(2)))
-    kept = by_batch.cogroup(both.groupBy("batch")).applyInPandas(apply, "doc_id string, n_words long, n_removed long, kept string, times long")
+        batch, _, anchors, which = read(rows)
+        return _kept(batch, _ordered(rows)[0], found(batch, anchors, which, answers))
+
+    kept = dealt.groupBy("batch").cogroup(level.answers().groupBy("batch"))
+    kept = kept.applyInPandas(apply, "doc_id string, n_words long, n_removed long, kept string, times long")
     again = F.when(F.col("times") > 1, F.sequence(F.lit(1).cast("long"), F.col("times"))).otherwise(F.array(F.lit(1).cast("long")))
     kept = kept.withColumn("time", F.explode(again)).drop("time", "times")
     return kept.withColumn("doc_id", F.col("doc_id").cast(kind))
@@ -294,28 +389,53 @@ def _answers(rows: pd.DataFrame, asked: list, values: np.ndarray) -> pd.DataFram
 def _subtree(stretches: list[list[bytes]], counts: list[np.ndarray], window: int) -> tuple[np.ndarray, list[int]]:
     """(1 for every window below a node of the window's depth, windows of each request).
 
-    The suffixes of the group are sorted by their first ``window`` words; words are numbered,
-    so the comparison is exact. A run of equal neighbours is an internal node, and its leaves
-    count as often as their stretch occurs in its batch.
+    The tree is held as the sorted suffixes of all stretches and the common-prefix lengths of
+    neighbours: a run of neighbours with ``window`` or more words in common is what hangs below
+    one deep internal node. Leaves count as often as their stretch occurs in its batch.
     """
     flat = [s.split(b" ") for request in stretches for s in request]
-    sizes = np.array([len(s) - window + 1 for s in flat])
-    numbers = pd.factorize(np.array([w for s in flat for w in s], dtype=object))[0].astype(">i4")
-    start = np.concatenate(([0], np.cumsum(sizes + window - 1)[:-1]))
-    at = np.repeat(start - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-    suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(numbers, window)[at])
-    paths = suffixes.view(np.dtype((np.void, suffixes.itemsize * window))).ravel()
-    order = np.argsort(paths, kind="stable")
-    ordered = suffixes[order]
-    new = np.concatenate(([True], (ordered[1:] != ordered[:-1]).any(1)))
-    node = np.cumsum(new) - 1
+    lengths = np.array([len(s) for s in flat])
+    words = pd.factorize(np.array([w for s in flat for w in s], dtype=object))[0].astype(np.int64) + 1
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))
+    ranks = _ranks(words, left, int(lengths.max()))
+    leaves = np.flatnonzero(left >= window)
+    order = np.argsort(ranks[-1][leaves], kind="stable")
+    common = _common(ranks, left, leaves[order[:-1]], leaves[order[1:]])
+    node = np.concatenate(([0], np.cumsum(common < window)))
+    sizes = lengths - window + 1
     times = np.repeat(np.concatenate(counts), sizes)[order]
-    repeated = np.zeros(len(order), np.uint8)
+    repeated = np.zeros(len(leaves), np.uint8)
     repeated[order] = np.bincount(node, times)[node] > 1
     cuts = np.cumsum([0, *(len(request) for request in stretches)])
     return repeated, [int(sizes[a:b].sum()) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _ranks(words: np.ndarray, left: np.ndarray, longest: int) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 1, 2, 4, ... words, the last ones by all of them.
+
+    ``left`` is the number of words from each place to its stretch's end, where a suffix ends.
+    """
+    ranks, width = [words], 1
+    while width < longest:
+        follows = np.flatnonzero(left > width)
+        pair = ranks[-1] * (len(words) + 1)
+        pair[follows] += ranks[-1][follows + width]
+        ranks.append(np.unique(pair, return_inverse=True)[1] + 1)
+        width *= 2
+    return ranks
+
+
+def _common(ranks: list[np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of first words that suffixes a and b share, added up from powers of two."""
+    shared = np.zeros(len(a), np.int64)
+    room = np.minimum(left[a], left[b])
+    for power in range(len(ranks) - 1, -1, -1):
+        open_ = np.flatnonzero(room - shared >= 1 << power)
+        same = ranks[power][a[open_] + shared[open_]] == ranks[power][b[open_] + shared[open_]]
+        shared[open_[same]] += 1 << power
+    return shared
+
+
 def _kept(batch: Batch, ids: list, found: np.ndarray) -> pd.DataFrame:
     """Drops the words that the found windows cover."""
     change = np.zeros(len(batch.starts) + 1, np.int64)

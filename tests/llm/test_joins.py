@@ -146,8 +146,8 @@ def plain_removal(rows, window):
     return collections.Counter(out)
 
 
-@pytest.mark.parametrize("hot", [2000, 3, 0])
-def test_substrings(spark, hot):
+@pytest.mark.parametrize("split", [2000, 3, 0])
+def test_substrings(spark, split):
     draw = random.Random(3)
     passage = [f"p{i}" for i in range(14)]
     rows = [(i, t) for i, t, _, _ in EDGES if t is None or len(t) < 50_000]
@@ -160,16 +160,16 @@ def test_substrings(spark, hot):
     rows += rows[-3:]
     frame = documents(spark, [(i, t, "en", "a") for i, t in rows])
     for window, prefix in ((9, 3), (6, 6)):
-        found = substring_dedup.remove_repeats(frame, window, prefix, hot, batch_bytes=1500, group_bytes=4000).collect()
+        found = substring_dedup.remove_repeats(frame, window, prefix, split, batch_bytes=1500, group_bytes=4000).collect()
         assert collections.Counter(map(tuple, found)) == plain_removal(rows, window)
 
 
-@pytest.mark.parametrize("hot", [2000, 0])
-def test_many_equal_rows(spark, hot):
+@pytest.mark.parametrize("split", [2000, 0])
+def test_many_equal_rows(spark, split):
     passage = " ".join(f"p{i}" for i in range(40))
     rows = [(1, passage)] * 30 + [(None, "a b c")] * 25 + [(2, f"x y {passage}"), (3, None), (3, "z " * 50)] + [(4, None)] * 30
     frame = documents(spark, [(i, t, "en", "a") for i, t in rows])
-    found = substring_dedup.remove_repeats(frame, 10, 4, hot, copies=20).collect()
+    found = substring_dedup.remove_repeats(frame, 10, 4, split, copies=20).collect()
     assert collections.Counter(map(tuple, found)) == plain_removal(rows, 10)
 
 
@@ -179,15 +179,56 @@ def test_equal_rows_do_not_pile_up_in_a_batch(spark):
     assert sorted((r["doc_id"], r["times"]) for r in folded) == [(1, 1), (1, 299), (2, 1)]
 
 
-def test_halves_of_a_key_are_independent():
-    batch = substring_dedup.Batch(["a b c d e f g h"], 4, 2)
-    at = np.arange(5)
-    first = batch.keys(at)
-    batch.words = np.zeros_like(batch.words)  # as if the first hash told no words apart
-    second = batch.keys(at)
-    assert len(np.unique(second[:, 0])) == 1
-    assert len(np.unique(second[:, 1])) == 5
-    assert (first[:, 1] == second[:, 1]).all()
+def test_subtrees_hold_all_common_prefixes():
+    draw = np.random.default_rng(5)
+    flat = [[b"%d" % x for x in draw.integers(0, 3, draw.integers(6, 40))] for _ in range(30)]
+    flat += [flat[0][:20], flat[0][:20]]
+    words = np.array([int(w) for s in flat for w in s]) + 1
+    lengths = np.array([len(s) for s in flat])
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))
+    ranks = substring_dedup._ranks(words, left, lengths.max())
+    order = np.argsort(ranks[-1], kind="stable")
+    suffix = [tuple(words[i : i + left[i]].tolist()) for i in order]
+    assert suffix == sorted(suffix)
+    plain = [next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))) for a, b in zip(suffix, suffix[1:], strict=False)]
+    assert substring_dedup._common(ranks, left, order[:-1], order[1:]).tolist() == plain
+    counts = draw.integers(1, 3, len(flat)).astype("<i4")
+    requests = [flat[:10], flat[10:]]
+    found, sizes = substring_dedup._subtree([[b" ".join(s) for s in r] for r in requests], [counts[:10], counts[10:]], 6)
+    seen = collections.Counter()
+    for s, n in zip(flat, counts, strict=True):
+        for i in range(len(s) - 5):
+            seen[tuple(s[i : i + 6])] += int(n)
+    assert found.tolist() == [seen[tuple(s[i : i + 6])] > 1 for s in flat for i in range(len(s) - 5)]
+    assert sizes == [sum(len(s) - 5 for s in r) for r in requests]
+
+
+def test_prefixes_grow_to_the_whole_window(spark):
+    """Passages that share 3, 8, 16 or all 20 words; with a split of 2 every length is needed."""
+    assert substring_dedup.prefixes(8, 35) == [8, 16, 32]
+    assert substring_dedup.prefixes(3, 20) == [3, 6, 12]
+    passage = [f"p{i}" for i in range(20)]
+    rows = []
+    for i in range(120):
+        shared = (3, 8, 16, 20)[i % 4]
+        own = [f"u{i}-{j}" for j in range(20 - shared)] if i % 8 else [f"u{j}" for j in range(20 - shared)]
+        rows.append((i, " ".join([f"a{i}", *passage[:shared], *own, f"z{i}"])))
+    frame = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    found = substring_dedup.remove_repeats(frame, 20, 3, 2, batch_bytes=2000, group_bytes=2000).collect()
+    assert collections.Counter(map(tuple, found)) == plain_removal(rows, 20)
+
+
+def test_a_passage_repeated_very_often(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    frame = spark.range(100_000).selectExpr("id as doc_id", f"concat('a', id, ' b', id, ' {passage} c', id) as text")
+    found = substring_dedup.remove_repeats(frame).groupBy("n_words", "n_removed").count().collect()
+    assert [tuple(r) for r in found] == [(43, 40, 100_000)]
+
+
+def test_a_batch_of_too_many_words_is_an_error(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_PLACE_BITS", np.uint64(3))
+    with pytest.raises(ValueError):
+        substring_dedup.Batch(["a b c d e f g h"], 4, 2)
 
 
 def test_substrings_of_no_rows(spark):
