@@ -1,19 +1,23 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is cut into words (runs of letters and digits, lower-cased) and read in windows of
-``WINDOW`` words that start every ``STRIDE`` words, the last one ending with the text. A word
+A text is cut into words (runs of letters and digits, lower-cased) and scored in all windows of
+``WINDOW`` words, one from every word on to the last that ends with the text. A word
 enters as two parts: a word embedding (one shared row for all words in fewer than
 ``WORD_TEXTS`` texts of the sample), and the mean embedding of its character trigrams, from a
-hashed table of fixed size. Two gated recurrent units read a window in both directions,
-attention weighs their states, and a logistic output scores the window. A text's score is that
-of its highest window, so one bad passage in a long text is not averaged away.
+hashed table of fixed size. Two gated recurrent units read the words in both directions,
+attention weighs a window's states, and a logistic output scores the window. A text's score is
+that of its highest window, so one bad passage in a long text is not averaged away.
+
+Neighbouring windows share states: the units read blocks of ``BLOCK`` windows once, and every
+window of a block pools the states of its own words. In a text of at most ``WINDOW`` words and in
+training a block is one window.
 
 Training uses a bounded sample: at most about ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN`` clean
 rows (lowest id hash), texts of more than ``SAMPLE_CHARS`` characters left out. First all
-windows of a text learn its label, in each round at most 12 000 windows drawn anew, then only
-its highest windows do, round by round, which is how a text is scored. Only texts and the toxic
-mark are inputs. Scoring covers all these windows of every whole text, in groups of texts of
-bounded size; windows that would start at the places between are not scored.
+windows of a text learn its label, in each such round at most ``FIRST_WINDOWS`` windows drawn anew,
+then only its highest windows do, round by round, which is how a text is scored; windows to learn
+from start every ``STRIDE`` words. Only texts and the toxic mark are inputs. Scoring covers all
+windows of every whole text, in groups of texts of bounded size.
 
 Cases: a text that is NULL or has no word scores 0, as does every text if the sample lacks
 either class; NULL marks are not learned from; equal texts are learned from once, by the last
@@ -35,6 +39,8 @@ from tallystick.sources.workspace import staged
 
 WINDOW = 40
 STRIDE = 20
+BLOCK = 80
+FIRST_WINDOWS = 12_000
 SAMPLE_TOXIC = 700
 SAMPLE_CLEAN = 900
 SAMPLE_CHARS = 6000
@@ -47,6 +53,7 @@ DECAY = 0.1
 CHECK_SHARE = 4
 _GROUP_CHARS = 400_000
 _WINDOWS = 4096
+_BLOCKS = 1024
 _PLACES = 32
 _LETTERS = 128
 
@@ -91,7 +98,7 @@ class Words:
         self.bounds = np.searchsorted(place[self.starts], ends)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, first word, number of words) of every window; texts without words have none."""
+        """(text, first word, number of words) of the windows to learn from; texts without words have none."""
         text, start, size = [], [], []
         for number, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
             at = [*range(a, max(b - WINDOW, a), STRIDE), max(b - WINDOW, a)] if b > a else []
@@ -100,6 +107,16 @@ class Words:
             size += [min(WINDOW, b - a)] * len(at)
         return np.array(text, np.int64), np.array(start, np.int64), np.array(size, np.int64)
 
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first word, number of words) of blocks; each window lies whole in exactly one."""
+        words = np.diff(self.bounds)
+        windows = np.where(words > 0, np.maximum(words - WINDOW, 0) + 1, 0)
+        each = -(-windows // BLOCK)
+        text = np.repeat(np.arange(len(words)), each)
+        at = BLOCK * (np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each))
+        size = np.minimum(words[text], np.minimum(BLOCK, windows[text] - at) + WINDOW - 1)
+        return text, self.bounds[text] + at, size
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
@@ -127,8 +144,8 @@ class Network:
         chars = np.add.reduceat(self.p["char"][words.trigrams], words.starts) / words.lengths[:, None].astype(np.float32)
         return np.concatenate((self.p["word"][self.known[words.hashes]], chars), 1)
 
-    def run(self, x: np.ndarray, start: np.ndarray, size: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """Log-odds of each window; ``keep`` receives what the backward pass needs."""
+    def states(self, x: np.ndarray, start: np.ndarray, size: np.ndarray, keep: dict | None = None) -> tuple[np.ndarray, ...]:
+        """(states, attention's hidden layer and weights before normalising) at each step of some stretches of words."""
         steps = int(size.max())
         at = np.minimum(np.arange(steps), (size - 1)[:, None]) + start[:, None]
         real = (np.arange(steps) < size[:, None]).astype(np.float32)
@@ -150,12 +167,31 @@ class Network:
         hidden = np.tanh(states @ self.p["attend"])
         weight = hidden @ self.p["focus"] + np.where(real.T > 0, 0, -1e9).astype(np.float32)
         weight = np.exp(weight - weight.max(0))
+        if keep is not None:
+            keep |= {"at": at, "real": real}
+        return states, hidden, weight
+
+    def run(self, x: np.ndarray, start: np.ndarray, size: np.ndarray, keep: dict | None = None) -> np.ndarray:
+        """Log-odds of each window; ``keep`` receives what the backward pass needs."""
+        states, hidden, weight = self.states(x, start, size, keep)
         weight /= weight.sum(0)
         pooled = (weight[:, :, None] * states).sum(0)
         if keep is not None:
-            keep |= {"at": at, "real": real, "states": states, "hidden": hidden, "weight": weight, "pooled": pooled}
+            keep |= {"states": states, "hidden": hidden, "weight": weight, "pooled": pooled}
         return pooled @ self.p["out"] + self.p["shift"][0]
 
+    def highest(self, x: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Log-odds of the highest window of each block."""
+        states, _, weight = self.states(x, start, size)
+        weight = weight.astype(np.float64)
+        value = weight * (states @ self.p["out"])
+        width = min(WINDOW, len(weight))
+        weights, values = (np.lib.stride_tricks.sliding_window_view(v, width, axis=0).sum(-1) for v in (weight, value))
+        # A block shorter than the longest one has fewer windows; one shorter than a window has one.
+        inside = np.arange(len(weights))[:, None] <= np.maximum(size - width, 0)
+        odds = np.where(inside, values / np.maximum(weights, 1e-300), -np.inf)
+        return odds.max(0) + self.p["shift"][0]
+
     def slopes(self, x: np.ndarray, words: Words, keep: dict, error: np.ndarray) -> dict[str, np.ndarray]:
         """Gradient of the loss whose slope by the log-odds is ``error``."""
         p = self.p
@@ -203,15 +239,16 @@ class Network:
     def odds(self, texts: list[str]) -> np.ndarray:
         best = np.full(len(texts), -np.inf)
         words = Words(texts)
-        text, start, size = words.windows()
+        text, start, size = words.blocks()
         x = self.inputs(words)
-        for low in range(0, len(start), _WINDOWS):
-            part = slice(low, low + _WINDOWS)
-            np.maximum.at(best, text[part], self.run(x, start[part], size[part]).astype(float))
+        order = np.argsort(size, kind="stable")
+        for low in range(0, len(order), _BLOCKS):
+            part = order[low : low + _BLOCKS]
+            np.maximum.at(best, text[part], self.highest(x, start[part], size[part]).astype(float))
         return best
 
 
-def fit(texts: list[str], toxic: list[int], rounds: tuple[int, int] = ROUNDS, rate: float = 0.01, seed: int = 4) -> Network | None:
+def fit(texts: list[str], toxic: list[int], rounds: tuple[int, int] = ROUNDS, rate: float = 0.01, seed: int = 4, first_windows: int = FIRST_WINDOWS) -> Network | None:
     """None unless both classes are there. Adam; classes weigh the same in total.
 
     Every CHECK_SHARE-th text of a class is kept out of the learning; these choose the round to
@@ -229,7 +266,7 @@ def fit(texts: list[str], toxic: list[int], rounds: tuple[int, int] = ROUNDS, ra
         checked = learned
     held, marks = [t for t, _ in checked], np.array([y for _, y in checked], float)
     best, network = np.inf, None
-    for candidate in _learned(learned, rounds, rate, seed):
+    for candidate in _learned(learned, rounds, rate, seed, first_windows):
         odds = np.clip(candidate.odds(held), -30, 30)
         scale, offset = _calibration(odds, marks)
         loss = np.logaddexp(0, -(2 * marks - 1) * (scale * odds + offset)).mean()
@@ -252,7 +289,7 @@ def _calibration(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _learned(known: list[tuple[str, int]], rounds: tuple[int, int], rate: float, seed: int) -> Iterator[Network]:
+def _learned(known: list[tuple[str, int]], rounds: tuple[int, int], rate: float, seed: int, first_windows: int) -> Iterator[Network]:
     """The one network after each round of its training."""
     texts, labels = [t for t, _ in known], np.array([y for _, y in known], np.float32)
     importance = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
@@ -291,7 +328,7 @@ def _learned(known: list[tuple[str, int]], rounds: tuple[int, int], rate: float,
                 network.p[k] -= rate * DECAY * network.p[k] + rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
 
     for _ in range(rounds[0]):
-        learn(order.permutation(len(start))[:12_000])
+        learn(order.permutation(len(start))[:first_windows])
     for _ in range(rounds[1]):
         x = network.inputs(words)
         odds = np.concatenate([network.run(x, start[i : i + _WINDOWS], size[i : i + _WINDOWS]) for i in range(0, len(start), _WINDOWS)])

@@ -128,6 +128,57 @@ def test_windows_cover_every_word():
     assert [(int(s) - 95, int(n)) for k, s, n in zip(number, start, size, strict=True) if k == 2] == [(0, 2)]
 
 
+def test_every_window_lies_in_one_block():
+    texts = ["", "one two", *(" ".join(f"w{i}" for i in range(n)) for n in (39, 40, 41, 118, 119, 120, 121, 200, 333))]
+    words = toxicity.Words(texts)
+    found = [[] for _ in texts]
+    for number, start, size in zip(*words.blocks(), strict=True):
+        assert size < toxicity.BLOCK + toxicity.WINDOW
+        found[number] += [int(start - words.bounds[number]) + i for i in range(max(size - toxicity.WINDOW, 0) + 1)]
+    assert found == [[], *([*range(max(len(t.split()) - toxicity.WINDOW, 0) + 1)] for t in texts[1:])]
+
+
+def plain_odds(network, text):
+    """Window by window and word by word, one number at a time where that matters."""
+    words, p = toxicity.Words([text]), network.p
+    x, size, best = network.inputs(words).astype(float), toxicity.HIDDEN, -np.inf
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    last = max(len(x) - toxicity.WINDOW, 0)
+    for first in range(0, last + 1, toxicity.BLOCK):
+        block = x[first : min(first + toxicity.BLOCK - 1, last) + toxicity.WINDOW]
+        sides = {}
+        for side, order in (("f", range(len(block))), ("b", range(len(block) - 1, -1, -1))):
+            h, out = np.zeros(size), {}
+            for t in order:
+                a, g = block[t] @ p[f"in_{side}"] + p[f"bias_{side}"], h @ p[f"loop_{side}"]
+                z, r = sigmoid(a[:size] + g[:size]), sigmoid(a[size : 2 * size] + g[size : 2 * size])
+                out[t] = h = z * h + (1 - z) * np.tanh(a[2 * size :] + r * g[2 * size :])
+            sides[side] = out
+        states = [np.concatenate((sides["f"][t], sides["b"][t])) for t in range(len(block))]
+        for at in range(max(len(block) - toxicity.WINDOW, 0) + 1):
+            window = states[at : at + toxicity.WINDOW]
+            weights = [float(np.exp(np.tanh(s @ p["attend"]) @ p["focus"])) for s in window]
+            pooled = sum(w * s for w, s in zip(weights, window, strict=True)) / sum(weights)
+            best = max(best, float(pooled @ p["out"] + p["shift"][0]))
+    return best
+
+
+def test_scores_against_plain_loops():
+    network, draw = toxicity.Network(), np.random.default_rng(7)
+    network.known[:] = draw.integers(0, toxicity.WORD_ROWS, len(network.known))
+    network.p["out"] *= 3
+    texts = [" ".join(f"word{i}" for i in draw.integers(0, 90, n)) for n in (1, 3, 39, 40, 41, 119, 120, 121, 260)]
+    assert network.odds(texts) == pytest.approx([plain_odds(network, t) for t in texts], abs=1e-4)
+
+
+def test_repeated_and_contradictory_marks(monkeypatch):
+    """Equal texts are learned from once, by the last of their marks."""
+    seen = []
+    monkeypatch.setattr(toxicity, "_learned", lambda known, *_: seen.extend(known) or iter(()))
+    toxicity.fit(["good day", "bad word", "bad word", "both ways", "both ways", "", "..."], [0, 1, 1, 1, 0, 1, 1])
+    assert sorted(seen) == [("bad word", 1), ("both ways", 0), ("good day", 0)]
+
+
 def test_scores_do_not_depend_on_the_batch():
     network = toxicity.Network()
     texts = ["a b c", "", " ".join(f"word{i}" for i in range(300)), "d"]
