@@ -11,7 +11,8 @@ Vectors that pass a common filter meet there, and every meeting pair is verified
 The search is probabilistic. ``CODES`` independent codes are used, because a vector that lies
 badly to the words of one code passes few of its filters; ``PASSES`` is the number of filters of
 a code that a pair at the least cosine is expected to share, which fixes the height (worked out
-per dimension on seeded pairs). At 64 dimensions about one pair in a thousand at exactly the
+per dimension on seeded pairs). Filters of short vectors are few and uneven, so there the height
+also falls until at most ``LONELY`` of the pairs share no filter of a code. At 64 dimensions about one pair in a thousand at exactly the
 least cosine is missed, and none of the nearer ones. Lengths at which pairs share fewer than half
 of ``PASSES`` are refused with an error. More rows call for more ``WORDS``: filters
 get narrower at the same expected number.
@@ -46,6 +47,8 @@ CODES = 6
 PASSES = 4.0
 WORDS = 1024
 BLOCK = 512
+SHORT = 7
+LONELY = 0.25
 SEED = 31
 _ROWS = 256
 
@@ -62,27 +65,30 @@ class Code:
         self.left = self._unit(draw.standard_normal((self.words, self.cut))) / np.sqrt(2)
         self.right = self._unit(draw.standard_normal((self.words, max(size - self.cut, 1)))) / np.sqrt(2)
         # Pairs at exactly the least cosine, to place the height.
-        x = self._unit(draw.standard_normal((64, size)))
-        y = draw.standard_normal((64, size))
+        short = size <= SHORT
+        x = self._unit(draw.standard_normal((256 if short else 64, size)))
+        y = draw.standard_normal(x.shape)
         y = self._unit(y - (x * y).sum(1, keepdims=True) * x)
         y = cosine * x + np.sqrt(max(1 - cosine**2, 0)) * y
         # Reachable heights shrink with the root of the length, and so must the step.
         low, high = 0.0, 1.0
         while height is None and high - low > min(0.003, 0.024 / np.sqrt(size)):
             middle = (low + high) / 2
-            low, high = (middle, high) if self._shared(x, y, middle) > passes else (low, middle)
+            shared = self._shared(x, y, middle)
+            enough = shared.mean() > passes and (not short or (shared == 0).mean() <= LONELY)
+            low, high = (middle, high) if enough else (low, middle)
         self.height = low if height is None else height
-        if height is None and (shared := self._shared(x, y, low)) < passes / 2:
+        if height is None and (shared := self._shared(x, y, low).mean()) < passes / 2:
             raise ValueError(f"pairs of length {size} share {shared:.2f} filters, {passes} wanted: more words or a higher cosine needed")
 
     @staticmethod
     def _unit(rows: np.ndarray) -> np.ndarray:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
 
-    def _shared(self, x: np.ndarray, y: np.ndarray, height: float) -> float:
-        """Mean number of filters that row pairs share at a height."""
+    def _shared(self, x: np.ndarray, y: np.ndarray, height: float) -> np.ndarray:
+        """Number of filters that each row pair shares at a height."""
         self.height = height
-        return float(np.mean([len(np.intersect1d(a, b)) for a, b in zip(self.decode(x), self.decode(y), strict=True)]))
+        return np.array([len(np.intersect1d(a, b)) for a, b in zip(self.decode(x), self.decode(y), strict=True)])
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Numbers of the filters that each unit vector passes, ascending."""
