@@ -82,6 +82,22 @@ def test_recall_at_the_least_cosine():
     assert met.mean() > 0.99
 
 
+@pytest.mark.parametrize("size", range(1, 8))
+def test_recall_of_short_vectors(size):
+    draw = np.random.default_rng([8, size])
+    x = embedding_dedup.Code._unit(draw.standard_normal((800, size)))
+    y = x
+    if size > 1:
+        y = draw.standard_normal(x.shape)
+        y = embedding_dedup.Code._unit(y - (x * y).sum(1, keepdims=True) * x)
+        y = embedding_dedup.COSINE * x + math.sqrt(1 - embedding_dedup.COSINE**2) * y
+    met = np.zeros(800, bool)
+    for n in range(embedding_dedup.CODES):
+        code = embedding_dedup.Code(n, size, embedding_dedup.COSINE, embedding_dedup.PASSES, embedding_dedup.WORDS)
+        met |= [bool(len(np.intersect1d(a, b))) for a, b in zip(code.decode(x), code.decode(y), strict=True)]
+    assert met.mean() > 0.99
+
+
 @pytest.mark.parametrize("size", [320, 384, 768])
 def test_recall_of_long_vectors(size):
     draw = np.random.default_rng(8)
@@ -287,6 +303,30 @@ def test_contaminated_documents(spark, block_chars):
     assert collections.Counter(r["doc_id"] for r in clean.collect()) == collections.Counter(i for i, t, _, _ in EDGES if not (t and PROSE in t))
 
 
+def test_plan_does_not_grow_with_the_blocks(spark):
+    items = [(i, f"{i} " + " ".join(f"item{i}word{j}" for j in range(6))) for i in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = documents(spark, [(i, f"before {t.upper()} after" if i % 2 else f"nothing {i}", "en", "a") for i, t in items])
+    one, many = (decontaminate.contaminated(frame, benchmark, block_chars=n) for n in (10_000, 900))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert sorted(r["item_id"] for r in many.collect()) == list(range(1, 40, 2))
+    assert len(many._jdf.queryExecution().logical().toString()) < 2000
+    clean = decontaminate.without_contaminated(frame, benchmark, block_chars=900)
+    assert clean.schema == frame.schema
+    assert sorted(r["doc_id"] for r in clean.collect()) == list(range(0, 40, 2))
+
+
+def test_short_items_match_exactly_as_whole_words(spark):
+    items = [(1, "Two plus  two"), (2, "x"), (3, ""), (4, None), (5, "a sentence that is long enough for edits")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["what is two plus two?", "two plus twofold", "two plus twu", "(x)", "xy", "a sentence that is lang enough for edits", None]
+    frame = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.contaminated(frame, benchmark, short=True).collect()}
+    assert found == {(0, 1, 0), (3, 2, 0), (5, 5, 1)}
+    assert [r["item_id"] for r in decontaminate.contaminated(frame, benchmark).collect()] == [5]
+    assert sorted(r["doc_id"] for r in decontaminate.without_contaminated(frame, benchmark, short=True).collect()) == [1, 2, 4, 6]
+
+
 def test_decontamination_of_no_rows(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(documents(spark), benchmark).collect() == []
