@@ -13,7 +13,7 @@ of many suffixes.
 
 1. Anchors are counted. A prefix that occurs once is a leaf of its own and is dropped.
 2. Prefixes of up to ``SPLIT`` occurrences send their stretches to a group. The group numbers
-   its words, sorts all suffixes of its stretches by prefix doubling (the leaves of its tree),
+   its words, sorts all suffixes of its stretches by prefix trebling (the leaves of its tree),
    and takes the common-prefix lengths of neighbours from the same ranks. Neighbours with
    ``WINDOW`` or more words in common lie below one deep internal node.
 3. A prefix that occurs more often is lengthened: its stretches, each batch's equal ones once
@@ -147,7 +147,7 @@ def _folded(rows: DataFrame, copies: int) -> DataFrame:
 def _grouped(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(group, places) for each group, places ascending."""
     order = np.argsort(groups, kind="stable")
-    cuts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+    cuts = np.flatnonzero(np.diff(groups[order], prepend=-2))
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
         yield int(groups[order[a]]), order[a:b]
 
@@ -197,22 +197,20 @@ class Level:
             answers = _answers(rows, keys, (1 * (totals > 1) + (totals > split)).astype(np.uint8)[which])
             return answers.assign(long=[2 in answer for answer in answers["answer"]])
 
-        def ask_windows(lengthened: bool) -> Callable:
-            def ask(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-                if not len(rows):
-                    return _frame(0, [])
-                batch, weights, anchors, which = read(rows)
-                state = _states(anchors, which, answers, groups)
-                runs, stretches, own = _requests(batch, state, 2 if lengthened else 1)
+        def ask_windows(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            if not len(rows):
+                return _frame(0, [])
+            batch, weights, anchors, which = read(rows)
+            state, out = _states(anchors, which, answers, groups), []
+            for kind in (1, 2):
+                runs, stretches, own = _requests(batch, state, kind)
                 counts = np.minimum(np.bincount(own, weights[runs], len(stretches)), 2).astype("<i4")
                 # Those of longer prefixes stay with their batch, the others go to their prefix's group.
-                goes = np.zeros(len(stretches), np.int64)
-                if not lengthened:
+                goes = np.full(len(stretches), -1)
+                if kind == 1:
                     goes[own] = (batch.hashes[runs] % groups).astype(np.int64)
-                out = [(g, b"\n".join([stretches[i] for i in at]), counts[at].tobytes()) for g, at in _grouped(goes)]
-                return _frame(rows["batch"].iloc[0], out)
-
-            return ask
+                out += [(g, b"\n".join([stretches[i] for i in at]), counts[at].tobytes()) for g, at in _grouped(goes)]
+            return _frame(rows["batch"].iloc[0], out)
 
         def judge(rows: pd.DataFrame) -> pd.DataFrame:
             """1 for each window, in the order of the request, that occurs more than once."""
@@ -222,12 +220,14 @@ class Level:
         by_batch = self.source.groupBy("batch")
         counted = by_batch.applyInPandas(ask_counts, _ASKED).groupBy("group").applyInPandas(count, _ANSWERED + ", long boolean")
         counted = staged(counted, "prefixes")
-        asked = by_batch.cogroup(counted.groupBy("batch")).applyInPandas(ask_windows(False), _ASKED)
-        judged = asked.groupBy("group").applyInPandas(judge, _ANSWERED)
+        asked = by_batch.cogroup(counted.groupBy("batch")).applyInPandas(ask_windows, _ASKED)
+        lengthen = not counted.where("long").isEmpty()
+        if lengthen:  # read twice, so that no text is cut into words twice for it
+            asked = staged(asked, "requests")
+        judged = asked.where("group >= 0").groupBy("group").applyInPandas(judge, _ANSWERED)
         steps = [counted.drop("long"), judged]
-        if not counted.where("long").isEmpty():
-            going_on = by_batch.cogroup(counted.groupBy("batch")).applyInPandas(ask_windows(True), _ASKED)
-            steps.append(self.lengthened(staged(going_on, "stretches")))
+        if lengthen:
+            steps.append(self.lengthened(staged(asked.where("group < 0"), "stretches")))
         return reduce(DataFrame.unionByName, [x.withColumn("step", F.lit(n)) for n, x in enumerate(steps, 1)])
 
     def lengthened(self, stretches: DataFrame) -> DataFrame:
@@ -411,28 +411,33 @@ def _subtree(stretches: list[list[bytes]], counts: list[np.ndarray], window: int
 
 
 def _ranks(words: np.ndarray, left: np.ndarray, longest: int) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... words, the last ones by all of them.
+    """Ranks of all suffixes by their first 1, 3, 9, ... words, the last ones by all of them.
 
     ``left`` is the number of words from each place to its stretch's end, where a suffix ends.
     """
     ranks, width = [words], 1
     while width < longest:
-        follows = np.flatnonzero(left > width)
-        pair = ranks[-1] * (len(words) + 1)
-        pair[follows] += ranks[-1][follows + width]
-        ranks.append(np.unique(pair, return_inverse=True)[1] + 1)
-        width *= 2
+        joined, most = ranks[-1], int(ranks[-1].max()) + 1
+        for part in (1, 2):
+            if joined is not ranks[-1] and most >= 1 << 21:  # three ranks do not fit one number
+                joined = np.unique(joined, return_inverse=True)[1] + 1
+            joined = joined * most
+            follows = np.flatnonzero(left > part * width)
+            joined[follows] += ranks[-1][follows + part * width]
+        ranks.append(np.unique(joined, return_inverse=True)[1] + 1)
+        width *= 3
     return ranks
 
 
 def _common(ranks: list[np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Number of first words that suffixes a and b share, added up from powers of two."""
+    """Number of first words that suffixes a and b share, added up from powers of three."""
     shared = np.zeros(len(a), np.int64)
     room = np.minimum(left[a], left[b])
     for power in range(len(ranks) - 1, -1, -1):
-        open_ = np.flatnonzero(room - shared >= 1 << power)
-        same = ranks[power][a[open_] + shared[open_]] == ranks[power][b[open_] + shared[open_]]
-        shared[open_[same]] += 1 << power
+        for _ in range(2):
+            open_ = np.flatnonzero(room - shared >= 3**power)
+            same = ranks[power][a[open_] + shared[open_]] == ranks[power][b[open_] + shared[open_]]
+            shared[open_[same]] += 3**power
     return shared
 
 
