@@ -167,14 +167,15 @@ def sku_shares(tables: Tables, wanted: DataFrame | None = None) -> DataFrame:
     lines = tables.checks.select("transaction_id", "sku_id")
     goods = tables.product_matrix.select("sku_id", "group_id")
     asked = goods if wanted is None else goods.join(wanted.select("sku_id"), "sku_id", "left_semi")
+    # Counted before the catalogue is joined, so that a hot SKU is spread over its transactions.
     with_sku = (
-        lines.join(asked, "sku_id")
-        .distinct()
-        .groupBy("sku_id", "group_id")
+        lines.distinct()
+        .groupBy("sku_id")
         .agg(F.count("transaction_id").alias("with_sku"))
+        .join(asked.distinct().hint("merge"), "sku_id")
     )
     with_group = (
-        lines.join(goods, "sku_id")
+        lines.join(goods.hint("merge"), "sku_id")
         .select("transaction_id", "group_id")
         .distinct()
         .groupBy("group_id")
@@ -193,9 +194,10 @@ def best_margin_skus(tables: Tables) -> DataFrame:
     It does not depend on the customer, so it is found once per store and group.
     """
     margin = F.col("sku_retail_price") - F.col("sku_purchase_price")
-    offered = tables.retail_stores.join(tables.product_matrix, "sku_id").withColumn(
-        "sku_margin", margin
-    )
+    # Merged: prices and catalogue grow with the data and are larger than their files suggest.
+    offered = tables.retail_stores.join(
+        tables.product_matrix.hint("merge"), "sku_id"
+    ).withColumn("sku_margin", margin)
     return first_per_key(
         offered.where(F.col("group_id").isNotNull()),
         ["transaction_store_id", "group_id"],

@@ -20,10 +20,14 @@ HISTORY_COLUMNS = [
 ]
 
 
+# Lines of which a task keeps sums per transaction.
+LINES_PER_TASK = 250_000
+
+
 def card_owners(tables: Tables) -> DataFrame:
     """Cards of known customers."""
     return tables.customer_cards.join(
-        tables.personal_details.select("customer_id"), "customer_id", "left_semi"
+        tables.personal_details.select("customer_id").hint("merge"), "customer_id", "left_semi"
     ).select("customer_card_id", "customer_id")
 
 
@@ -37,23 +41,36 @@ def customer_transactions(tables: Tables) -> DataFrame:
 def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
     """Check lines with customer, product group and, on request, the store's purchase price.
 
-    The two fact tables are merged on the transaction, never broadcast; the rows then stay
-    partitioned by transaction, so sums per transaction need no further shuffle. Cards,
-    catalogue and prices are not marked: Spark broadcasts them where their size allows, and
-    otherwise shuffles and splits the hot keys.
+    The two fact tables are merged on the transaction, catalogue and prices on the SKU: they grow
+    with the data and are far larger in memory than Spark takes them to be from the size of
+    their files, so it would broadcast what neither the driver nor a task can hold. Cards are
+    not marked: transactions bucketed by transaction stay where they lie if those are few.
     """
     lines = (
         customer_transactions(tables)
         .drop("transaction_summ")
         .join(tables.checks.hint("merge"), "transaction_id")
-        .join(tables.product_matrix.select("sku_id", "group_id"), "sku_id")
+        .join(tables.product_matrix.select("sku_id", "group_id").hint("merge"), "sku_id")
     )
     if price_join is None:
         return lines
     prices = tables.retail_stores.select(
         "transaction_store_id", "sku_id", "sku_purchase_price", F.lit(True).alias("priced")
     )
-    return lines.join(prices, ["transaction_store_id", "sku_id"], price_join)
+    return lines.join(prices.hint("merge"), ["transaction_store_id", "sku_id"], price_join)
+
+
+def _by_transaction(tables: Tables, price_join: str) -> DataFrame:
+    """Check lines with prices, dealt by transaction to tasks of a bounded number of lines.
+
+    Adaptive execution would merge the partitions down to one per core or to a size in bytes on
+    the wire, and the sums of so many transactions fill a task's memory.
+    """
+    lines, at = check_lines(tables, price_join), ["customer_id", "transaction_id"]
+    parts = -(-tables.checks.count() // LINES_PER_TASK)
+    if parts <= lines.sparkSession.sparkContext.defaultParallelism:
+        return lines.repartition(*at)
+    return lines.repartition(parts, *at)
 
 
 _GRAIN = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]
@@ -72,7 +89,7 @@ def _line_margin(lines: DataFrame) -> Column:
 
 def margin_history(tables: Tables) -> DataFrame:
     """The purchase history with the exact margin of every basket, ``basket_margin``."""
-    lines = check_lines(tables, "inner")
+    lines = _by_transaction(tables, "inner")
     return lines.groupBy(*_GRAIN).agg(
         F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
         F.sum("sku_summ").alias("group_summ"),
@@ -94,7 +111,7 @@ def baskets(tables: Tables) -> DataFrame:
     """
     priced = F.col("priced")
     line_ratio = ratio(F.col("sku_discount"), F.col("sku_summ"))
-    lines = check_lines(tables, "left")
+    lines = _by_transaction(tables, "left")
     return (
         lines.withColumn("line_ratio", line_ratio)
         .groupBy(*_GRAIN)

@@ -1,0 +1,62 @@
+"""Tables that grow with the data are merged, and tasks hold a bounded number of lines."""
+
+from __future__ import annotations
+
+import pytest
+
+from tallystick.operators import offers, purchases
+from tallystick.sources.star import star_tables
+from tests.small import at, tables
+from tests.test_views import line
+
+
+def planned(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_best_margin_skus_merge_prices_and_catalogue(spark, star_folder):
+    plan = planned(offers.best_margin_skus(star_tables(spark, star_folder)))
+    assert "SortMergeJoin [sku_id" in plan and "Broadcast" not in plan
+
+
+def test_sku_shares_merge_the_catalogue(spark, star_folder):
+    plan = planned(offers.sku_shares(star_tables(spark, star_folder)))
+    assert "SortMergeJoin [sku_id" in plan and "BroadcastHashJoin [sku_id" not in plan
+
+
+def test_sku_shares_of_repeated_rows_and_missing_keys(spark):
+    """A SKU listed twice in a group, in two groups, in none; lines without SKU or transaction."""
+    goods = [(101, "a", 1), (101, "a", 1), (102, "b", 1), (102, "b", 2), (201, "c", None), (None, "d", 1)]
+    lines = [line(t, s) for t, s in [(1, 101), (1, 101), (2, 101), (2, 102), (3, 201), (None, 101), (None, 102), (4, None)]]
+    t = tables(spark, product_matrix=goods, checks=lines)
+    got = sorted((r.sku_id, r.group_id, r.sku_share) for r in offers.sku_shares(t).collect())
+    assert got == [(101, 1, 100.0), (102, 1, 50.0), (102, 2, 100.0)]
+    wanted = spark.createDataFrame([(102,), (102,), (None,)], "sku_id long")
+    got = sorted((r.sku_id, r.group_id, r.sku_share) for r in offers.sku_shares(t, wanted).collect())
+    assert got == [(102, 1, 50.0), (102, 2, 100.0)]
+
+
+@pytest.mark.parametrize("price_join", [None, "inner", "left"])
+def test_check_lines_merge_what_grows(spark, star_folder, price_join):
+    plan = planned(purchases.check_lines(star_tables(spark, star_folder), price_join))
+    keys = ["customer_id", "transaction_id", "sku_id"] + ["transaction_store_id"] * bool(price_join)
+    for key in keys:
+        assert f"SortMergeJoin [{key}" in plan and f"BroadcastHashJoin [{key}" not in plan
+
+
+@pytest.mark.parametrize("build", [purchases.purchase_history, purchases.baskets])
+def test_baskets_grow_in_tasks_with_the_lines(spark, star_folder, monkeypatch, build):
+    t = star_tables(spark, star_folder)
+    key = lambda r: repr(tuple(r))
+    few = sorted(build(t).collect(), key=key)
+    monkeypatch.setattr(purchases, "LINES_PER_TASK", 500)
+    many = build(t)
+    parts = -(-t.checks.count() // 500)
+    assert parts > spark.sparkContext.defaultParallelism
+    assert "hashpartitioning(customer_id" in planned(many) and f", {parts}), REPARTITION_BY_NUM" in planned(many)
+    assert sorted(many.collect(), key=key) == few
+
+
+def test_baskets_of_no_lines(spark):
+    t = tables(spark, transactions=[(1, 10, 1.0, at(1), 1)], checks=[])
+    assert purchases.baskets(t).collect() == [] and purchases.purchase_history(t).collect() == []
