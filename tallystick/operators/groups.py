@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallystick.functions.calendar import days_between, hour_slot, moment
 from tallystick.functions.discounts import ratio
-from tallystick.operators.ordering import latest, total_until
+from tallystick.operators.ordering import dealt, latest, total_until
 from tallystick.operators.periods import PAIR, mean, pair_profiles, purchase_frequency
 from tallystick.operators.purchases import history_of
 
@@ -85,7 +85,7 @@ def purchase_spans(history: DataFrame) -> DataFrame:
     )
 
 
-def _visits(history: DataFrame, every_row: bool) -> DataFrame:
+def _visits(history: DataFrame, every_row: bool, parts: int | None) -> DataFrame:
     """Transactions per customer and moment, with the hour as ``_slot``.
 
     One shuffle by (customer, hour) serves all that is counted from here, the totals of the
@@ -96,27 +96,30 @@ def _visits(history: DataFrame, every_row: bool) -> DataFrame:
         history.where(F.col("transaction_datetime").isNotNull())
         .withColumn("_slot", hour_slot(F.col("transaction_datetime")))
         .select(*at, "transaction_id")
-        .repartition("customer_id", "_slot")
     )
+    dated = dealt(dated, ["customer_id", "_slot"], parts)
     # One row per transaction first: a transaction holds one history row per group.
     counted = dated if every_row else dated.distinct()
     return counted.groupBy(*at).agg(F.count("transaction_id").alias("visits"))
 
 
 def group_affinities(
-    history: DataFrame, spans: DataFrame, every_row: bool = False
+    history: DataFrame, spans: DataFrame, every_row: bool = False, parts: int | None = None
 ) -> DataFrame:
     """Transactions with the group over all transactions between its first and last purchase.
 
     Joining each pair to all transactions in its span would multiply the rows of a busy
     customer. Instead both ends of every span look up the running number of transactions:
     those up to the last purchase less those before the first. ``every_row`` counts
-    history rows instead of unique transactions.
+    history rows instead of unique transactions. ``parts``, here and below, is
+    ``purchases.parts_for`` the tables the history comes from.
     """
-    return _with_affinity(spans, history, every_row).select(*PAIR, "group_affinity_index")
+    return _with_affinity(spans, history, every_row, parts).select(*PAIR, "group_affinity_index")
 
 
-def _with_affinity(spans: DataFrame, history: DataFrame, every_row: bool = False) -> DataFrame:
+def _with_affinity(
+    spans: DataFrame, history: DataFrame, every_row: bool = False, parts: int | None = None
+) -> DataFrame:
     """All columns of the spans and the affinity, reading the spans once.
 
     Whatever else a pair carries travels with its first end, so nothing is joined back.
@@ -137,13 +140,14 @@ def _with_affinity(spans: DataFrame, history: DataFrame, every_row: bool = False
         )
     )
     totals = total_until(
-        _visits(history, every_row),
+        _visits(history, every_row, parts),
         ends,
         ["customer_id"],
         "transaction_datetime",
         "visits",
         inclusive=F.col("last"),
         total="until",
+        parts=parts,
     )
     inside = F.sum(F.when(F.col("last"), F.col("until")).otherwise(-F.col("until")))
     # Of the two rows of a pair only the first end has values: the maximum picks them.
@@ -153,11 +157,19 @@ def _with_affinity(spans: DataFrame, history: DataFrame, every_row: bool = False
     )
 
 
-def _moments(history: DataFrame) -> DataFrame:
-    """Purchases per pair and moment; equal moments melt into one row."""
+def _moments(history: DataFrame, parts: int | None) -> DataFrame:
+    """Purchases per pair and moment; equal moments melt into one row.
+
+    Partitioned by pair and hour, as the window over them needs it.
+    """
+    bought = history.where(F.col("group_id").isNotNull()).select(
+        *PAIR,
+        hour_slot(F.col("transaction_datetime")).alias("slot"),
+        "transaction_datetime",
+        "transaction_id",
+    )
     return (
-        history.where(F.col("group_id").isNotNull())
-        .withColumn("slot", hour_slot(F.col("transaction_datetime")))
+        (bought if parts is None else dealt(bought, [*PAIR, "slot"], parts))
         .groupBy(*PAIR, "slot", "transaction_datetime")
         .agg(
             F.count(F.lit(1)).alias("purchases"),
@@ -166,7 +178,7 @@ def _moments(history: DataFrame) -> DataFrame:
     )
 
 
-def purchase_gaps(history: DataFrame) -> DataFrame:
+def purchase_gaps(history: DataFrame, parts: int | None = None) -> DataFrame:
     """Every distinct purchase moment of a pair with the days since the one before.
 
     ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
@@ -181,7 +193,7 @@ def purchase_gaps(history: DataFrame) -> DataFrame:
     over_slots = Window.partitionBy(*PAIR).orderBy("slot")
     # In the same order as the lag, so that one sort and one pass serve both.
     whole_pair = over_slots.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moments = _moments(history).withColumn("previous", F.lag(at).over(in_slot))
+    moments = _moments(history, parts).withColumn("previous", F.lag(at).over(in_slot))
     slots = (
         moments.groupBy(*PAIR, "slot")
         .agg(
@@ -210,12 +222,12 @@ def purchase_gaps(history: DataFrame) -> DataFrame:
     )
 
 
-def group_intervals(history: DataFrame) -> DataFrame:
+def group_intervals(history: DataFrame, parts: int | None = None) -> DataFrame:
     """All gaps between successive purchases of a group, with both deviations from the norm.
 
     Of the transactions at one moment the lowest id carries the gap, the others carry zero.
     """
-    gaps = purchase_gaps(history)
+    gaps = purchase_gaps(history, parts)
     frequency = F.col("group_frequency")
     gap = F.when(F.col("transaction_id") == F.col("opening_transaction"), F.col("gap")).otherwise(
         F.lit(0.0)
@@ -236,7 +248,7 @@ def group_intervals(history: DataFrame) -> DataFrame:
     )
 
 
-def group_stabilities(history: DataFrame) -> DataFrame:
+def group_stabilities(history: DataFrame, parts: int | None = None) -> DataFrame:
     """Average relative deviation of the gaps; NULL after a single purchase."""
     frequency = F.col("group_frequency")
     dated = F.col("transaction_datetime").isNotNull()
@@ -246,7 +258,7 @@ def group_stabilities(history: DataFrame) -> DataFrame:
     )
     gaps = F.sum(F.when(dated, F.col("purchases"))) - 1
     return (
-        purchase_gaps(history)
+        purchase_gaps(history, parts)
         .groupBy(*PAIR)
         .agg(ratio(F.sum(F.when(dated, deviation)), gaps).alias("group_stability_index"))
     )
@@ -340,21 +352,28 @@ def profile_indices(profiles: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
 
 
-def with_affinity(indices: DataFrame, history: DataFrame) -> DataFrame:
-    return _with_affinity(indices, history)
+def with_affinity(
+    indices: DataFrame, history: DataFrame, parts: int | None = None
+) -> DataFrame:
+    return _with_affinity(indices, history, parts=parts)
 
 
-def with_stability(indices: DataFrame, history: DataFrame) -> DataFrame:
-    return indices.join(group_stabilities(history).hint("merge"), PAIR, "left")
+def with_stability(
+    indices: DataFrame, history: DataFrame, parts: int | None = None
+) -> DataFrame:
+    return indices.join(group_stabilities(history, parts).hint("merge"), PAIR, "left")
 
 
 def groups_view(
-    baskets: DataFrame, as_of: dt.datetime, margin: MarginRule | None = None
+    baskets: DataFrame,
+    as_of: dt.datetime,
+    margin: MarginRule | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """All group indices; ``baskets`` is read by several branches, so stage it first.
 
     All branches end partitioned by the pair, so merging them needs no further shuffle.
     """
     history = history_of(baskets)
-    indices = with_affinity(pair_indices(baskets, as_of, margin), history)
-    return with_stability(indices, history).select(*GROUP_COLUMNS)
+    indices = with_affinity(pair_indices(baskets, as_of, margin), history, parts)
+    return with_stability(indices, history, parts).select(*GROUP_COLUMNS)

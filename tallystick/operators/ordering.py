@@ -20,6 +20,14 @@ from tallystick.sources.workspace import staged
 PARTS = 128
 
 
+def dealt(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Partitioned by the keys, into so many parts if given, which stay as many.
+
+    Without a number adaptive execution merges small parts down to one per core.
+    """
+    return df.repartition(*keys) if parts is None else df.repartition(parts, *keys)
+
+
 def total_until(
     counted: DataFrame,
     readers: DataFrame,
@@ -28,6 +36,7 @@ def total_until(
     value: str,
     inclusive: Column,
     total: str,
+    parts: int | None = None,
 ) -> DataFrame:
     """Give every reader the total ``value`` of the key's counted rows before its moment.
 
@@ -36,7 +45,7 @@ def total_until(
     take the running total there; no reader is joined to the rows it counts.
 
     Every reader's moment must lie in an hour with a counted row. ``counted`` holds the hour
-    as ``_slot`` and is best partitioned by keys and hour already.
+    as ``_slot`` and is best partitioned by keys and hour already. ``parts`` is for ``dealt``.
     """
     before, row, after = 0, 1, 2
     step = F.when(inclusive, after).otherwise(before)
@@ -57,8 +66,9 @@ def total_until(
         .orderBy(at, "_step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    placed = together.withColumn("_slot", hour_slot(F.col(at)))
     read = (
-        together.withColumn("_slot", hour_slot(F.col(at)))
+        (placed if parts is None else dealt(placed, [*keys, "_slot"], parts))
         .withColumn("_inside", F.sum(value).over(in_slot))
         .where(F.col("_step") != row)
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystick.functions.discounts import ratio
+from tallystick.operators.ordering import dealt
 from tallystick.sources.tables import Tables
 
 HISTORY_COLUMNS = [
@@ -20,10 +21,20 @@ HISTORY_COLUMNS = [
 ]
 
 
-# Lines of which a task keeps sums per transaction.
+# Check lines, or rows made of them, of which a task keeps sums.
 LINES_PER_TASK = 250_000
 
 
+def parts_for(tables: Tables) -> int | None:
+    """Into how many parts to deal the check lines; none if they are few for every core.
+
+    Adaptive execution would merge partitions down to one per core or to a size in bytes on
+    the wire, and sums and sorts of so many rows fill a task's memory.
+    """
+    parts = -(-tables.checks.count() // LINES_PER_TASK)
+    return parts if parts > tables.checks.sparkSession.sparkContext.defaultParallelism else None
+
+
 def card_owners(tables: Tables) -> DataFrame:
     """Cards of known customers."""
     return tables.customer_cards.join(
@@ -61,16 +72,9 @@ def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
 
 
 def _by_transaction(tables: Tables, price_join: str) -> DataFrame:
-    """Check lines with prices, dealt by transaction to tasks of a bounded number of lines.
-
-    Adaptive execution would merge the partitions down to one per core or to a size in bytes on
-    the wire, and the sums of so many transactions fill a task's memory.
-    """
-    lines, at = check_lines(tables, price_join), ["customer_id", "transaction_id"]
-    parts = -(-tables.checks.count() // LINES_PER_TASK)
-    if parts <= lines.sparkSession.sparkContext.defaultParallelism:
-        return lines.repartition(*at)
-    return lines.repartition(parts, *at)
+    """Check lines with prices, dealt by transaction to tasks of a bounded number of lines."""
+    lines = check_lines(tables, price_join)
+    return dealt(lines, ["customer_id", "transaction_id"], parts_for(tables))
 
 
 _GRAIN = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]

@@ -59,6 +59,10 @@ class LoyaltyModel:
     def baskets(self) -> DataFrame:
         return self.workspace.staged(purchases.baskets(self.tables), "baskets")
 
+    @cached_property
+    def parts(self) -> int | None:
+        return purchases.parts_for(self.tables)
+
     @cached_property
     def purchase_history(self) -> DataFrame:
         return purchases.history_of(self.baskets)
@@ -86,14 +90,14 @@ class LoyaltyModel:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return groups.groups_view(self.baskets, self.as_of, self.margin)
+        return groups.groups_view(self.baskets, self.as_of, self.margin, self.parts)
 
     def _eligible(self, baskets: DataFrame, reward: offers.Reward) -> DataFrame:
         return offers.eligible_groups(groups.pair_indices(baskets, self.as_of), reward)
 
     def _best(self, reward: offers.Reward) -> DataFrame:
         eligible = self._eligible(self.baskets, reward)
-        return offers.best_groups(groups.with_affinity(eligible, self.purchase_history))
+        return offers.best_groups(groups.with_affinity(eligible, self.purchase_history, self.parts))
 
     def _all_eligible(self, reward: offers.Reward) -> DataFrame:
         """Reads the baskets once, so they are not staged for this alone."""
@@ -193,8 +197,8 @@ class LoyaltyModel:
         )
         indices = groups.pair_indices(self.baskets, self.as_of)
         living = offers.living_groups(indices, params)
-        known = groups.with_affinity(living, self.purchase_history)
-        known = groups.with_stability(known, self.purchase_history)
+        known = groups.with_affinity(living, self.purchase_history, self.parts)
+        known = groups.with_stability(known, self.purchase_history, self.parts)
         steady = offers.steady_groups(known, params)
         offered = offers.cross_sell_offers(self.tables, steady, self.primary_stores, params)
         return offered if with_ids else offered.drop("sku_id", "group_id")

@@ -233,13 +233,13 @@ def _purchases(m):
 @_query
 def group_affinity(m):
     history = _purchases(m)
-    return groups.group_affinities(history, groups.purchase_spans(history))
+    return groups.group_affinities(history, groups.purchase_spans(history), parts=m.parts)
 
 
 @_query
 def group_affinity_rows(m):
     history = _purchases(m)
-    return groups.group_affinities(history, groups.purchase_spans(history), every_row=True)
+    return groups.group_affinities(history, groups.purchase_spans(history), every_row=True, parts=m.parts)
 
 
 @_query
@@ -249,13 +249,13 @@ def group_churn(m):
 
 @_query
 def group_intervals(m):
-    return groups.group_intervals(_purchases(m))
+    return groups.group_intervals(_purchases(m), m.parts)
 
 
 @_query
 def group_stability(m):
     # Both branches start from one and the same shuffle, so nothing is staged.
-    return groups.group_stabilities(purchases.purchase_history(m.tables))
+    return groups.group_stabilities(purchases.purchase_history(m.tables), m.parts)
 
 
 def _margin(m, rule):
@@ -310,7 +310,7 @@ def groups_view(m):
 @_query
 def groups_view_recent_margin(m):
     recent = groups.MarginRule(2, RECENT_PURCHASES)
-    return groups.groups_view(m.baskets, m.as_of, recent)
+    return groups.groups_view(m.baskets, m.as_of, recent, m.parts)
 
 
 # --- offers -----------------------------------------------------------------------------

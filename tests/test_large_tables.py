@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from tallystick.operators import offers, purchases
+from tallystick.operators import groups, offers, purchases
 from tallystick.sources.star import star_tables
 from tests.small import at, tables
 from tests.test_views import line
@@ -60,3 +60,20 @@ def test_baskets_grow_in_tasks_with_the_lines(spark, star_folder, monkeypatch, b
 def test_baskets_of_no_lines(spark):
     t = tables(spark, transactions=[(1, 10, 1.0, at(1), 1)], checks=[])
     assert purchases.baskets(t).collect() == [] and purchases.purchase_history(t).collect() == []
+
+
+PER_PAIR = {
+    "stability": lambda h, parts: groups.group_stabilities(h, parts),
+    "intervals": lambda h, parts: groups.group_intervals(h, parts),
+    "affinity": lambda h, parts: groups.group_affinities(h, groups.purchase_spans(h), parts=parts),
+    "affinity of rows": lambda h, parts: groups.group_affinities(h, groups.purchase_spans(h), True, parts),
+}
+
+
+@pytest.mark.parametrize("name", PER_PAIR)
+def test_steps_per_hour_keep_their_number_of_parts(spark, star_folder, name):
+    history = purchases.purchase_history(star_tables(spark, star_folder))
+    tell = lambda frame: sorted(repr(tuple(f"{v:.9g}" if isinstance(v, float) else v for v in r)) for r in frame.collect())
+    many = PER_PAIR[name](history, 23)
+    assert "slot#" in planned(many) and ", 23), REPARTITION_BY_NUM" in planned(many)
+    assert tell(many) == tell(PER_PAIR[name](history, None))
