@@ -212,7 +212,8 @@ def primary_stores(store_visits: DataFrame, loyal: DataFrame) -> DataFrame:
             F.col("transaction_store_id").asc_nulls_last(),
         ],
     )
-    return most_visited.join(loyal.withColumn("_loyal", F.lit(True)), "customer_id", "left").select(
+    loyal = loyal.withColumn("_loyal", F.lit(True)).hint("merge")
+    return most_visited.join(loyal, "customer_id", "left").select(
         "customer_id",
         F.when(F.col("_loyal"), F.col("loyal_store"))
         .otherwise(F.col("transaction_store_id"))

@@ -121,7 +121,7 @@ def target_checks(tables: Tables, check: AverageCheck) -> DataFrame:
 def average_check_offers(tables: Tables, rewarded: DataFrame, check: AverageCheck) -> DataFrame:
     """Target check and discount for every rewarded group, best or merely eligible."""
     return (
-        rewarded.join(target_checks(tables, check), "customer_id")
+        rewarded.join(target_checks(tables, check).hint("merge"), "customer_id")
         .join(tables.sku_groups, "group_id")
         .select("customer_id", "required_check_measure", "group_name", "offer_discount_depth")
     )
@@ -141,11 +141,12 @@ def visit_growth_offers(
     frequency zero have no expected number of visits and get no offer.
     """
     expected = ratio(days_between(moment(start), moment(end)), F.col("customer_frequency"))
+    frequencies = customers.select("customer_id", "customer_frequency")
     if not to_datetime(end) > to_datetime(start):
         raise ValueError("the last moment must be later than the first")
     required = F.round(settled(expected)).cast("long") + F.lit(added_transactions)
     return (
-        rewarded.join(customers.select("customer_id", "customer_frequency"), "customer_id")
+        rewarded.join(frequencies.hint("merge"), "customer_id")
         .where(F.col("customer_frequency") != 0)
         .join(tables.sku_groups, "group_id")
         .select(
@@ -250,7 +251,7 @@ def cross_sell_offers(
     # A store without any transaction cannot be a primary store.
     offered = (
         first_per_key(groups, ["customer_id"], _affinity_order(), params.number_of_groups)
-        .join(primary_stores, "customer_id")
+        .join(primary_stores.hint("merge"), "customer_id")
         .withColumnRenamed("customer_primary_store", "transaction_store_id")
         .join(best, ["transaction_store_id", "group_id"])
         .withColumn("offer_discount_depth", depth)

@@ -43,10 +43,16 @@ def card_owners(tables: Tables) -> DataFrame:
 
 
 def customer_transactions(tables: Tables) -> DataFrame:
-    """Transactions of all cards of every known customer."""
-    return tables.transactions.join(card_owners(tables), "customer_card_id").drop(
-        "customer_card_id"
-    )
+    """Transactions of all cards of every known customer.
+
+    Cards are merged: both sides grow with the data, and Spark would broadcast whichever is small
+    on the wire, transactions included. They carry no hint if transactions lie bucketed by
+    transaction, which then stay where they are as long as the cards are few.
+    """
+    owners = card_owners(tables)
+    return tables.transactions.join(
+        owners if tables.bucketed else owners.hint("merge"), "customer_card_id"
+    ).drop("customer_card_id")
 
 
 def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
@@ -54,8 +60,7 @@ def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
 
     The two fact tables are merged on the transaction, catalogue and prices on the SKU: they grow
     with the data and are far larger in memory than Spark takes them to be from the size of
-    their files, so it would broadcast what neither the driver nor a task can hold. Cards are
-    not marked: transactions bucketed by transaction stay where they lie if those are few.
+    their files, so it would broadcast what neither the driver nor a task can hold.
     """
     lines = (
         customer_transactions(tables)

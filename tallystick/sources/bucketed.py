@@ -6,8 +6,6 @@ of a transaction in one place. Written so once, they are read so by every later
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 
 from tallystick.sources.tables import Tables
@@ -31,10 +29,16 @@ def bucketed(df: DataFrame, workspace: Workspace, label: str, key: str, buckets:
     return df.sparkSession.table(name)
 
 
+class BucketedTables(Tables):
+    """Tables whose transactions and check lines lie bucketed by transaction."""
+
+    bucketed = True
+
+
 def with_bucketed_facts(tables: Tables, workspace: Workspace, buckets: int) -> Tables:
     """The tables with both fact tables bucketed alike; the others stay as they are."""
-    return replace(
-        tables,
-        transactions=bucketed(tables.transactions, workspace, "transactions", KEY, buckets),
-        checks=bucketed(tables.checks, workspace, "checks", KEY, buckets),
-    )
+    facts = {
+        name: bucketed(tables[name], workspace, name, KEY, buckets)
+        for name in ("transactions", "checks")
+    }
+    return BucketedTables(**(dict(tables.items()) | facts))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -200,6 +201,9 @@ def spec_of(table_name: str) -> TableSpec:
 class Tables:
     """The eight logical tables as DataFrames, whatever they were read from."""
 
+    # Whether both fact tables are stored bucketed by transaction, see ``sources.bucketed``.
+    bucketed: ClassVar[bool] = False
+
     personal_details: DataFrame
     customer_cards: DataFrame
     transactions: DataFrame

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tallystick.operators import groups, offers, purchases
+from tallystick.plans.model import LoyaltyModel
 from tallystick.sources.star import star_tables
 from tests.small import at, tables
 from tests.test_views import line
@@ -77,3 +78,29 @@ def test_steps_per_hour_keep_their_number_of_parts(spark, star_folder, name):
     many = PER_PAIR[name](history, 23)
     assert "slot#" in planned(many) and ", 23), REPARTITION_BY_NUM" in planned(many)
     assert tell(many) == tell(PER_PAIR[name](history, None))
+
+
+def broadcast_keys(frame) -> set[str]:
+    plan = planned(frame)
+    return {key for key in ("customer_card_id", "customer_id") if f"BroadcastHashJoin [{key}" in plan}
+
+
+def test_cards_are_merged(spark, star_folder):
+    """Neither cards nor transactions reach the driver, however small they are on the wire."""
+    frame = purchases.customer_transactions(star_tables(spark, star_folder))
+    assert "SortMergeJoin [customer_card_id" in planned(frame) and "Broadcast" not in planned(frame)
+
+
+def test_offers_merge_what_has_a_row_per_customer(spark, star_folder):
+    model = LoyaltyModel(spark, star_tables(spark, star_folder))
+    built = [
+        model.primary_stores,
+        model.generate_cross_selling(5, 10, 1.0, 1.2, 30),
+        model.generate_personal_offer(2, 100, 1.15, 3, 70, 30),
+        model.generate_growth_offers("20.06.2022", "25.08.2022"),
+    ]
+    model.register_functions()
+    calls = ("cross_selling()", "personal_offer(2, 100, 1.15, 3, 70, 30)", "growth_offers('20.06.2022', '25.08.2022')")
+    built += [spark.sql(f"SELECT * FROM generate_{call}") for call in calls]
+    assert [broadcast_keys(frame) for frame in built] == [set()] * len(built)
+    model.release()
