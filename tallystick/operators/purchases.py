@@ -42,7 +42,7 @@ def card_owners(tables: Tables) -> DataFrame:
     ).select("customer_card_id", "customer_id")
 
 
-def customer_transactions(tables: Tables) -> DataFrame:
+def customer_transactions(tables: Tables, merged: bool = True) -> DataFrame:
     """Transactions of all cards of every known customer.
 
     Cards are merged: both sides grow with the data, and Spark would broadcast whichever is small
@@ -51,7 +51,7 @@ def customer_transactions(tables: Tables) -> DataFrame:
     """
     owners = card_owners(tables)
     return tables.transactions.join(
-        owners if tables.bucketed else owners.hint("merge"), "customer_card_id"
+        owners.hint("merge") if merged and not tables.bucketed else owners, "customer_card_id"
     ).drop("customer_card_id")
 
 

@@ -160,11 +160,12 @@ def _best_skus(model: LoyaltyModel):
     return model.workspace.staged(best.join(shares, "sku_id", "left"), "best-skus")
 
 
-# What has rows per customer carries the hint with it, up to the join with the offers.
+# Frequencies and stores carry the hint with them, up to the join with the offers. Transactions must not:
+# merged, a period without any of them leaves no row to raise the error of a wrong call.
 VIEWS: dict[str, Callable] = {
     "loyalty_pairs": _pairs,
     "loyalty_history": lambda model: history_of(model.baskets, "basket_margin").where("group_id IS NOT NULL"),
-    "loyalty_transactions": lambda model: customer_transactions(model.tables).hint("merge"),
+    "loyalty_transactions": lambda model: customer_transactions(model.tables, merged=False),
     "loyalty_frequencies": lambda model: model.customer_frequencies.select("customer_id", "customer_frequency").hint("merge"),
     "loyalty_primary_stores": lambda model: model.primary_stores.hint("merge"),
     "loyalty_best_skus": _best_skus,
