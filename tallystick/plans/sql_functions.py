@@ -160,8 +160,7 @@ def _best_skus(model: LoyaltyModel):
     return model.workspace.staged(best.join(shares, "sku_id", "left"), "best-skus")
 
 
-# Frequencies and stores carry the hint with them, up to the join with the offers. Transactions must not:
-# merged, a period without any of them leaves no row to raise the error of a wrong call.
+# Frequencies and stores carry the hint with them, up to the join with the offers.
 VIEWS: dict[str, Callable] = {
     "loyalty_pairs": _pairs,
     "loyalty_history": lambda model: history_of(model.baskets, "basket_margin").where("group_id IS NOT NULL"),
