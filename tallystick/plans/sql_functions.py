@@ -71,10 +71,14 @@ def _personal_offer(model: LoyaltyModel) -> str:
     churn, share = by_method("argument_4", "argument_3"), by_method("argument_5", "argument_4")
     number = "try_cast(argument_1 AS INT)"
     quantity = by_method("CAST(NULL AS INT)", _checked(number, f"{number} >= 1", "method 2 needs a number of transactions"))
+    forward = (f"{last} > {first}", "the last date must be later than the first")
+    # Checked on both sides of the join: no transaction lies in a period that runs backwards, and once
+    # that side is known to be empty nothing is left of the other.
+    inside = _checked(f"transaction_datetime BETWEEN {first} AND {last}", *forward)
     chosen = f"""CASE chosen_method
-        WHEN 1 THEN transaction_datetime BETWEEN {by_method(first, "NULL")} AND {by_method(last, "NULL")}
+        WHEN 1 THEN {by_method(inside, "NULL")}
         ELSE place <= {quantity} END"""
-    period = by_method(_required(f"{last} > {first}", "the last date must be later than the first"), "true")
+    period = by_method(_required(*forward), "true")
     return f"""
         generate_personal_offer(chosen_method INT, argument_1 STRING, argument_2 STRING, argument_3 DOUBLE, argument_4 DOUBLE,
             argument_5 DOUBLE, argument_6 DOUBLE DEFAULT NULL)

@@ -67,6 +67,16 @@ def test_wrong_calls_fail(spark, model, call):
         spark.sql(f"SELECT * FROM {call}").collect()
 
 
+def test_a_backward_period_fails_whichever_side_ends_first(spark, model):
+    """Pairs and transactions both raise the error, so neither can turn out empty and cancel the other."""
+    frame = spark.sql("SELECT * FROM generate_personal_offer(1, '2021-01-01', '2020-01-01', 1, 30, 700, 300)")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("raise_error" in line for line in plan.splitlines()) == 2
+    for _ in range(3):
+        with pytest.raises(Exception, match="the last date must be later"):
+            frame.collect()
+
+
 def test_only_the_asked_for(spark):
     small = LoyaltyModel(spark, tables(spark), AS_OF)
     small.register_functions("fnc_count_margin")
