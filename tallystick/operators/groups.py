@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystick.functions.calendar import days_between, hour_slot, moment
@@ -117,18 +117,24 @@ def group_affinities(
     return _with_affinity(spans, history, every_row, parts).select(*PAIR, "group_affinity_index")
 
 
+# What a pair's affinity is found by; of no use once it is known.
+_SPAN = ("first_group_purchase_date", "last_group_purchase_date")
+SPAN_COLUMNS = [*PAIR, *_SPAN, "group_purchase"]
+
+
 def _with_affinity(
     spans: DataFrame, history: DataFrame, every_row: bool = False, parts: int | None = None
 ) -> DataFrame:
-    """All columns of the spans and the affinity, reading the spans once.
+    """The affinity and all columns of the spans but the dates, reading the spans once.
 
-    Whatever else a pair carries travels with its first end, so nothing is joined back.
+    Whatever else a pair carries travels with its first end, so nothing is joined back. It
+    crosses two shuffles: callers drop what they do not need.
     """
     both_ends = F.array(
         F.struct(F.col("first_group_purchase_date").alias("at"), F.lit(False).alias("last")),
         F.struct(F.col("last_group_purchase_date").alias("at"), F.lit(True).alias("last")),
     )
-    carried = [c for c in spans.columns if c not in PAIR]
+    carried = [c for c in spans.columns if c not in (*PAIR, *_SPAN)]
     ends = (
         spans.where(F.col("first_group_purchase_date").isNotNull())
         .select(*PAIR, *carried, F.explode(both_ends).alias("end"))
@@ -178,15 +184,11 @@ def _moments(history: DataFrame, parts: int | None) -> DataFrame:
     )
 
 
-def purchase_gaps(history: DataFrame, parts: int | None = None) -> DataFrame:
-    """Every distinct purchase moment of a pair with the days since the one before.
+def _slots(history: DataFrame, parts: int | None) -> tuple[DataFrame, DataFrame]:
+    """Purchases per pair and moment with the moment before in the same hour, and the hours of
+    every pair with the last moment of the hour before and the pair's frequency.
 
-    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
-    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps.
-
-    Two levels, as in ``ordering``: the moment before in the same hour, else the last one
-    of the hour before. A pair has at most one row per hour at the second level, however
-    many purchases it holds.
+    A pair has at most one row per hour at the second level, however many purchases it holds.
     """
     at = F.col("transaction_datetime")
     in_slot = Window.partitionBy(*PAIR, "slot").orderBy(at)
@@ -200,10 +202,14 @@ def purchase_gaps(history: DataFrame, parts: int | None = None) -> DataFrame:
             F.min(F.when(F.col("previous").isNull(), at)).alias("opening"),
             F.max(at).alias("closing"),
             F.sum("purchases").alias("in_slot"),
+            F.sum(F.when(at.isNotNull(), F.col("purchases")).otherwise(0)).alias("dated"),
         )
         .select(
             *PAIR,
             "slot",
+            "opening",
+            "closing",
+            "dated",
             F.lag("closing").over(over_slots).alias("before_slot"),
             purchase_frequency(
                 F.min("opening").over(whole_pair),
@@ -212,13 +218,31 @@ def purchase_gaps(history: DataFrame, parts: int | None = None) -> DataFrame:
             ).alias("group_frequency"),
         )
     )
-    return moments.join(slots.hint("merge"), [*PAIR, "slot"]).select(
+    return moments, slots
+
+
+def purchase_gaps(history: DataFrame, parts: int | None = None) -> DataFrame:
+    """Every distinct purchase moment of a pair with the days since the one before.
+
+    ``gap`` is NULL at the first moment. ``purchases`` made at the same moment stand for
+    ``purchases - 1`` further gaps of zero days. A moment that is NULL has no gaps.
+
+    Two levels, as in ``ordering``: the moment before in the same hour, else the last one
+    of the hour before.
+    """
+    moments, slots = _slots(history, parts)
+    return moments.join(
+        slots.select(*PAIR, "slot", "before_slot", "group_frequency").hint("merge"),
+        [*PAIR, "slot"],
+    ).select(
         *PAIR,
         "transaction_datetime",
         "purchases",
         "opening_transaction",
         "group_frequency",
-        days_between(F.coalesce("previous", "before_slot"), at).alias("gap"),
+        days_between(
+            F.coalesce("previous", "before_slot"), F.col("transaction_datetime")
+        ).alias("gap"),
     )
 
 
@@ -250,12 +274,9 @@ def group_intervals(history: DataFrame, parts: int | None = None) -> DataFrame:
 
 def group_stabilities(history: DataFrame, parts: int | None = None) -> DataFrame:
     """Average relative deviation of the gaps; NULL after a single purchase."""
-    frequency = F.col("group_frequency")
     dated = F.col("transaction_datetime").isNotNull()
     # A gap of zero deviates by exactly one frequency.
-    deviation = F.coalesce(F.abs(F.col("gap") - frequency) / frequency, F.lit(0.0)) + (
-        F.col("purchases") - 1
-    )
+    deviation = _relative_deviation(F.col("gap")) + (F.col("purchases") - 1)
     gaps = F.sum(F.when(dated, F.col("purchases"))) - 1
     return (
         purchase_gaps(history, parts)
@@ -264,6 +285,51 @@ def group_stabilities(history: DataFrame, parts: int | None = None) -> DataFrame
     )
 
 
+def slot_stabilities(history: DataFrame, parts: int | None = None) -> DataFrame:
+    """The same as ``group_stabilities`` with one shuffle of the rows per pair and hour, not three.
+
+    Gaps inside an hour are shorter than an hour. If the frequency is not, they add up to the
+    time from the hour's first purchase to its last, so rows per pair and hour are enough. Only
+    pairs with more than a purchase an hour are joined to their moments again.
+    """
+    dated = F.col("dated")
+    moments, slots = _slots(history.where(F.col("customer_id").isNotNull()), parts)
+    frequency = F.col("group_frequency")
+    # A gap of zero, as of every further purchase at one moment, deviates by one frequency.
+    inside = dated - 1 - days_between(F.col("opening"), F.col("closing")) / frequency
+    first = _relative_deviation(days_between(F.col("before_slot"), F.col("opening")))
+    stable = slots.groupBy(*PAIR).agg(
+        F.sum(F.when(dated > 0, first + inside)).alias("deviation"), F.sum(dated).alias("dated")
+    )
+    dense = (
+        moments.join(
+            slots.where((frequency < 1 / 24) & (dated > 0))
+            .select(*PAIR, "slot", "before_slot", "group_frequency")
+            .hint("merge"),
+            [*PAIR, "slot"],
+        )
+        .withColumn(
+            "deviation",
+            _relative_deviation(
+                days_between(F.coalesce("previous", "before_slot"), F.col("transaction_datetime"))
+            )
+            + (F.col("purchases") - 1),
+        )
+        .groupBy(*PAIR)
+        .agg(F.sum("deviation").alias("dense_deviation"))
+    )
+    deviation = F.coalesce("dense_deviation", "deviation")
+    return stable.join(dense.hint("merge"), PAIR, "left").select(
+        *PAIR, ratio(deviation, dated - 1).alias("group_stability_index")
+    )
+
+
+def _relative_deviation(gap: Column) -> Column:
+    """Of a gap from the frequency; zero if there is none."""
+    frequency = F.col("group_frequency")
+    return F.coalesce(F.abs(gap - frequency) / frequency, F.lit(0.0))
+
+
 def group_churns(profiles: DataFrame, as_of: dt.datetime) -> DataFrame:
     return profiles.select(*PAIR, _churn_rate(as_of).alias("group_churn_rate"))
 
@@ -361,7 +427,7 @@ def with_affinity(
 def with_stability(
     indices: DataFrame, history: DataFrame, parts: int | None = None
 ) -> DataFrame:
-    return indices.join(group_stabilities(history, parts).hint("merge"), PAIR, "left")
+    return indices.join(slot_stabilities(history, parts).hint("merge"), PAIR, "left")
 
 
 def groups_view(
@@ -375,5 +441,7 @@ def groups_view(
     All branches end partitioned by the pair, so merging them needs no further shuffle.
     """
     history = history_of(baskets)
-    indices = with_affinity(pair_indices(baskets, as_of, margin), history, parts)
+    # No index of the view, and of no use for one: the averages would cross three shuffles.
+    indices = pair_indices(baskets, as_of, margin).drop("average_summ", "average_cost")
+    indices = with_affinity(indices, history, parts)
     return with_stability(indices, history, parts).select(*GROUP_COLUMNS)

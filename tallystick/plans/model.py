@@ -96,7 +96,7 @@ class LoyaltyModel:
         return offers.eligible_groups(groups.pair_indices(baskets, self.as_of), reward)
 
     def _best(self, reward: offers.Reward) -> DataFrame:
-        eligible = self._eligible(self.baskets, reward)
+        eligible = self._eligible(self.baskets, reward).select(*groups.SPAN_COLUMNS, "offer_discount_depth")
         return offers.best_groups(groups.with_affinity(eligible, self.purchase_history, self.parts))
 
     def _all_eligible(self, reward: offers.Reward) -> DataFrame:
@@ -196,7 +196,9 @@ class LoyaltyModel:
             number_of_groups, max_churn, max_stability, max_sku_share, margin_share
         )
         indices = groups.pair_indices(self.baskets, self.as_of)
-        living = offers.living_groups(indices, params)
+        living = offers.living_groups(indices, params).select(
+            *groups.SPAN_COLUMNS, "group_minimum_discount"
+        )
         known = groups.with_affinity(living, self.purchase_history, self.parts)
         known = groups.with_stability(known, self.purchase_history, self.parts)
         steady = offers.steady_groups(known, params)

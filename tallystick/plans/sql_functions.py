@@ -151,8 +151,9 @@ FUNCTIONS: dict[str, tuple[Callable[[LoyaltyModel], str], tuple[str, ...]]] = {
 
 
 def _pairs(model: LoyaltyModel):
-    """Every pair with all indices, staged: what no filter can pass is worked out once for all calls."""
-    indices = groups.pair_indices(model.baskets, model.as_of)
+    """Every pair with the indices the functions read, staged: what no filter can pass is worked out
+    once for all calls."""
+    indices = groups.pair_indices(model.baskets, model.as_of).drop("group_margin", "group_average_discount")
     known = groups.with_affinity(indices, model.purchase_history, model.parts)
     steady = groups.with_stability(known, model.purchase_history, model.parts)
     return model.workspace.staged(steady, "pairs")

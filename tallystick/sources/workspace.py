@@ -23,6 +23,22 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+# Shuffle files of a write go when it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, folder: str) -> None:
+    """Write the frame and delete what its shuffles left on the executors' disks.
+
+    Runs in a copy of the session, so the session's own settings stay as they are.
+    """
+    session = df.sparkSession
+    copy = session._jsparkSession.cloneSession()
+    copy.conf().set(_CLEANUP, "true")
+    frame = session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(copy, df._jdf.logicalPlan())
+    frame.write().option("compression", "zstd").parquet(folder)
+
+
 _RUN = uuid.uuid4().hex
 _ACTIVE: contextvars.ContextVar[Workspace | None] = contextvars.ContextVar("workspace", default=None)
 _ALL: weakref.WeakSet[Workspace] = weakref.WeakSet()
@@ -64,10 +80,10 @@ class Workspace:
         """Write once, read many times.
 
         Cuts the lineage, survives the loss of executors, and keeps column pruning and
-        size statistics for the plans that read it back.
+        size statistics for the plans that read it back. The shuffles that led here are deleted.
         """
         folder = self.new_folder(label)
-        df.write.parquet(folder)
+        _write(df, folder)
         return df.sparkSession.read.schema(df.schema).parquet(folder)
 
     def release(self) -> None:
