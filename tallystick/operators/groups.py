@@ -13,6 +13,7 @@ from tallystick.functions.discounts import ratio
 from tallystick.operators.ordering import dealt, latest, total_until
 from tallystick.operators.periods import PAIR, mean, pair_profiles, purchase_frequency
 from tallystick.operators.purchases import history_of
+from tallystick.sources.workspace import staged
 
 GROUP_COLUMNS = [
     *PAIR,
@@ -397,7 +398,7 @@ def pair_indices(
     rule = margin or MarginRule()
     indices = profile_indices(pair_profiles(baskets, rule.since(as_of)), as_of)
     if rule.latest_only:
-        recent = group_margins(history_of(baskets, "basket_margin"), rule, as_of)
+        recent = staged(group_margins(history_of(baskets, "basket_margin"), rule, as_of), "margins")
         indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
     return indices
 
@@ -421,13 +422,16 @@ def profile_indices(profiles: DataFrame, as_of: dt.datetime) -> DataFrame:
 def with_affinity(
     indices: DataFrame, history: DataFrame, parts: int | None = None
 ) -> DataFrame:
-    return _with_affinity(indices, history, parts=parts)
+    """The indices are staged: the shuffles of their sums are gone before those of the ends."""
+    return _with_affinity(staged(indices, "indices"), history, parts=parts)
 
 
 def with_stability(
     indices: DataFrame, history: DataFrame, parts: int | None = None
 ) -> DataFrame:
-    return indices.join(slot_stabilities(history, parts).hint("merge"), PAIR, "left")
+    """The stability is staged: its shuffles are gone before those of the indices are written."""
+    stabilities = staged(slot_stabilities(history, parts), "stabilities")
+    return indices.join(stabilities.hint("merge"), PAIR, "left")
 
 
 def groups_view(
@@ -438,7 +442,7 @@ def groups_view(
 ) -> DataFrame:
     """All group indices; ``baskets`` is read by several branches, so stage it first.
 
-    All branches end partitioned by the pair, so merging them needs no further shuffle.
+    Each branch is staged before the next one shuffles, so that the disk holds one at a time.
     """
     history = history_of(baskets)
     # No index of the view, and of no use for one: the averages would cross three shuffles.

@@ -76,10 +76,9 @@ def check_lines(tables: Tables, price_join: str | None = None) -> DataFrame:
     return lines.join(prices.hint("merge"), ["transaction_store_id", "sku_id"], price_join)
 
 
-def _by_transaction(tables: Tables, price_join: str) -> DataFrame:
+def _by_transaction(lines: DataFrame, parts: int | None) -> DataFrame:
     """Check lines with prices, dealt by transaction to tasks of a bounded number of lines."""
-    lines = check_lines(tables, price_join)
-    return dealt(lines, ["customer_id", "transaction_id"], parts_for(tables))
+    return dealt(lines, ["customer_id", "transaction_id"], parts)
 
 
 _GRAIN = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]
@@ -98,7 +97,7 @@ def _line_margin(lines: DataFrame) -> Column:
 
 def margin_history(tables: Tables) -> DataFrame:
     """The purchase history with the exact margin of every basket, ``basket_margin``."""
-    lines = _by_transaction(tables, "inner")
+    lines = _by_transaction(check_lines(tables, "inner"), parts_for(tables))
     return lines.groupBy(*_GRAIN).agg(
         F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
         F.sum("sku_summ").alias("group_summ"),
@@ -115,12 +114,26 @@ def purchase_history(tables: Tables) -> DataFrame:
 def baskets(tables: Tables) -> DataFrame:
     """The purchase history plus what the lines say about discounts, in one pass.
 
+    See ``baskets_of`` for the columns.
+    """
+    return baskets_of(basket_lines(tables), parts_for(tables))
+
+
+def basket_lines(tables: Tables) -> DataFrame:
+    """Every check line with a price where there is one: what baskets are summed from."""
+    lines = check_lines(tables, "left")
+    return lines.drop("transaction_store_id", "sku_id")
+
+
+def baskets_of(lines: DataFrame, parts: int | None = None) -> DataFrame:
+    """The baskets of ``basket_lines``, dealt into ``parts_for`` their tables.
+
     Costs and sums count priced lines only, discounts count every line. A basket
     without any priced line (``priced_lines`` = 0) is not part of the history.
     """
     priced = F.col("priced")
     line_ratio = ratio(F.col("sku_discount"), F.col("sku_summ"))
-    lines = _by_transaction(tables, "left")
+    lines = _by_transaction(lines, parts)
     return (
         lines.withColumn("line_ratio", line_ratio)
         .groupBy(*_GRAIN)

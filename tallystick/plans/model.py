@@ -57,7 +57,11 @@ class LoyaltyModel:
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return self.workspace.staged(purchases.baskets(self.tables), "baskets")
+        """Staged by way of the lines, so that the shuffles of the joins are gone before the sums'."""
+        lines = self.workspace.staged(purchases.basket_lines(self.tables), "lines")
+        baskets = self.workspace.staged(purchases.baskets_of(lines, self.parts), "baskets")
+        self.workspace.discard(lines)
+        return baskets
 
     @cached_property
     def parts(self) -> int | None:
@@ -89,6 +93,7 @@ class LoyaltyModel:
         return customers.customer_metrics(customers.store_visits(self.tables), self.as_of)
 
     @cached_property
+    @_staging
     def groups(self) -> DataFrame:
         return groups.groups_view(self.baskets, self.as_of, self.margin, self.parts)
 

@@ -58,6 +58,7 @@ class Workspace:
         self._configuration = spark._jsc.hadoopConfiguration()
         self._jvm = spark._jvm
         self._folders: list[str] = []
+        self._staged: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
         self._outer: list[contextvars.Token] = []
         _ALL.add(self)
         if self.root not in _ROOTS:
@@ -84,7 +85,15 @@ class Workspace:
         """
         folder = self.new_folder(label)
         _write(df, folder)
-        return df.sparkSession.read.schema(df.schema).parquet(folder)
+        staged = df.sparkSession.read.schema(df.schema).parquet(folder)
+        self._staged[staged] = folder
+        return staged
+
+    def discard(self, staged: DataFrame) -> None:
+        """Delete a table that ``staged`` returned, when nothing will read it any more."""
+        folder = self._staged.pop(staged)
+        self._folders.remove(folder)
+        self._remove(folder)
 
     def release(self) -> None:
         """Delete this owner's tables; frames that still read them stop working."""

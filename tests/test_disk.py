@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import random
 import time
 
 from pyspark.sql import functions as F
 
-from tallystick.operators import groups
+from tallystick.operators import groups, purchases
 from tallystick.plans.model import LoyaltyModel
 from tallystick.sources.star import star_tables
 from tallystick.sources.workspace import Workspace
-from tests.small import at
+from tests.small import at, tables
+from tests.test_views import line
 
 
 def shuffles(spark) -> set[str]:
@@ -70,16 +72,53 @@ def test_stabilities_of_hours_are_those_of_moments(spark):
     assert tell(groups.slot_stabilities(history, 7)) == moments
 
 
+def test_views_leave_no_shuffles_of_their_branches(spark, star_folder):
+    """Baskets by way of lines that are deleted; each branch staged before the next one shuffles."""
+    before = shuffles(spark)
+    model = LoyaltyModel(spark, star_tables(spark, star_folder), margin=groups.MarginRule(2, 2))
+    view = model.groups
+    assert left_behind(spark, before) == set()
+    staged = {folder.rsplit("/", 1)[1].rsplit("-", 1)[0] for folder in model.workspace._folders}
+    assert staged == {"baskets", "indices", "margins", "stabilities"}
+    assert not [path for path in view.inputFiles() if "lineitem" in path or "/lines-" in path]
+    model.release()
+
+
+def test_discarded_tables_go_alone(spark):
+    workspace = Workspace(spark)
+    kept, gone = (workspace.staged(spark.range(n), "numbers") for n in (3, 4))
+    path = gone.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    workspace.discard(gone)
+    assert not os.path.exists(path) and kept.count() == 3
+    workspace.release()
+
+
+def test_baskets_by_way_of_staged_lines(spark):
+    """A SKU and a price listed twice, a line without price, a transaction without a date or a store."""
+    t = tables(
+        spark,
+        transactions=[(1, 10, 1.0, at(1), 1), (1, 10, 1.0, at(1), 1), (2, 20, 1.0, None, 2), (3, 11, 1.0, at(3), 9), (4, 11, 1.0, at(3), None)],
+        checks=[line(i, sku, 2.0, 100.0, discount=10.0 * i) for i in (1, 2, 3, 4) for sku in (101, 101, 201, 999)],
+        product_matrix=[(101, "a", 1), (101, "a", 2), (201, "b", None)],
+        retail_stores=[(1, 101, 50.0, 100.0), (1, 101, 60.0, 100.0), (2, 201, 1.0, 2.0)],
+    )
+    model = LoyaltyModel(spark, t)
+    key = lambda r: repr(tuple(r))
+    assert model.baskets.schema.simpleString() == purchases.baskets(t).schema.simpleString()
+    assert sorted(model.baskets.collect(), key=key) == sorted(purchases.baskets(t).collect(), key=key) != []
+    model.release()
+
+
 def test_shuffles_carry_what_is_needed(spark, star_folder):
     model = LoyaltyModel(spark, star_tables(spark, star_folder))
-    offers = [model.generate_growth_offers("20.06.2022", "25.08.2022"), model.generate_cross_selling()]
-    for frame, columns in (
-        (model.groups, ("average_summ", "average_cost")),
-        (offers[0], ("group_margin", "reduced_paid")),
-        (offers[1], ("group_margin", "reduced_paid", "average_cost", "total_summ")),
-    ):
-        plan = frame._jdf.queryExecution().executedPlan().toString()
-        assert [c for c in columns if f"AS {c}#" in plan] == []
+    written = {}
+    keep = model.workspace.staged
+    model.workspace.staged = lambda df, label: written.setdefault(label, []).append(set(df.columns)) or keep(df, label)
+    model.generate_growth_offers("20.06.2022", "25.08.2022"), model.generate_cross_selling(), model.groups
+    growth, cross, view = (c - set(groups.SPAN_COLUMNS) for c in written["indices"])
+    assert growth == {"offer_discount_depth"} and cross == {"group_minimum_discount"}
+    assert not {"average_summ", "average_cost"} & view
     model.register_functions("generate_growth_offers")
     assert not {"group_margin", "group_average_discount"} & set(spark.table("loyalty_pairs").columns)
     model.release()
