@@ -398,7 +398,7 @@ def pair_indices(
     rule = margin or MarginRule()
     indices = profile_indices(pair_profiles(baskets, rule.since(as_of)), as_of)
     if rule.latest_only:
-        recent = staged(group_margins(history_of(baskets, "basket_margin"), rule, as_of), "margins")
+        recent = staged(group_margins(history_of(baskets, "basket_margin"), rule, as_of), "margins", tidy=True)
         indices = indices.drop("group_margin").join(recent.hint("merge"), PAIR, "left")
     return indices
 
@@ -423,14 +423,14 @@ def with_affinity(
     indices: DataFrame, history: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """The indices are staged: the shuffles of their sums are gone before those of the ends."""
-    return _with_affinity(staged(indices, "indices"), history, parts=parts)
+    return _with_affinity(staged(indices, "indices", tidy=True), history, parts=parts)
 
 
 def with_stability(
     indices: DataFrame, history: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """The stability is staged: its shuffles are gone before those of the indices are written."""
-    stabilities = staged(slot_stabilities(history, parts), "stabilities")
+    stabilities = staged(slot_stabilities(history, parts), "stabilities", tidy=True)
     return indices.join(stabilities.hint("merge"), PAIR, "left")
 
 

@@ -58,8 +58,8 @@ class LoyaltyModel:
     @cached_property
     def baskets(self) -> DataFrame:
         """Staged by way of the lines, so that the shuffles of the joins are gone before the sums'."""
-        lines = self.workspace.staged(purchases.basket_lines(self.tables), "lines")
-        baskets = self.workspace.staged(purchases.baskets_of(lines, self.parts), "baskets")
+        lines = self.workspace.staged(purchases.basket_lines(self.tables), "lines", tidy=True)
+        baskets = self.workspace.staged(purchases.baskets_of(lines, self.parts), "baskets", tidy=True)
         self.workspace.discard(lines)
         return baskets
 

@@ -156,13 +156,13 @@ def _pairs(model: LoyaltyModel):
     indices = groups.pair_indices(model.baskets, model.as_of).drop("group_margin", "group_average_discount")
     known = groups.with_affinity(indices, model.purchase_history, model.parts)
     steady = groups.with_stability(known, model.purchase_history, model.parts)
-    return model.workspace.staged(steady, "pairs")
+    return model.workspace.staged(steady, "pairs", tidy=True)
 
 
 def _best_skus(model: LoyaltyModel):
     best = offers.best_margin_skus(model.tables)
     shares = offers.sku_shares(model.tables, best.select("sku_id").distinct()).select("sku_id", "sku_share")
-    return model.workspace.staged(best.join(shares, "sku_id", "left"), "best-skus")
+    return model.workspace.staged(best.join(shares, "sku_id", "left"), "best-skus", tidy=True)
 
 
 # Frequencies and stores carry the hint with them, up to the join with the offers.

@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _write(df: DataFrame, folder: str) -> None:
+def _write_tidily(df: DataFrame, folder: str) -> None:
     """Write the frame and delete what its shuffles left on the executors' disks.
 
     Runs in a copy of the session, so the session's own settings stay as they are.
@@ -77,14 +77,18 @@ class Workspace:
         self._folders.append(folder)
         return folder
 
-    def staged(self, df: DataFrame, label: str) -> DataFrame:
+    def staged(self, df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
         """Write once, read many times.
 
         Cuts the lineage, survives the loss of executors, and keeps column pruning and
-        size statistics for the plans that read it back. The shuffles that led here are deleted.
+        size statistics for the plans that read it back. ``tidy`` deletes the shuffles that led
+        here when the write ends.
         """
         folder = self.new_folder(label)
-        _write(df, folder)
+        if tidy:
+            _write_tidily(df, folder)
+        else:
+            df.write.parquet(folder)
         staged = df.sparkSession.read.schema(df.schema).parquet(folder)
         self._staged[staged] = folder
         return staged
@@ -129,8 +133,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return _current(spark).new_folder(label)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    return _current(df.sparkSession).staged(df, label)
+def staged(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
+    return _current(df.sparkSession).staged(df, label, tidy)
 
 
 def discard_staged(spark: SparkSession) -> None:

@@ -36,7 +36,7 @@ def test_staging_leaves_no_shuffle_files(spark):
     settings = spark.sparkContext.getConf().getAll(), spark.conf.getAll
     before = shuffles(spark)
     workspace = Workspace(spark)
-    staged = workspace.staged(frame, "counts")
+    staged = workspace.staged(frame, "counts", tidy=True)
     assert left_behind(spark, before) == set()
     assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, frame.collect()))
     assert (spark.sparkContext.getConf().getAll(), spark.conf.getAll) == settings
@@ -50,7 +50,7 @@ def test_staging_keeps_the_settings_of_the_moment(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         rows = spark.range(1000).groupBy(F.col("id") % 100).count().select(F.spark_partition_id().alias("p"))
-        assert workspace.staged(rows, "parts").distinct().count() == 3
+        assert workspace.staged(rows, "parts", tidy=True).distinct().count() == 3
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", kept)
@@ -114,7 +114,7 @@ def test_shuffles_carry_what_is_needed(spark, star_folder):
     model = LoyaltyModel(spark, star_tables(spark, star_folder))
     written = {}
     keep = model.workspace.staged
-    model.workspace.staged = lambda df, label: written.setdefault(label, []).append(set(df.columns)) or keep(df, label)
+    model.workspace.staged = lambda df, label, *tidy, **k: written.setdefault(label, []).append(set(df.columns)) or keep(df, label, *tidy, **k)
     model.generate_growth_offers("20.06.2022", "25.08.2022"), model.generate_cross_selling(), model.groups
     growth, cross, view = (c - set(groups.SPAN_COLUMNS) for c in written["indices"])
     assert growth == {"offer_discount_depth"} and cross == {"group_minimum_discount"}
